@@ -30,24 +30,24 @@ def dense_row_index(
     size = (partitions,) if partitions else ()
     table = stage(df.repartitionByRange(*size, *keys).sortWithinPartitions(*keys), "ordered")
     placed = table.select(
-        "*", F.col("_metadata.file_path").alias("_file"), F.col("_metadata.row_index").alias("_at"))
+        "*", F.col("_metadata.file_path").alias("__file"), F.col("_metadata.row_index").alias("__at"))
 
     # One row per file: its length and its first key, both bounded by the file
     # listing the driver already holds.
-    lengths = {r["_file"]: r["n"] for r in placed.groupBy("_file").agg(
-        (F.max("_at") + 1).alias("n")).collect()}
-    firsts = placed.filter("_at = 0").orderBy(*keys, "_file").select("_file").collect()
+    lengths = {r["__file"]: r["n"] for r in placed.groupBy("__file").agg(
+        (F.max("__at") + 1).alias("n")).collect()}
+    firsts = placed.filter("__at = 0").orderBy(*keys, "__file").select("__file").collect()
     offsets, seen = [], start
     for row in firsts:
-        offsets.append((row["_file"], seen))
-        seen += lengths[row["_file"]]
+        offsets.append((row["__file"], seen))
+        seen += lengths[row["__file"]]
 
     spark = df.sparkSession
-    files = spark.createDataFrame(offsets, "_file string, _offset bigint")
+    files = spark.createDataFrame(offsets, "__file string, __offset bigint")
     if len(offsets) <= BROADCAST_FILES:
         files = F.broadcast(files)
-    return placed.join(files, "_file").select(
-        (F.col("_offset") + F.col("_at")).alias(name), *[F.col(f"`{c}`") for c in df.columns])
+    return placed.join(files, "__file").select(
+        (F.col("__offset") + F.col("__at")).alias(name), *[F.col(f"`{c}`") for c in df.columns])
 
 
 def chunk_id(number: str | Column, size: int, first_number: int = 1, first_chunk: int = 1) -> Column:
