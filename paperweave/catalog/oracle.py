@@ -171,12 +171,18 @@ ORACLE: dict[str, str] = {
         where row_idx >= n // 4 and row_idx < n // 4 + n // 2""",
 
     "pack_requests": _PACKED + " select row_idx, token_count, request_id, pos from rows_",
-    "request_manifest": _REQUESTS + " select * from totals",
+    "request_manifest": _LINES + """
+        select job_id, batch_id, request_id, custom_id, count(*) as text_count,
+               sum(token_count)::bigint as token_count, min(row_idx) as first_row, max(row_idx) as last_row,
+               any_value(line_bytes) as line_bytes
+        from rows_ join sized using (job_id, batch_id, request_id, custom_id) group by all""",
     "batch_totals": _REQUESTS + """
         select job_id, batch_id, count(*) as request_count, sum(text_count)::bigint as text_count,
                sum(token_count)::bigint as token_count
         from totals group by all""",
-    "request_lines": _LINES + " select request_id, custom_id, line_bytes, md5(line) as line_md5 from sized",
+    "request_lines": _ROLLED + """
+        select request_id, custom_id, bin - 1 as file_no, md5(line) as line_md5, line_bytes
+        from sized join files on k = batch_id and i = request_id""",
     "roll_files": _ROLLED + """
         select 1::bigint as job_id, k as batch_id, i as request_id, w as line_bytes, bin - 1 as file_no from files""",
     "file_totals": _ROLLED + """

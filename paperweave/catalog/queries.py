@@ -18,7 +18,7 @@ from paperweave.plans import clean as clean_job
 from paperweave.sources import papers as paper_source
 from paperweave.sources.lines import read_result_lines
 from paperweave.streaming import ingest, status as status_stream
-from paperweave.workspace import new_path
+from paperweave.workspace import new_path, stage
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -160,14 +160,13 @@ def concat_fields(spark, folder):
     return table(spark, folder, "documents").select("doc_id", joined.alias("joined"))
 
 
-def _weights(spark: SparkSession, folder: str) -> DataFrame:
-    return table(spark, folder, "documents").select(
-        F.col("doc_id").alias("row_idx"), count_tokens(F.col("text")).alias("token_count"))
+def _texts(spark: SparkSession, folder: str) -> DataFrame:
+    return table(spark, folder, "documents").select(F.col("doc_id").alias("row_idx"), "text")
 
 
 @query
 def token_count(spark, folder):
-    return _weights(spark, folder).withColumnRenamed("row_idx", "doc_id")
+    return table(spark, folder, "documents").select("doc_id", count_tokens(F.col("text")).alias("token_count"))
 
 
 @query
@@ -196,7 +195,8 @@ def payload_slice(spark, folder):
 # --- requests ---------------------------------------------------------------
 
 def _manifest(spark: SparkSession, folder: str) -> DataFrame:
-    return requests.request_rows(_weights(spark, folder), 1, TOKEN_CAP, BATCH_REQUESTS)
+    weights = requests.weigh_texts(_texts(spark, folder))
+    return requests.request_rows(weights, 1, TOKEN_CAP, BATCH_REQUESTS)
 
 
 @query
@@ -207,33 +207,34 @@ def pack_requests(spark, folder):
 
 @query
 def request_manifest(spark, folder):
-    return requests.request_totals(_manifest(spark, folder))
+    return requests.request_totals(_manifest(spark, folder), MODEL)
 
 
 @query
 def batch_totals(spark, folder):
-    return requests.batch_totals(requests.request_totals(_manifest(spark, folder)))
-
-
-def _lines(spark: SparkSession, folder: str) -> DataFrame:
-    texts = table(spark, folder, "documents").select(F.col("doc_id").alias("row_idx"), "text")
-    return requests.request_lines(texts, _manifest(spark, folder), MODEL).withColumn(
-        "line_bytes", F.col("line_bytes").cast("bigint"))
+    return requests.batch_totals(requests.request_totals(_manifest(spark, folder), MODEL))
 
 
 @query
 def request_lines(spark, folder):
-    return _lines(spark, folder).select("request_id", "custom_id", "line_bytes", F.md5("line").alias("line_md5"))
+    """Every request's line, with its place in the rolled files."""
+    manifest = stage(_manifest(spark, folder), "manifest")
+    rolled = requests.roll_files(requests.request_totals(manifest, MODEL), FILE_BYTES)
+    lines = requests.request_lines(_texts(spark, folder), manifest, rolled, MODEL)
+    return lines.select(
+        "request_id", "custom_id", "file_no", F.md5("line").alias("line_md5"),
+        (F.octet_length("line") + 1).cast("bigint").alias("line_bytes"))
 
 
 @query
 def roll_files(spark, folder):
-    return requests.roll_files(_lines(spark, folder), FILE_BYTES)
+    return requests.roll_files(requests.request_totals(_manifest(spark, folder), MODEL), FILE_BYTES)
 
 
 @query
 def file_totals(spark, folder):
-    return requests.file_totals(requests.roll_files(_lines(spark, folder), FILE_BYTES), MODEL)
+    rolled = requests.roll_files(requests.request_totals(_manifest(spark, folder), MODEL), FILE_BYTES)
+    return requests.file_totals(rolled, MODEL)
 
 
 @query

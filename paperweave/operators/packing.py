@@ -107,17 +107,18 @@ def pack_next_fit(
     weight: str,
     cap: int,
     by: Sequence[str] = (),
+    extra: Sequence[str] = (),
     bin_name: str = "bin_id",
     rows_per_bucket: int = 1 << 18,
     max_group_entries: int = 1 << 20,
 ) -> DataFrame:
-    """Bin numbers from 1 within each ``by`` key: ``by``, ``order``, ``weight``, bin.
+    """Bin numbers from 1 within each ``by`` key: ``by``, ``order``, ``weight``, ``extra``, bin.
 
     ``order`` is a non-negative integer, unique within a key; it may have gaps.
-    Only these narrow columns move. ``max_group_entries`` bounds what one task
+    Only these columns move; ``extra`` ones are carried along and should be narrow. ``max_group_entries`` bounds what one task
     holds while descriptions are joined.
     """
-    by = list(by)
+    by, extra = list(by), list(extra)
     keys = [F.col(c) for c in by]
     sound = F.col(weight) >= 0
     for key in keys:
@@ -125,9 +126,10 @@ def pack_next_fit(
     bad = F.raise_error(F.lit("packing needs a key and a weight of zero or more on every row"))
     checked = F.when(sound, F.col(weight).cast("bigint")).otherwise(bad.cast("bigint"))
     items = stage(items.select(*keys, F.col(order).cast("bigint").alias(order),
-                               checked.alias(weight)), "weights")
+                               checked.alias(weight), *extra), "weights")
     items = items.withColumn("run_no", F.call_function("div", F.col(order), F.lit(rows_per_bucket)))
-    key_ddl = "".join(f"`{f.name}` {f.dataType.simpleString()}, " for f in items.schema if f.name in by)
+    types = {f.name: f.dataType.simpleString() for f in items.schema}
+    key_ddl = "".join(f"`{c}` {types[c]}, " for c in by)
     # A summary row carries its key columns first.
     summary, state = key_ddl + _SUMMARY, key_ddl + _STATE
 
@@ -160,7 +162,7 @@ def pack_next_fit(
         pdf = pdf.sort_values(order)
         pdf[bin_name] = _bins(pdf[weight].to_numpy(np.int64), cap,
                               int(pdf["carry_in"].iloc[0]), int(pdf["bins_in"].iloc[0]))
-        return pdf[by + [order, weight, bin_name]]
+        return pdf[by + [order, weight] + extra + [bin_name]]
 
     names = by + ["run_no", "run_total", "run_pin", "run_opens", "run_carry"]
     level = stage(items.groupBy(*keys, "run_no").applyInPandas(describe, summary), "runs")
@@ -186,6 +188,6 @@ def pack_next_fit(
         states = (grouped.join(known, by + ["run_group"])
                   .groupBy(*keys, "run_group").applyInPandas(walk_down, state))
 
-    out = key_ddl + f"`{order}` bigint, `{weight}` bigint, `{bin_name}` bigint"
+    out = ", ".join(f"`{c}` {types[c]}" for c in by + [order, weight] + extra) + f", `{bin_name}` bigint"
     return (items.join(states, by + ["run_no"])
             .groupBy(*keys, "run_no").applyInPandas(assign, out))

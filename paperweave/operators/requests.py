@@ -1,15 +1,56 @@
-"""From weighted texts to request lines, batches and files."""
+"""From texts to requests, batches and files.
+
+Texts are read twice and written once: first only their sizes are taken, and
+requests, batches and files are settled on those narrow rows; then every text
+goes straight to the file it belongs to.
+"""
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from paperweave.functions import naming
+from paperweave.functions.tokens import token_count
 from paperweave.operators.order import chunk_id
 from paperweave.operators.packing import pack_next_fit
 
 ENDPOINT = "/v1/embeddings"
+FILE_KEYS = ["job_id", "batch_id", "file_no"]
+
+
+# --- the line format ------------------------------------------------------------
+
+def json_string(text: Column) -> Column:
+    """A text as a JSON string literal; non-ASCII characters stay as they are."""
+    listed = F.to_json(F.array(text))
+    return F.substring(listed, F.lit(2), F.length(listed) - 2)
+
+
+def _line(custom_id: Column, model: str, inputs: Column) -> Column:
+    # Separators are ', ' and ': '. Line sizes decide where files roll, so the
+    # spacing is part of the format.
+    return F.concat(
+        F.lit('{"custom_id": "'), custom_id,
+        F.lit(f'", "method": "POST", "url": "{ENDPOINT}", "body": {{"model": '),
+        json_string(F.lit(model)), F.lit(', "input": ['), inputs, F.lit("]}}"))
+
+
+def _line_bytes(custom_id: Column, model: str, text_bytes: Column, texts: Column) -> Column:
+    """Size of a line with its newline, from the sizes of its text literals."""
+    empty = F.octet_length(_line(custom_id, model, F.lit("")))
+    return empty + text_bytes + 2 * (texts - 1) + 1
+
+
+# --- sizes, requests, batches ----------------------------------------------------
+
+def weigh_texts(texts: DataFrame, count: Callable[[Column], Column] = token_count) -> DataFrame:
+    """``row_idx, token_count, text_bytes`` of every text; null texts are left out."""
+    return texts.filter(F.col("text").isNotNull()).select(
+        "row_idx", count(F.col("text")).alias("token_count"),
+        F.octet_length(json_string(F.col("text"))).cast("bigint").alias("text_bytes"))
 
 
 def request_rows(
@@ -17,26 +58,32 @@ def request_rows(
 ) -> DataFrame:
     """Manifest: one narrow row per text.
 
-    ``weights`` has ``row_idx`` and ``token_count``. Gives ``job_id, batch_id,
-    request_id, custom_id, pos, row_idx, token_count``; ``pos`` counts from 0
-    inside the request.
+    ``weights`` is the result of ``weigh_texts``. Gives ``job_id, batch_id,
+    request_id, custom_id, pos, row_idx, token_count, text_bytes``; ``pos``
+    counts from 0 inside the request.
     """
-    packed = pack_next_fit(weights, "row_idx", "token_count", max_tokens, bin_name="request_id", **packing)
+    packed = pack_next_fit(weights, "row_idx", "token_count", max_tokens, extra=["text_bytes"],
+                           bin_name="request_id", **packing)
     within = Window.partitionBy("request_id").orderBy("row_idx")
     job = F.lit(job_id).cast("bigint")
     batch = chunk_id("request_id", requests_per_batch)
     return packed.select(
         job.alias("job_id"), batch.alias("batch_id"), "request_id",
         naming.custom_id(job, batch, F.col("request_id")).alias("custom_id"),
-        (F.row_number().over(within) - 1).alias("pos"), "row_idx", "token_count",
+        (F.row_number().over(within) - 1).alias("pos"), "row_idx", "token_count", "text_bytes",
     )
 
 
-def request_totals(manifest: DataFrame) -> DataFrame:
-    """Texts and tokens per request."""
-    return manifest.groupBy("job_id", "batch_id", "request_id", "custom_id").agg(
-        F.count(F.lit(1)).alias("text_count"), F.sum("token_count").alias("token_count"),
-        F.min("row_idx").alias("first_row"), F.max("row_idx").alias("last_row"))
+def request_totals(manifest: DataFrame, model: str) -> DataFrame:
+    """Texts, tokens and line size per request."""
+    return (
+        manifest.groupBy("job_id", "batch_id", "request_id", "custom_id").agg(
+            F.count(F.lit(1)).alias("text_count"), F.sum("token_count").alias("token_count"),
+            F.min("row_idx").alias("first_row"), F.max("row_idx").alias("last_row"),
+            F.sum("text_bytes").alias("text_bytes"))
+        .withColumn("line_bytes", _line_bytes(
+            F.col("custom_id"), model, F.col("text_bytes"), F.col("text_count")))
+        .drop("text_bytes"))
 
 
 def batch_totals(requests: DataFrame) -> DataFrame:
@@ -46,41 +93,14 @@ def batch_totals(requests: DataFrame) -> DataFrame:
         F.sum("token_count").alias("token_count"))
 
 
-def json_string(text: Column) -> Column:
-    """A text as a JSON string literal; non-ASCII characters stay as they are."""
-    listed = F.to_json(F.array(text))
-    return F.substring(listed, F.lit(2), F.length(listed) - 2)
-
-
-def request_lines(texts: DataFrame, manifest: DataFrame, model: str) -> DataFrame:
-    """One JSON line per request, with its size in bytes including the newline.
-
-    ``texts`` has ``row_idx`` and ``text``. A request's texts are bounded by the
-    token budget, so the list that a task builds is too.
-    """
-    # Separators are ', ' and ': '. Line sizes decide where files roll, so the
-    # spacing is part of the format.
-    inputs = F.array_join(
-        F.transform(F.array_sort(F.collect_list(F.struct("pos", "literal"))), lambda x: x["literal"]), ", ")
-    line = F.concat(
-        F.lit('{"custom_id": "'), F.col("custom_id"),
-        F.lit(f'", "method": "POST", "url": "{ENDPOINT}", "body": {{"model": '),
-        json_string(F.lit(model)), F.lit(', "input": ['), F.col("inputs"), F.lit("]}}"))
-    return (
-        manifest.select("job_id", "batch_id", "request_id", "custom_id", "pos", "row_idx")
-        .join(texts.select("row_idx", json_string(F.col("text")).alias("literal")), "row_idx")
-        .groupBy("job_id", "batch_id", "request_id", "custom_id").agg(inputs.alias("inputs"))
-        .select("job_id", "batch_id", "request_id", "custom_id", line.alias("line"))
-        .withColumn("line_bytes", F.octet_length("line") + 1)
-    )
+# --- files ------------------------------------------------------------------------
 
-
-def roll_files(lines: DataFrame, max_bytes: int, **packing) -> DataFrame:
+def roll_files(requests: DataFrame, max_bytes: int, **packing) -> DataFrame:
     """File of every request: a batch starts its next file when a line would pass the limit.
 
-    Only line sizes move. Gives ``job_id, batch_id, request_id, line_bytes, file_no``.
+    Gives ``job_id, batch_id, request_id, line_bytes, file_no``.
     """
-    packed = pack_next_fit(lines, "request_id", "line_bytes", max_bytes,
+    packed = pack_next_fit(requests, "request_id", "line_bytes", max_bytes,
                            by=["job_id", "batch_id"], bin_name="file_no", **packing)
     return packed.withColumn("file_no", F.col("file_no") - 1)
 
@@ -88,8 +108,30 @@ def roll_files(lines: DataFrame, max_bytes: int, **packing) -> DataFrame:
 def file_totals(rolled: DataFrame, model: str) -> DataFrame:
     """Requests and bytes per file, with the file's name."""
     return (
-        rolled.groupBy("job_id", "batch_id", "file_no")
+        rolled.groupBy(*FILE_KEYS)
         .agg(F.count(F.lit(1)).alias("request_count"), F.sum("line_bytes").alias("file_bytes"))
         .withColumn("file_name", naming.batch_file_name(
             F.lit(model), F.col("job_id"), F.col("batch_id"), F.col("file_no")))
     )
+
+
+def request_lines(texts: DataFrame, manifest: DataFrame, rolled: DataFrame, model: str) -> DataFrame:
+    """``job_id, batch_id, file_no, request_id, custom_id, line``: one JSON line per request.
+
+    The rows are shuffled by file, which also brings a request's texts together,
+    so building the lines and writing the files share one shuffle. A request is
+    bounded by the token budget and a file by the byte budget.
+    """
+    place = manifest.select("job_id", "batch_id", "request_id", "custom_id", "pos", "row_idx").join(
+        rolled.select(*FILE_KEYS, "request_id"), ["job_id", "batch_id", "request_id"])
+    literals = texts.filter(F.col("text").isNotNull()).select(
+        "row_idx", json_string(F.col("text")).alias("literal"))
+    in_order = F.array_sort(F.collect_list(F.struct("pos", "literal")))
+    inputs = F.array_join(F.transform(in_order, lambda x: x["literal"]), ", ")
+    return (
+        literals.join(place, "row_idx")
+        .repartition(*FILE_KEYS)
+        .groupBy(*FILE_KEYS, "request_id", "custom_id").agg(inputs.alias("inputs"))
+        .select(*FILE_KEYS, "request_id", "custom_id",
+                _line(F.col("custom_id"), model, F.col("inputs")).alias("line"))
+    )

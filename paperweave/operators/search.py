@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Iterable, Iterator
 from functools import reduce
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -90,21 +91,24 @@ def _per_block(queries: DataFrame, query_id: str, query_vector: str, rows: int,
     """Run ``search(matrix)`` per block of queries and put the ids back on."""
     source = queries.select(F.col(query_id).cast("bigint").alias("query_id"),
                             F.col(query_vector).alias("query_vector"))
-    spark, parts = queries.sparkSession, []
-    blocks = _query_blocks(source, rows)
-    for block in blocks:
-        if not block:
-            continue
+    spark = queries.sparkSession
+
+    def hits(block: list) -> DataFrame:
         matrix = np.array([r["query_vector"] for r in block], np.float64)
         ids = spark.createDataFrame([(i, r["query_id"]) for i, r in enumerate(block)],
                                     "query_no int, query_id bigint")
-        found = search(matrix).join(F.broadcast(ids), "query_no").select(
+        return search(matrix).join(F.broadcast(ids), "query_no").select(
             "query_id", "rank", "point_id", "score")
-        # With several blocks each one is finished before the next is fetched.
-        parts.append(found if len(block) <= rows and len(parts) == 0 else stage(found, "hits"))
-    if not parts:
+
+    blocks = _query_blocks(source, rows)
+    first, second = next(blocks), next(blocks, None)
+    if not first:
         return spark.createDataFrame([], "query_id bigint, rank int, point_id bigint, score double")
-    return reduce(DataFrame.unionByName, parts)
+    if second is None:
+        return hits(first)
+    # With several blocks each one is finished before the next is fetched.
+    return reduce(DataFrame.unionByName, (
+        stage(hits(block), "hits") for block in chain([first, second], blocks)))
 
 
 def _unit(matrix: np.ndarray) -> np.ndarray:

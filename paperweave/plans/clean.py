@@ -14,31 +14,44 @@ from paperweave.schemas import CLEAN_COLUMNS, SUBJECTS
 from paperweave.sources import papers as source
 
 
-def clean_papers(
+def select_papers(
     raw: DataFrame, subjects: Sequence[str] = SUBJECTS, order: Sequence[str] = source.POSITION,
 ) -> DataFrame:
-    """Keep papers of the subjects, one per id (first in ``order``), with tidy fields.
-
-    The filter comes first and the text rules last, so they see the fewest rows.
-    Columns of ``order`` stay in the result, for numbering.
-    """
+    """Papers of the subjects, one per id: the first in ``order``."""
     kept = (
         raw.withColumn("categories_parsed", text.split_words(F.col("categories")))
         .filter(text.overlaps(F.col("categories_parsed"), list(subjects))))
-    first = keep_first(kept, ["id"], order)
-    tidy = first.withColumns({
+    return keep_first(kept, ["id"], order).select(
+        *order, *[F.col(f"`{c}`") for c in CLEAN_COLUMNS if c in kept.columns], "versions")
+
+
+def tidy_papers(papers: DataFrame) -> DataFrame:
+    """Tidy texts and names, the last version's date; other columns stay in front."""
+    tidy = papers.withColumns({
         "title": text.collapse_spaces(F.col("title")),
         "abstract": text.collapse_spaces(F.col("abstract")),
         "authors_parsed": text.display_names(F.col("authors_parsed")),
         "last_submitted": text.parse_http_date(text.last_item(F.col("versions"))["created"]),
     })
-    return tidy.select(*order, *[F.col(f"`{c}`") for c in CLEAN_COLUMNS])
+    front = [c for c in papers.columns if c not in CLEAN_COLUMNS and c != "versions"]
+    return tidy.select(*front, *[F.col(f"`{c}`") for c in CLEAN_COLUMNS])
+
+
+def clean_papers(
+    raw: DataFrame, subjects: Sequence[str] = SUBJECTS, order: Sequence[str] = source.POSITION,
+) -> DataFrame:
+    """Filter, keep first, tidy; the text rules come last and see the fewest rows."""
+    return tidy_papers(select_papers(raw, subjects, order))
 
 
 def run(spark: SparkSession, raw_path: str, clean_path: str | None = None,
         subjects: Sequence[str] = SUBJECTS) -> str:
-    """Read, clean, number by source position and write; gives the path written."""
+    """Read, clean, number by source position and write; gives the path written.
+
+    Numbering reads its input twice (range bounds, then rows), so the text rules
+    are left for the final write, which passes over the numbered rows anyway.
+    """
     target = source.require_suffix(clean_path or source.default_clean_path(raw_path), ".parquet")
     raw = source.with_position(source.read_raw_papers(spark, raw_path))
-    numbered = dense_row_index(clean_papers(raw, subjects), source.POSITION)
-    return source.write_papers(numbered.drop(*source.POSITION), target)
+    numbered = dense_row_index(select_papers(raw, subjects), source.POSITION)
+    return source.write_papers(tidy_papers(numbered.drop(*source.POSITION)), target)

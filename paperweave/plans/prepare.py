@@ -45,18 +45,13 @@ def run(
     """Pack texts, write request files below ``path/files`` and the manifest beside them."""
     schemas.model_dimension(model)
     texts = texts_of(papers, columns)
-    present = texts.filter(F.col("text").isNotNull())
-    weights = present.select("row_idx", count(F.col("text")).alias("token_count"))
-    manifest = requests.request_rows(
-        weights, job_id, limits.max_input_tokens, limits.max_requests_per_batch)
-    manifest.write.mode("overwrite").parquet(f"{path}/manifest")
+    requests.request_rows(
+        requests.weigh_texts(texts, count), job_id, limits.max_input_tokens, limits.max_requests_per_batch,
+    ).write.mode("overwrite").parquet(f"{path}/manifest")
     manifest = papers.sparkSession.read.parquet(f"{path}/manifest")
-    # The lines hold every text, so they are built once and written once here
-    # before sizes decide the files.
-    lines = stage(requests.request_lines(present, manifest, model), "lines")
-    rolled = stage(requests.roll_files(lines, limits.max_batch_file_bytes), "files")
-    write_request_files(lines, rolled, f"{path}/files")
-    per_request = requests.request_totals(manifest)
+    per_request = requests.request_totals(manifest, model)
+    rolled = stage(requests.roll_files(per_request, limits.max_batch_file_bytes), "files")
+    write_request_files(requests.request_lines(texts, manifest, rolled, model), f"{path}/files")
     return Prepared(
         manifest, per_request, requests.batch_totals(per_request),
         requests.file_totals(rolled, model), texts.filter(F.col("text").isNull()).select("row_idx"))

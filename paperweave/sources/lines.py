@@ -7,22 +7,18 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-_FOLDERS = ["job_id", "batch_id", "file_no"]
+from paperweave.operators.requests import FILE_KEYS
 
 
-def write_request_files(lines: DataFrame, rolled: DataFrame, path: str, mode: str = "overwrite") -> str:
+def write_request_files(lines: DataFrame, path: str, mode: str = "overwrite") -> str:
     """One text file per (job, batch, file) folder, lines in request order.
 
-    A file holds at most the byte limit, so one task can write it.
+    ``lines`` comes from ``request_lines``, already shuffled by file.
     """
-    files = rolled.select(*_FOLDERS, "request_id")
     (
-        lines.select("job_id", "batch_id", "request_id", F.col("line").alias("value"))
-        .join(files, ["job_id", "batch_id", "request_id"])
-        .repartition(*_FOLDERS)
-        .sortWithinPartitions(*_FOLDERS, "request_id")
-        .select(*_FOLDERS, "value")
-        .write.mode(mode).partitionBy(*_FOLDERS).text(path)
+        lines.sortWithinPartitions(*FILE_KEYS, "request_id")
+        .select(*FILE_KEYS, F.col("line").alias("value"))
+        .write.mode(mode).partitionBy(*FILE_KEYS).text(path)
     )
     return path
 
