@@ -12,7 +12,8 @@ looks sequential. It is run in parallel like this:
   when a bin opens there: how many more bins open in the bucket and the weight
   the last one carries out.
 * Such descriptions join into descriptions of longer runs, level by level, until
-  what is left is small. Every level is a grouped job over narrow rows.
+  what is left is small. None has more than ``cap + 1`` entries, as weights are
+  whole numbers and items of weight zero never end a bin. Every level is a grouped job over narrow rows.
 * The few rows left are walked once, and the known states go back down the
   levels to the buckets, where items get their bin numbers.
 """

@@ -23,16 +23,11 @@ def refresh(
     return state.roll_up_jobs(jobs, updated, now, expired_is_failure), updated
 
 
-def refresh_stored(spark: SparkSession, root: str, snapshots: DataFrame, order: list[str],
-                   version: int | None = None) -> DataFrame:
-    """Refresh the stored tables and give the batches with their last-changed time.
-
-    With ``version`` the result is written as that version, computed from the
-    one before, so repeating a refresh gives the same tables.
-    """
-    jobs, batches = (read_state(spark, root, t, version) for t in ("jobs", "batches"))
-    new_jobs, updated = refresh(jobs, batches, snapshots, order)
+def refresh_stored(spark: SparkSession, root: str, snapshots: DataFrame, order: list[str]) -> DataFrame:
+    """Refresh the stored tables and give the batches with their last-changed time."""
+    jobs, batches = (read_state(spark, root, table) for table in ("jobs", "batches"))
+    _, updated = refresh(jobs, batches, snapshots, order)
     updated = stage(updated, "refresh")
-    write_state(updated, root, "batches", version)
-    write_state(state.roll_up_jobs(jobs, updated), root, "jobs", version)
+    write_state(updated, root, "batches")
+    write_state(state.roll_up_jobs(jobs, updated), root, "jobs")
     return updated

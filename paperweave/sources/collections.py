@@ -71,7 +71,8 @@ def read_points(spark: SparkSession, path: str) -> DataFrame | None:
 
 
 def _in_id_order(points: DataFrame) -> DataFrame:
-    return prepare_vectors(points).repartitionByRange("point_id").sortWithinPartitions("point_id")
+    # Ranging reads its input twice, so the vector arithmetic comes after it.
+    return prepare_vectors(points.repartitionByRange("point_id").sortWithinPartitions("point_id"))
 
 
 def load_points(points: DataFrame, path: str) -> None:

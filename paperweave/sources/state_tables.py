@@ -1,7 +1,8 @@
 """The ``jobs`` and ``batches`` tables as versioned Parquet snapshots.
 
 A change is computed from the current version and written as the next one;
-a version that is being read is never overwritten. One writer is assumed.
+a version that is being read is never overwritten. One writer at a time is
+assumed.
 """
 
 from __future__ import annotations
@@ -15,12 +16,12 @@ from paperweave.schemas import STATE_DDL
 from paperweave.sources.versions import versions
 
 
-def write_state(df: DataFrame, root: str, table: str, version: int | None = None) -> int:
-    """Write a snapshot, by default as the version after the current one."""
+def write_state(df: DataFrame, root: str, table: str) -> int:
+    """Write a snapshot as the version after the current one."""
     spark = df.sparkSession
-    if version is None:
-        version = max(versions(spark, f"{root}/{table}"), default=0) + 1
+    version = max(versions(spark, f"{root}/{table}"), default=0) + 1
     names = spark.createDataFrame([], STATE_DDL[table]).columns
+    # Overwriting only ever clears what a failed write of this version left.
     df.select(*names).write.mode("overwrite").parquet(f"{root}/{table}/version={version}")
     return version
 
@@ -31,9 +32,9 @@ def recreate_state(spark: SparkSession, root: str) -> None:
         write_state(spark.createDataFrame([], ddl), root, table)
 
 
-def read_state(spark: SparkSession, root: str, table: str, before: int | None = None) -> DataFrame:
-    """Current snapshot, or the last one below a version."""
-    found = [v for v in versions(spark, f"{root}/{table}") if before is None or v < before]
+def read_state(spark: SparkSession, root: str, table: str) -> DataFrame:
+    """Current snapshot of a table."""
+    found = versions(spark, f"{root}/{table}")
     if not found:
         raise FileNotFoundError(f"no {table} table in {root}")
     return spark.read.schema(STATE_DDL[table]).parquet(f"{root}/{table}/version={found[-1]}")

@@ -9,7 +9,6 @@ from pyspark.sql.streaming import DataStreamWriter
 
 from paperweave.operators.state import latest_per_key
 from paperweave.plans.monitor import refresh_stored
-from paperweave.sources.versions import versions
 
 REFRESH = "1 minute"
 
@@ -22,28 +21,12 @@ def latest_status(events: DataFrame, keys: Sequence[str], order: Sequence[str])
 def write_refresh(snapshots: DataFrame, root: str, order: list[str], checkpoint: str) -> DataStreamWriter:
     """Writer that refreshes the stored tables with every micro-batch.
 
-    A micro-batch writes the version its number stands for, so a batch run
-    again after a failure replaces its own result.
+    Applying a snapshot twice is the same as once, so a micro-batch that runs
+    again after a failure leaves the same tables.
     """
-    base: list[int] = []
 
     def refresh(batch: DataFrame, epoch: int) -> None:
-        if not base:
-            base.append(_base_version(batch, root, epoch, checkpoint))
-        refresh_stored(batch.sparkSession, root, batch, order, base[0] + epoch + 1)
+        refresh_stored(batch.sparkSession, root, batch, order)
 
     return (snapshots.writeStream.foreachBatch(refresh)
             .option("checkpointLocation", checkpoint).trigger(processingTime=REFRESH))
-
-
-def _base_version(batch: DataFrame, root: str, epoch: int, checkpoint: str) -> int:
-    """Version the stream started from, kept beside its checkpoint."""
-    spark = batch.sparkSession
-    path = f"{checkpoint}/base_version"
-    kept = versions(spark, path, "base")
-    if kept:
-        return kept[0]
-    start = max(min(versions(spark, f"{root}/{t}")[-1] for t in ("jobs", "batches")) - epoch, 0)
-    spark.range(1).write.mode("overwrite").parquet(f"{path}/base={start}")
-    return start
-

@@ -1,0 +1,81 @@
+"""Physical plans stay what they should be."""
+
+import re
+
+import pytest
+from pyspark.sql import functions as F
+
+from paperweave.catalog.queries import QUERIES
+from paperweave.operators import requests, state
+from paperweave.plans import clean
+from paperweave.sources import papers as source
+
+DATA = "/root/testdata/sf0.001"
+
+
+def plan(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def exchanges(text):
+    return len(re.findall(r"Exchange (?:hash|range|single|round)", text))
+
+
+def test_cleaning_is_one_shuffle_without_python(spark):
+    text = plan(QUERIES["clean_corpus"](spark, DATA))
+    assert exchanges(text) == 1 and "Python" not in text and "ArrowEval" not in text
+    # Only the columns used are read, and the per-key limit runs before the shuffle.
+    assert "n_chars" not in text
+    assert re.search(r"Exchange hash.*\n.*WindowGroupLimit .*Partial", text)
+    # The filter sits below the de-duplication, the text rules above it.
+    assert text.index("regexp_replace") < text.index("row_number") < text.index("arrays_overlap")
+
+
+def test_paper_cleaning_plan(spark, tmp_path):
+    (tmp_path / "a.json").write_text('{"id": "1"}\n')
+    raw = source.with_position(source.read_raw_papers(spark, str(tmp_path)))
+    text = plan(clean.clean_papers(raw))
+    assert exchanges(text) == 1 and "Python" not in text
+    assert "submitter" not in text and "update_date" not in text
+
+
+@pytest.mark.parametrize("name", [
+    "row_index", "roll_files", "last_version", "job_status_rollup",
+    "latest_status", "cosine_topk", "hamming_rescore", "realign_results", "dedupe_keep_first"])
+def test_no_single_task_window_and_no_cross_join(spark, name):
+    text = plan(QUERIES[name](spark, DATA))
+    assert "Exchange SinglePartition" not in text
+    assert "CartesianProduct" not in text and "BroadcastNestedLoopJoin" not in text
+
+
+def test_packing_gathers_only_its_summaries(spark):
+    text = plan(QUERIES["pack_requests"](spark, DATA))
+    below = text[text.index("Exchange SinglePartition"):].splitlines()[1:3]
+    assert text.count("Exchange SinglePartition") == 1
+    assert any("FileScan parquet [run_no" in line for line in below)
+
+
+def test_roll_up_combines_before_the_shuffle(spark):
+    lines = spark.read.parquet(f"{DATA}/lineitem.parquet")
+    batches = lines.select(F.col("l_orderkey").alias("job_id"), F.lit("completed").alias("status"))
+    jobs = spark.createDataFrame([(1, "pending", None)], "id bigint, status string, updated_at timestamp")
+    text = plan(state.roll_up_jobs(jobs, batches))
+    assert "partial_" in text and "HashAggregate" in text
+
+
+def test_lines_and_files_share_a_shuffle(spark):
+    texts = spark.range(100).select(F.col("id").alias("row_idx"), F.col("id").cast("string").alias("text"))
+    manifest = spark.range(100).select(
+        (F.col("id") % 3).alias("job_id"), (F.col("id") % 5).alias("batch_id"), F.col("id").alias("request_id"),
+        F.col("id").cast("string").alias("custom_id"), F.lit(0).alias("pos"), F.col("id").alias("row_idx"))
+    rolled = spark.range(100).select((F.col("id") % 3).alias("job_id"), (F.col("id") % 5).alias("batch_id"),
+                                     F.col("id").alias("request_id"), (F.col("id") % 2).alias("file_no"))
+    text = plan(requests.request_lines(texts, manifest, rolled, "m"))
+    top = text[:text.index("Join")]
+    assert exchanges(top) == 1 and top.count("ObjectHashAggregate") == 2
+
+
+def test_slices_reach_the_scan(spark):
+    text = plan(spark.read.parquet(f"{DATA}/documents.parquet").select("doc_id", "lang").filter(
+        (F.col("doc_id") >= 10) & (F.col("doc_id") < 20)))
+    assert "GreaterThanOrEqual(doc_id,10)" in text and "LessThan(doc_id,20)" in text
