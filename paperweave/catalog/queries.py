@@ -46,6 +46,11 @@ def mapped(column: str, values: dict[str, str]) -> Column:
     return F.create_map(*pairs)[F.col(column)]
 
 
+def _texts(spark: SparkSession, folder: str) -> DataFrame:
+    scan = table(spark, folder, "documents").select(F.col("doc_id").alias("row_idx"), "text")
+    return paper_source.spread_scan(scan, "row_idx")
+
+
 # --- cleaning ---------------------------------------------------------------
 
 @query
@@ -87,8 +92,8 @@ def clean_papers_job(spark, folder):
 
 @query
 def ws_normalize(spark, folder):
-    return table(spark, folder, "documents").select(
-        "doc_id", text.collapse_spaces(F.col("text")).alias("clean_text"))
+    return _texts(spark, folder).select(
+        F.col("row_idx").alias("doc_id"), text.collapse_spaces(F.col("text")).alias("clean_text"))
 
 
 @query
@@ -160,13 +165,10 @@ def concat_fields(spark, folder):
     return table(spark, folder, "documents").select("doc_id", joined.alias("joined"))
 
 
-def _texts(spark: SparkSession, folder: str) -> DataFrame:
-    return table(spark, folder, "documents").select(F.col("doc_id").alias("row_idx"), "text")
-
-
 @query
 def token_count(spark, folder):
-    return table(spark, folder, "documents").select("doc_id", count_tokens(F.col("text")).alias("token_count"))
+    return _texts(spark, folder).select(
+        F.col("row_idx").alias("doc_id"), count_tokens(F.col("text")).alias("token_count"))
 
 
 @query

@@ -166,29 +166,36 @@ def pack_next_fit(
         return pdf[by + [order, weight] + extra + [bin_name]]
 
     names = by + ["run_no", "run_total", "run_pin", "run_opens", "run_carry"]
-    level = stage(items.groupBy(*keys, "run_no").applyInPandas(describe, summary), "runs")
-    levels, fan_ins = [level], []
-    while True:
-        # Sizes of the largest key, of its number of runs and of one run.
-        per_key = level.groupBy(*keys).agg(
-            F.sum(F.size("run_pin")).alias("entries"), F.count(F.lit(1)).alias("runs"),
-            F.max(F.size("run_pin")).alias("largest"))
-        entries, runs, largest = per_key.agg(F.max("entries"), F.max("runs"), F.max("largest")).first()
-        if entries is None or entries <= max_group_entries or runs == 1:
-            break
-        fan_in = max(2, max_group_entries // largest)
-        grouped = level.withColumn("run_group", F.call_function("div", F.col("run_no"), F.lit(fan_in)))
-        level = stage(grouped.groupBy(*keys, "run_group").applyInPandas(join_runs, summary), "runs")
-        levels.append(level)
-        fan_ins.append(fan_in)
-
-    states = levels[-1].groupBy(*keys).applyInPandas(walk_top, state)
-    for lower, fan_in in zip(reversed(levels[:-1]), reversed(fan_ins)):
-        grouped = lower.withColumn("run_group", F.call_function("div", F.col("run_no"), F.lit(fan_in)))
-        known = states.withColumnRenamed("run_no", "run_group")
-        states = (grouped.join(known, by + ["run_group"])
-                  .groupBy(*keys, "run_group").applyInPandas(walk_down, state))
+    runs = items.groupBy(*keys, "run_no").agg(F.count(F.lit(1)).alias("n")).groupBy(*keys).agg(
+        F.count(F.lit(1)).alias("n")).agg(F.max("n")).first()[0]
+    if not runs or runs == 1:
+        # Every key starts and ends within one bucket: nothing is carried in.
+        states = None
+    else:
+        level = stage(items.groupBy(*keys, "run_no").applyInPandas(describe, summary), "runs")
+        levels, fan_ins = [level], []
+        while True:
+            # Sizes of the largest key, of its number of runs and of one run.
+            per_key = level.groupBy(*keys).agg(
+                F.sum(F.size("run_pin")).alias("entries"), F.count(F.lit(1)).alias("runs"),
+                F.max(F.size("run_pin")).alias("largest"))
+            entries, runs, largest = per_key.agg(F.max("entries"), F.max("runs"), F.max("largest")).first()
+            if entries <= max_group_entries or runs == 1:
+                break
+            fan_in = max(2, max_group_entries // largest)
+            grouped = level.withColumn("run_group", F.call_function("div", F.col("run_no"), F.lit(fan_in)))
+            level = stage(grouped.groupBy(*keys, "run_group").applyInPandas(join_runs, summary), "runs")
+            levels.append(level)
+            fan_ins.append(fan_in)
+
+        states = levels[-1].groupBy(*keys).applyInPandas(walk_top, state)
+        for lower, fan_in in zip(reversed(levels[:-1]), reversed(fan_ins)):
+            grouped = lower.withColumn("run_group", F.call_function("div", F.col("run_no"), F.lit(fan_in)))
+            known = states.withColumnRenamed("run_no", "run_group")
+            states = (grouped.join(known, by + ["run_group"])
+                      .groupBy(*keys, "run_group").applyInPandas(walk_down, state))
 
     out = ", ".join(f"`{c}` {types[c]}" for c in by + [order, weight] + extra) + f", `{bin_name}` bigint"
-    return (items.join(states, by + ["run_no"])
-            .groupBy(*keys, "run_no").applyInPandas(assign, out))
+    entered = (items.join(states, by + ["run_no"]) if states is not None else
+               items.withColumns({"carry_in": F.lit(cap + 1), "bins_in": F.lit(0)}))
+    return entered.groupBy(*keys, "run_no").applyInPandas(assign, out)
