@@ -75,6 +75,18 @@ _ASKED = """
                vec_id % 7 as pos, vec_id, label, embedding
         from embeddings)"""
 
+_CODED = """
+    coded as (
+        select vec_id, array_to_string(list_transform(embedding,
+                   lambda x: case when x > 0 then '1' else '0' end), '') as bits
+        from embeddings),
+    words as (
+        select vec_id, bits,
+               (list_sum(list_transform(range(2, 65), lambda d:
+                    case when bits[d] = '1' then (1::hugeint << (64 - d)::int) else 0::hugeint end))::hugeint
+                - case when bits[1] = '1' then (1::hugeint << 63) else 0::hugeint end)::bigint as word
+        from coded)"""
+
 _FIRST_TEXTS = "select * from documents qualify row_number() over (partition by text order by doc_id) = 1"
 
 _TOPK = """
@@ -158,6 +170,8 @@ ORACLE: dict[str, str] = {
 
     "token_count": f"select doc_id, {_tokens('text')} as token_count from documents",
 
+    "tokenizer_udf": r"select doc_id, len(regexp_extract_all(text, '\S+'))::bigint as n_words from documents",
+
     "token_stats": f"""
         select lang, count(*) as n_texts, sum(n)::bigint as n_tokens, min(n) as least, max(n) as most
         from (select lang, {_tokens('text')} as n from documents) group by lang""",
@@ -192,6 +206,10 @@ ORACLE: dict[str, str] = {
                    || case when bin > 1 then '_' || (bin - 1)::varchar else '' end || '.jsonl' as file_name
         from files group by k, bin""",
 
+    "request_files": _ROLLED + """
+        select 1::bigint as job_id, k as batch_id, bin - 1 as file_no, count(*) as n_lines, sum(w)::bigint as n_bytes
+        from files group by k, bin""",
+
     "file_names": """
         with named as (
             select o_orderkey, o_custkey,
@@ -267,16 +285,21 @@ ORACLE: dict[str, str] = {
         select vec_id, d - 1 as dim, case when size > 0 then round(v[d] / size, 6) + 0.0 end as x
         from sized, (select unnest(range(1, 65)) as d)""",
 
-    "binary_quantize": """
-        with coded as (
-            select vec_id, array_to_string(list_transform(embedding,
-                       lambda x: case when x > 0 then '1' else '0' end), '') as bits
-            from embeddings)
-        select vec_id, bits,
-               (list_sum(list_transform(range(2, 65), lambda d:
-                    case when bits[d] = '1' then (1::hugeint << (64 - d)::int) else 0::hugeint end))::hugeint
-                - case when bits[1] = '1' then (1::hugeint << 63) else 0::hugeint end)::bigint as word
-        from coded""",
+    "binary_quantize": "with" + _CODED + " select vec_id, bits, word from words",
+
+    "stored_vectors": """
+        select vec_id as vec_idx, len(embedding)::bigint as width, embedding[1]::double as x0
+        from (select *, row_number() over (order by vec_id) - 1 as r, count(*) over () as n from embeddings)
+        where r >= n // 4 and r < n // 4 + n // 2""",
+
+    "stored_collection": "with" + _CODED + """
+        select vec_id as point_id, lang, source, md5(text) as text_md5, word,
+               round((embedding[1]::double / sqrt(list_sum(list_transform(embedding, lambda x: x::double * x::double))))
+                     ::float::double, 5) + 0.0 as u0
+        from words join embeddings using (vec_id) join documents on doc_id = vec_id""",
+
+    "stream_collection": "with" + _CODED + """
+        select vec_id as point_id, label::bigint as label, word from words join embeddings using (vec_id)""",
 
     "cosine_topk": _TOPK,
     "hamming_rescore": _TOPK,
@@ -368,4 +391,19 @@ ORACLE: dict[str, str] = {
         from jobs j join batches b on b.job_id = j.id""",
 
     "stream_dedupe": "select distinct user_id, event_type from events",
+
+    "stream_papers": "select distinct (doc_id // 2)::varchar as id from documents where lang = 'en'",
+
+    "stream_refresh": f"""
+        with last_ as (
+            select user_id, event_id % 4 as part, {_EVENT_STATUS} as status from events
+            qualify row_number() over (partition by user_id, event_id % 4 order by event_id desc) = 1),
+        asked as (
+            select user_id, case when bool_or(status in ('cancelled', 'failed')) then 'failed'
+                    when bool_or(status in ('in_progress', 'finalizing')) then 'processing'
+                    when bool_and(status = 'completed') then 'completed' else 'pending' end as job_status
+            from last_ group by 1)
+        select row_number() over (order by user_id, 'batch_' || user_id || '_' || part || '.jsonl') as id,
+               user_id as job_id, 'batch_' || user_id || '_' || part as batch_oaid, status, job_status
+        from last_ join asked using (user_id)""",
 }

@@ -12,10 +12,10 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from paperweave.functions import naming, text, vectors
-from paperweave.functions.tokens import token_count as count_tokens
+from paperweave.functions.tokens import token_count as count_tokens, tokenizer_count
 from paperweave.operators import collection, dedup, order, realign, requests, search, state
-from paperweave.plans import clean as clean_job
-from paperweave.sources import papers as paper_source
+from paperweave.plans import clean as clean_job, load as load_job, monitor, prepare as prepare_job
+from paperweave.sources import collections, papers as paper_source, state_tables, vectors as vector_store
 from paperweave.sources.lines import read_result_lines
 from paperweave.streaming import ingest, status as status_stream
 from paperweave.workspace import new_path, stage
@@ -171,6 +171,13 @@ def token_count(spark, folder):
         F.col("row_idx").alias("doc_id"), count_tokens(F.col("text")).alias("token_count"))
 
 
+@query
+def tokenizer_udf(spark, folder):
+    """A plugged-in tokenizer, here plain splitting at white space."""
+    count = tokenizer_count(lambda: str.split)
+    return _texts(spark, folder).select(F.col("row_idx").alias("doc_id"), count(F.col("text")).alias("n_words"))
+
+
 @query
 def token_stats(spark, folder):
     docs = table(spark, folder, "documents").select("lang", count_tokens(F.col("text")).alias("n"))
@@ -239,6 +246,17 @@ def file_totals(spark, folder):
     return requests.file_totals(rolled, MODEL)
 
 
+@query
+def request_files(spark, folder):
+    """The prepare job's files, read back."""
+    limits = prepare_job.Limits(TOKEN_CAP, BATCH_REQUESTS, FILE_BYTES)
+    path = new_path(spark, "job")
+    prepare_job.run(_texts(spark, folder), "text", MODEL, 1, path, limits)
+    lines = spark.read.text(f"{path}/files")
+    return lines.groupBy(*[F.col(c).cast("bigint").alias(c) for c in requests.FILE_KEYS]).agg(
+        F.count(F.lit(1)).alias("n_lines"), F.sum(F.octet_length("value") + 1).alias("n_bytes"))
+
+
 @query
 def file_names(spark, folder):
     model = F.concat(F.lit("Org/Model-"), F.substring("o_orderpriority", 1, 1))
@@ -394,6 +412,34 @@ def collection_chunks(spark, folder):
     return order.chunk_ranges(_points(spark, folder), "point_id", CHUNK)
 
 
+@query
+def stored_vectors(spark, folder):
+    """The middle half of a job's vector dataset, by row number."""
+    found = table(spark, folder, "embeddings").withColumnRenamed("vec_id", "vec_idx")
+    root = new_path(spark, "vectors")
+    vector_store.write_vectors(found, root, 1)
+    stored = vector_store.require_dimension(vector_store.read_vectors(spark, root, 1), 64)
+    n = found.count()
+    return order.row_slice(stored, "vec_idx", n // 4, n // 2).select(
+        "vec_idx", F.size("embedding").cast("bigint").alias("width"),
+        F.col("embedding")[0].cast("double").alias("x0"))
+
+
+@query
+def stored_collection(spark, folder):
+    """The load job's collection, read back: payload, code and unit vector of every point."""
+    path = new_path(spark, "collection")
+    collections.create_collection(spark, path, 64)
+    found = table(spark, folder, "embeddings").withColumnRenamed("vec_id", "vec_idx")
+    papers = table(spark, folder, "documents").withColumnRenamed("doc_id", "row_idx").join(
+        found.select(F.col("vec_idx").alias("row_idx")), "row_idx", "left_semi")
+    # Some documents have no vector and some vectors no document; both stay out.
+    load_job.run(found.join(papers.select(F.col("row_idx").alias("vec_idx")), "vec_idx", "left_semi"), papers, path)
+    return collections.read_points(spark, path).select(
+        "point_id", "payload.lang", "payload.source", F.md5("payload.text").alias("text_md5"),
+        F.col("code")[0].alias("word"), (F.round(F.col("unit")[0].cast("double"), 5) + 0.0).alias("u0"))
+
+
 @query
 def unit_vectors(spark, folder):
     """Unit vectors of scaled ones; label 0 gives zero vectors and so nulls."""
@@ -626,3 +672,61 @@ def stream_dedupe(spark, folder):
            .trigger(availableNow=True).start())
     run.awaitTermination()
     return spark.read.parquet(path)
+
+
+@query
+def stream_papers(spark, folder):
+    """Documents landed as NDJSON papers, two rows per id; each wanted id once."""
+    docs = table(spark, folder, "documents")
+    raw = docs.select(
+        F.call_function("div", F.col("doc_id"), F.lit(2)).cast("string").alias("id"),
+        F.concat_ws(" ", F.when(F.col("lang") == "en", "cs.CL"), "source").alias("categories"))
+    landed, path = new_path(spark, "raw"), new_path(spark, "stream")
+    raw.repartition(4).write.json(landed)
+    arrived = ingest.stream_raw_papers(spark, landed).withColumn("arrived_at", F.current_timestamp())
+    run = (ingest.new_papers(arrived, "30 days").select("id").writeStream.format("parquet").outputMode("append")
+           .option("checkpointLocation", new_path(spark, "offsets")).option("path", path)
+           .trigger(availableNow=True).start())
+    run.awaitTermination()
+    return spark.read.parquet(path)
+
+
+@query
+def stream_refresh(spark, folder):
+    """Events as status snapshots of four batches per user: stored batches and jobs after the stream."""
+    oaid = F.concat(F.lit("batch_"), "user_id", F.lit("_"), F.col("event_id") % 4)
+    events = table(spark, folder, "events").select(
+        "event_id", "user_id", oaid.alias("oaid"), mapped("event_type", EVENT_STATUS).alias("status"))
+    root, landed = new_path(spark, "state"), new_path(spark, "landed")
+    state_tables.recreate_state(spark, root)
+    jobs = events.select(F.col("user_id").alias("id")).distinct().withColumns({
+        "status": F.lit("pending"), "model": F.lit(MODEL),
+        **{c: F.lit(None).cast("timestamp") for c in ("created_at", "updated_at", "finished_at")}})
+    state_tables.write_state(jobs, root, "jobs")
+    created = events.select("user_id", "oaid").distinct().select(
+        F.col("user_id").alias("job_id"), F.concat("oaid", F.lit(".jsonl")).alias("local_file_id"),
+        F.to_json(F.struct(F.col("oaid").alias("id"), F.lit("validating").alias("status"))).alias("raw"))
+    monitor.register_batches(created, root)
+    events.select("event_id", F.to_json(F.struct(F.col("oaid").alias("id"), "status")).alias("raw")).write.json(landed)
+    snapshots = spark.readStream.schema("event_id bigint, raw string").json(landed)
+    run = status_stream.write_refresh(snapshots, root, ["event_id"], new_path(spark, "offsets")).trigger(
+        availableNow=True).start()
+    run.awaitTermination()
+    stored, jobs = (state_tables.read_state(spark, root, t) for t in ("batches", "jobs"))
+    return stored.select("id", "job_id", "batch_oaid", "status").join(
+        jobs.select(F.col("id").alias("job_id"), F.col("status").alias("job_status")), "job_id")
+
+
+@query
+def stream_collection(spark, folder):
+    """Embeddings as a stream of points, read back from the collection they land in."""
+    path = new_path(spark, "collection")
+    collections.create_collection(spark, path, 64)
+    schema = table(spark, folder, "embeddings").schema
+    arriving = spark.readStream.schema(schema).option("pathGlobFilter", "embeddings.parquet").parquet(folder)
+    points = arriving.select(F.col("vec_id").alias("point_id"), F.col("embedding").alias("vector"),
+                             F.struct(F.col("label").cast("bigint").alias("label")).alias("payload"))
+    run = ingest.write_points(points, path, new_path(spark, "offsets")).trigger(availableNow=True).start()
+    run.awaitTermination()
+    return collections.read_points(spark, path).select(
+        "point_id", "payload.label", F.col("code")[0].alias("word"))

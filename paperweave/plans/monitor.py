@@ -3,9 +3,10 @@
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from paperweave.operators import state
-from paperweave.sources.state_tables import read_state, write_state
+from paperweave.sources.state_tables import create_batches, read_state, write_state
 from paperweave.workspace import stage
 
 
@@ -31,3 +32,14 @@ def refresh_stored(spark: SparkSession, root: str, snapshots: DataFrame, order:
     write_state(updated, root, "batches")
     write_state(state.roll_up_jobs(jobs, updated), root, "jobs")
     return updated
+
+
+def register_batches(created: DataFrame, root: str) -> int:
+    """Store newly created batches.
+
+    ``created`` has the service's answer as ``raw`` and the columns ``job_id``
+    and ``local_file_id``; batches get their ids in the order of the files.
+    """
+    flat = state.flatten_snapshots(created).drop("present")
+    status = F.coalesce(F.col("status"), F.lit("validating"))
+    return create_batches(flat.withColumn("status", status), root, ["job_id", "local_file_id"])

@@ -13,6 +13,7 @@ from paperweave.functions import text as rules
 from paperweave.functions.tokens import token_count
 from paperweave.operators import requests
 from paperweave.sources.lines import write_request_files
+from paperweave.sources.state_tables import create_job
 from paperweave.workspace import stage
 
 
@@ -55,3 +56,13 @@ def run(
     return Prepared(
         manifest, per_request, requests.batch_totals(per_request),
         requests.file_totals(rolled, model), texts.filter(F.col("text").isNull()).select("row_idx"))
+
+
+def run_new_job(
+    papers: DataFrame, columns: str | Sequence[str], model: str, state_root: str, path: str,
+    limits: Limits = Limits(), count: Callable[[Column], Column] = token_count,
+) -> tuple[int, Prepared]:
+    """Create a job, then prepare its requests below ``path/<job id>``."""
+    schemas.model_dimension(model)
+    job_id = create_job(papers.sparkSession, state_root, model)
+    return job_id, run(papers, columns, model, job_id, f"{path}/{job_id:04}", limits, count)

@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from paperweave.catalog.queries import QUERIES
-from paperweave.operators import requests, state
+from paperweave.operators import packing, requests, state
 from paperweave.plans import clean
 from paperweave.sources import papers as source
 
@@ -40,7 +40,7 @@ def test_paper_cleaning_plan(spark, tmp_path):
 
 
 @pytest.mark.parametrize("name", [
-    "row_index", "roll_files", "last_version", "job_status_rollup",
+    "row_index", "pack_requests", "roll_files", "last_version", "job_status_rollup",
     "latest_status", "cosine_topk", "hamming_rescore", "realign_results", "dedupe_keep_first"])
 def test_no_single_task_window_and_no_cross_join(spark, name):
     text = plan(QUERIES[name](spark, DATA))
@@ -49,12 +49,19 @@ def test_no_single_task_window_and_no_cross_join(spark, name):
 
 
 def test_packing_gathers_only_its_summaries(spark):
-    text = plan(QUERIES["pack_requests"](spark, DATA))
-    below = text[text.index("Exchange SinglePartition"):].splitlines()[1:3]
+    items = spark.range(1000).select(F.col("id").alias("i"), (F.col("id") % 7).alias("w"))
+    text = plan(packing.pack_next_fit(items, "i", "w", 50, rows_per_bucket=100))
     assert text.count("Exchange SinglePartition") == 1
+    below = text[text.index("Exchange SinglePartition"):].splitlines()[1:3]
     assert any("FileScan parquet [run_no" in line for line in below)
 
 
+def test_short_keys_need_no_summary(spark):
+    items = spark.range(1000).select((F.col("id") % 5).alias("k"), F.col("id").alias("i"), F.lit(3).alias("w"))
+    text = plan(packing.pack_next_fit(items, "i", "w", 50, by=["k"]))
+    assert "SinglePartition" not in text and exchanges(text) == 1
+
+
 def test_roll_up_combines_before_the_shuffle(spark):
     lines = spark.read.parquet(f"{DATA}/lineitem.parquet")
     batches = lines.select(F.col("l_orderkey").alias("job_id"), F.lit("completed").alias("status"))

@@ -165,3 +165,16 @@ def test_stored_tables(spark, tmp_path):
     assert tables.get_job(spark, root, 2)["status"] == "pending"
     tables.recreate_state(spark, root)
     assert tables.read_state(spark, root, "jobs").count() == 0
+
+
+def test_register_batches(spark, tmp_path):
+    root = str(tmp_path)
+    tables.recreate_state(spark, root)
+    made = spark.createDataFrame(
+        [(1, f"file-{n}", json.dumps({"id": f"b{n}", "created_at": 1704067200, "input_file_id": f"in{n}",
+                                      "endpoint": "/e", "object": "batch", "completion_window": "24h"}))
+         for n in (2, 1)], "job_id bigint, local_file_id string, raw string")
+    monitor.register_batches(made, root)
+    rows = tables.read_state(spark, root, "batches").orderBy("id").collect()
+    assert [(r["id"], r["batch_oaid"], r["local_file_id"], r["status"]) for r in rows] == [
+        (1, "b1", "file-1", "validating"), (2, "b2", "file-2", "validating")]
