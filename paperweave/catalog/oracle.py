@@ -12,7 +12,8 @@ def _tidy(column: str) -> str:
 
 def _tokens(column: str) -> str:
     pattern = r"[\p{L}\p{M}]+|\p{N}{1,3}|[^\p{L}\p{M}\p{N}\p{Z}\p{C}]"
-    return f"len(regexp_extract_all({column}, '{pattern}'))::bigint"
+    least = f"case when {column} <> '' then 1 else 0 end"
+    return f"greatest(len(regexp_extract_all({column}, '{pattern}')), {least})::bigint"
 
 
 _EVENT_STATUS = (

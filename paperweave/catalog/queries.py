@@ -417,8 +417,8 @@ def stored_vectors(spark, folder):
     """The middle half of a job's vector dataset, by row number."""
     found = table(spark, folder, "embeddings").withColumnRenamed("vec_id", "vec_idx")
     root = new_path(spark, "vectors")
-    vector_store.write_vectors(found, root, 1)
-    stored = vector_store.require_dimension(vector_store.read_vectors(spark, root, 1), 64)
+    vector_store.write_vectors(found, root, 1, 64)
+    stored = vector_store.read_vectors(spark, root, 1)
     n = found.count()
     return order.row_slice(stored, "vec_idx", n // 4, n // 2).select(
         "vec_idx", F.size("embedding").cast("bigint").alias("width"),

@@ -14,8 +14,13 @@ TOKEN_PATTERN = r"[\p{L}\p{M}]+|\p{N}{1,3}|[^\p{L}\p{M}\p{N}\p{Z}\p{C}]"
 
 
 def token_count(text: Column) -> Column:
-    """Number of pre-tokens of a text, JVM-side; null for a null text."""
-    return F.regexp_count(text, F.lit(TOKEN_PATTERN)).cast("bigint")
+    """Number of pre-tokens of a text, JVM-side; null for a null text.
+
+    A text of white space only counts one, as no tokenizer gives none for it, so
+    a token budget bounds the texts of a request too.
+    """
+    least = F.when(text != "", 1).otherwise(0)
+    return F.when(text.isNotNull(), F.greatest(F.regexp_count(text, F.lit(TOKEN_PATTERN)), least)).cast("bigint")
 
 
 def tokenizer_count(load: Callable[[], Callable[[str], list]]) -> Callable[[Column], Column]:

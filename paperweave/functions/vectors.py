@@ -8,6 +8,12 @@ from pyspark.sql import functions as F
 WORD_BITS = 64
 
 
+def of_dimension(vector: Column, dim: int, row: Column) -> Column:
+    """The vector itself; one of another width, or none, is an error when it is computed."""
+    problem = F.concat(F.lit("vector "), row.cast("string"), F.lit(f" does not have {dim} dimensions"))
+    return F.when(F.size(vector) == dim, vector).otherwise(F.raise_error(problem).cast("array<float>"))
+
+
 def unit_normalize(vector: Column, to: str = "float") -> Column:
     """Vector divided by its length; a zero vector gives null elements."""
     # The length lives in the aggregate's finish lambda, so it is computed once

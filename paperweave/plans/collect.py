@@ -12,7 +12,7 @@ from paperweave import schemas
 from paperweave.operators import realign
 from paperweave.sources import state_tables
 from paperweave.sources.lines import read_result_lines
-from paperweave.sources.vectors import require_dimension, write_vectors
+from paperweave.sources.vectors import write_vectors
 from paperweave.workspace import stage
 
 
@@ -31,9 +31,8 @@ def run(
     # Parsed vectors take a third of their JSON; parsing once pays for the write.
     parsed = stage(parsed.withColumn("value", F.when(~F.col("is_good"), F.col("value"))), "results")
     good = realign.good_lines(parsed)
-    folder = write_vectors(realign.align_vectors(good, manifest), vector_root, job_id)
-    vectors = require_dimension(spark.read.parquet(folder), dim)
-    return Collected(vectors, realign.rejected_lines(parsed), realign.unmatched_requests(good, manifest))
+    folder = write_vectors(realign.align_vectors(good, manifest), vector_root, job_id, dim)
+    return Collected(spark.read.parquet(folder), realign.rejected_lines(parsed), realign.unmatched_requests(good, manifest))
 
 
 def run_completed(

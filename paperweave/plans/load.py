@@ -3,11 +3,13 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from paperweave.functions.vectors import of_dimension
 from paperweave.operators.collection import collection_points
 from paperweave.operators.realign import require_alignment
 from paperweave.sources import collections, state_tables
-from paperweave.sources.vectors import read_vectors, require_dimension
+from paperweave.sources.vectors import read_vectors
 
 
 def run(vectors: DataFrame, papers: DataFrame, path: str, recreate: bool = False) -> int:
@@ -17,8 +19,9 @@ def run(vectors: DataFrame, papers: DataFrame, path: str, recreate: bool = False
     if recreate:
         collections.empty_collection(spark, path)
     total = require_alignment(vectors, papers)
-    require_dimension(vectors, spec["dim"])
-    collections.load_points(collection_points(vectors, papers), path)
+    checked = of_dimension(F.col("embedding"), spec["dim"], F.col("vec_idx"))
+    points = collection_points(vectors.withColumn("embedding", checked), papers)
+    collections.load_points(points, path)
     return total
 
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from paperweave.operators.realign import wrong_dimension
+from paperweave.functions.vectors import of_dimension
 from paperweave.sources.versions import versions
 
 
@@ -13,15 +13,17 @@ def _job_folder(root: str, job_id: int) -> str:
     return f"{root.rstrip('/')}/job_id={job_id}"
 
 
-def write_vectors(vectors: DataFrame, root: str, job_id: int, version: int = 1) -> str:
+def write_vectors(vectors: DataFrame, root: str, job_id: int, dim: int, version: int = 1) -> str:
     """Write ``vec_idx, embedding`` as float32, ranged and sorted by ``vec_idx``.
 
-    A second run replaces the version as a whole, so nothing stale stays behind.
+    A vector without ``dim`` values fails the write. A second run replaces the
+    version as a whole, so nothing stale stays behind.
     """
     folder = f"{_job_folder(root, job_id)}/version={version}"
     (
         vectors.select("vec_idx", F.col("embedding").cast("array<float>").alias("embedding"))
         .repartitionByRange("vec_idx").sortWithinPartitions("vec_idx")
+        .withColumn("embedding", of_dimension(F.col("embedding"), dim, F.col("vec_idx")))
         .write.mode("overwrite").option("compression", "zstd").parquet(folder)
     )
     return folder
@@ -36,11 +38,3 @@ def read_vectors(spark: SparkSession, root: str, job_id: int) -> DataFrame:
     if len(found) > 1:
         raise ValueError(f"several vector datasets in {folder}: versions {found}")
     return spark.read.parquet(f"{folder}/version={found[0]}")
-
-
-def require_dimension(vectors: DataFrame, dim: int) -> DataFrame:
-    """The vectors themselves; an error when one has another width."""
-    bad = wrong_dimension(vectors, dim).select("vec_idx").take(1)
-    if bad:
-        raise ValueError(f"vector {bad[0]['vec_idx']} does not have {dim} dimensions")
-    return vectors

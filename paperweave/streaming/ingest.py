@@ -14,7 +14,11 @@ from paperweave.sources.collections import append_points
 
 
 def stream_raw_papers(spark: SparkSession, path: str, files_per_batch: int | None = None) -> DataFrame:
-    """New NDJSON files below a folder, with the fixed schema."""
+    """New NDJSON files below a folder, with the fixed schema.
+
+    ``files_per_batch`` bounds a micro-batch, and with it the rows of a
+    frequent id that one state task looks up.
+    """
     reader = spark.readStream.schema(RAW_PAPERS).option("mode", "FAILFAST")
     if files_per_batch:
         reader = reader.option("maxFilesPerTrigger", files_per_batch)

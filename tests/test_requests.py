@@ -140,6 +140,10 @@ def test_results_to_collection(spark, prepared, tmp_path):
     assert [p["point_id"] for p in points] == [r["vec_idx"] for r in rows]
     with pytest.raises(ValueError, match="do not match"):
         load.run(got.vectors, papers(spark), root)
+    other = str(tmp_path / "other")
+    collections.create_collection(spark, other, 3)
+    with pytest.raises(Exception, match="does not have 3 dimensions"):
+        load.run(got.vectors, clean, other)
 
 
 def test_bad_lines_do_not_shift_others(spark, prepared, tmp_path):
@@ -157,7 +161,7 @@ def test_bad_lines_do_not_shift_others(spark, prepared, tmp_path):
 def test_wrong_dimension_is_an_error(spark, prepared, tmp_path):
     _, made = prepared
     results = write_results(tmp_path / "results", made.manifest)
-    with pytest.raises(ValueError, match="does not have 5 dimensions"):
+    with pytest.raises(Exception, match="does not have 5 dimensions"):
         collect.run(spark, results, made.manifest, str(tmp_path / "vectors"), 7, 5)
 
 
@@ -172,10 +176,10 @@ def test_vector_versions(spark, tmp_path):
     root, df = str(tmp_path), spark.createDataFrame([(0, [1.0])], "vec_idx bigint, embedding array<float>")
     with pytest.raises(FileNotFoundError):
         vectors.read_vectors(spark, root, 1)
-    vectors.write_vectors(df, root, 1)
-    vectors.write_vectors(df, root, 1)
+    vectors.write_vectors(df, root, 1, 1)
+    vectors.write_vectors(df, root, 1, 1)
     assert vectors.read_vectors(spark, root, 1).count() == 1
-    vectors.write_vectors(df, root, 1, version=2)
+    vectors.write_vectors(df, root, 1, 1, version=2)
     with pytest.raises(ValueError, match="several"):
         vectors.read_vectors(spark, root, 1)
 
