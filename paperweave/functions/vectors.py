@@ -5,9 +5,18 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from paperweave.schemas import MODEL_DIMENSIONS
+
 WORD_BITS = 64
 
 
+def model_dimension(model: Column) -> Column:
+    """Width of the vectors of each row's model; an unknown model is an error."""
+    known = F.create_map(*[F.lit(x) for pair in MODEL_DIMENSIONS.items() for x in pair])
+    problem = F.raise_error(F.concat(F.lit("unknown model "), F.coalesce(model, F.lit("null")))).cast("int")
+    return F.coalesce(F.try_element_at(known, model), problem)
+
+
 def of_dimension(vector: Column, dim: int, row: Column) -> Column:
     """The vector itself; one of another width, or none, is an error when it is computed."""
     problem = F.concat(F.lit("vector "), row.cast("string"), F.lit(f" does not have {dim} dimensions"))

@@ -97,12 +97,12 @@ def wrong_dimension(vectors: DataFrame, dim: int | Column, vector: str = "embedd
 
 def alignment(vectors: DataFrame, records: DataFrame) -> DataFrame:
     """One row: ``n_vectors, n_records, aligned``."""
-    n_vectors = vectors.agg(F.count(F.lit(1)).alias("n_vectors"))
-    n_records = records.agg(F.count(F.lit(1)).alias("n_records"))
-    # Both sides are a single aggregate row.
-    return n_vectors.withColumn("one", F.lit(1)).join(
-        n_records.withColumn("one", F.lit(1)), "one").select(
-        "n_vectors", "n_records", (F.col("n_vectors") == F.col("n_records")).alias("aligned"))
+    def counted(df: DataFrame, name: str, other: str) -> DataFrame:
+        return df.agg(F.count(F.lit(1)).alias(name)).withColumn(other, F.lit(0).cast("bigint"))
+
+    both = counted(vectors, "n_vectors", "n_records").unionByName(counted(records, "n_records", "n_vectors"))
+    return both.agg(F.sum("n_vectors").alias("n_vectors"), F.sum("n_records").alias("n_records")).withColumn(
+        "aligned", F.col("n_vectors") == F.col("n_records"))
 
 
 def require_alignment(vectors: DataFrame, records: DataFrame) -> int:

@@ -142,3 +142,11 @@ def test_points_and_chunks(spark):
     rows = collection.with_load_chunk(collection.collection_points(vectors, papers), 1).orderBy("point_id").collect()
     assert [(r["point_id"], r["vector"], r["payload"]["title"], r["payload"]["journal-ref"], r["chunk"])
             for r in rows] == [(0, [2.0], "x", "j", 0), (1, [1.0], None, "k", 1)]
+
+
+def test_model_dimension(spark):
+    df = spark.createDataFrame([("Qwen/Qwen3-Embedding-8B",)], "m string")
+    assert df.select(v.model_dimension(F.col("m"))).first()[0] == 4096
+    for bad in ("other", None):
+        with pytest.raises(Exception, match="unknown model"):
+            spark.createDataFrame([(bad,)], "m string").select(v.model_dimension(F.col("m"))).collect()

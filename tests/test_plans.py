@@ -41,13 +41,19 @@ def test_paper_cleaning_plan(spark, tmp_path):
 
 @pytest.mark.parametrize("name", [
     "row_index", "pack_requests", "roll_files", "last_version", "job_status_rollup",
-    "latest_status", "cosine_topk", "hamming_rescore", "realign_results", "dedupe_keep_first"])
+    "latest_status", "cosine_topk", "hamming_rescore", "realign_results", "dedupe_keep_first",
+    "collection_points", "missing_vectors", "partial_upsert", "constraint_violations"])
 def test_no_single_task_window_and_no_cross_join(spark, name):
     text = plan(QUERIES[name](spark, DATA))
     assert "Exchange SinglePartition" not in text
     assert "CartesianProduct" not in text and "BroadcastNestedLoopJoin" not in text
 
 
+def test_alignment_needs_no_join(spark):
+    text = plan(QUERIES["alignment_check"](spark, DATA))
+    assert "Join" not in text and "CartesianProduct" not in text
+
+
 def test_packing_gathers_only_its_summaries(spark):
     items = spark.range(1000).select(F.col("id").alias("i"), (F.col("id") % 7).alias("w"))
     text = plan(packing.pack_next_fit(items, "i", "w", 50, rows_per_bucket=100))
