@@ -34,6 +34,14 @@ def _matrix(column: pa.Array, kind: str) -> np.ndarray:
     return column.flatten().to_numpy(zero_copy_only=False).reshape(len(column), -1).astype(kind)
 
 
+def _slices(batches: Iterable[pa.RecordBatch], dim: int) -> Iterator[pa.RecordBatch]:
+    """Batches cut so that a float64 matrix of their vectors stays near 32 MB."""
+    rows = max(1, (1 << 22) // dim)
+    for batch in batches:
+        for start in range(0, batch.num_rows, rows):
+            yield batch.slice(start, rows)
+
+
 def _best(hits: tuple[np.ndarray, ...], k: int) -> tuple[np.ndarray, ...]:
     """The k best hits of every query: score down, then lower id."""
     query, point, score = hits
@@ -49,9 +57,8 @@ def _scan_topk(batches: Iterable[pa.RecordBatch], score_of, queries: int, k: int
     hits = (np.empty(0, np.int32), np.empty(0, np.int64), np.empty(0))
     floor = np.full(queries, -np.inf)
     for batch in batches:
-        if not batch.num_rows:
-            continue
-        score = score_of(batch)
+        # Points without direction have no score and must not fill the best places.
+        score = np.nan_to_num(score_of(batch), nan=-np.inf)
         n = len(score)
         cut = np.partition(score, n - k, axis=0)[n - k] if n > k else np.full(queries, -np.inf)
         row, query = np.nonzero((score >= np.maximum(cut, floor)) & np.isfinite(score))
@@ -125,7 +132,7 @@ def _scan(points: DataFrame, point_id: str, vector: str, matrix: np.ndarray, k:
         def cosine(batch: pa.RecordBatch) -> np.ndarray:
             return np.round(_unit(_matrix(batch.column(1), "float64")) @ unit_queries.T, SCORE_DIGITS)
 
-        yield from _scan_topk(batches, cosine, len(unit_queries), k)
+        yield from _scan_topk(_slices(batches, unit_queries.shape[1]), cosine, len(unit_queries), k)
 
     narrow = points.select(F.col(point_id).cast("bigint").alias("point_id"), F.col(vector).alias("vector"))
     return _rank(narrow.mapInArrow(task, _HIT), k)
@@ -184,7 +191,7 @@ def quantised_topk(
                 bits = _signs(_matrix(batch.column(1), "int64"), dim).astype(np.float64)
                 return -(bits @ (1 - wanted).T + (1 - bits) @ wanted.T)
 
-            yield from _scan_topk(batches, closeness, len(wanted), k * oversample)
+            yield from _scan_topk(_slices(batches, dim), closeness, len(wanted), k * oversample)
 
         candidates = _rank(codes.mapInArrow(near, _HIT), k * oversample).select("point_id").distinct()
         vectors = points.select(F.col(point_id).cast("bigint").alias("point_id"), F.col(vector).alias("vector"))
@@ -197,9 +204,7 @@ def quantised_topk(
 
         def possible(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             square, wanted, least = limits.value
-            for batch in batches:
-                if not batch.num_rows:
-                    continue
+            for batch in _slices(batches, dim):
                 bits = _signs(_matrix(batch.column(1), "int64"), dim).astype(np.float64)
                 agree = bits @ (square * wanted).T + (1 - bits) @ (square * (1 - wanted)).T
                 open_rows = (np.sqrt(agree) >= least).any(axis=1)

@@ -63,6 +63,16 @@ def test_topk_of_few_points(spark):
     assert search.cosine_topk(points, asked.limit(0), 5).count() == 0
 
 
+def test_many_points_without_direction(spark):
+    rows = np.zeros((300, 8), np.float32)
+    rows[::3] = np.random.default_rng(1).normal(size=(100, 8))
+    points = frame(spark, [(i, r.tolist()) for i, r in enumerate(rows)]).coalesce(1)
+    asked = frame(spark, [(0, rows[0].tolist())], "query_id bigint, query_vector array<float>")
+    want = brute(rows, rows[:1], 20)
+    assert ranked(search.cosine_topk(points, asked, 20)) == want
+    assert ranked(search.quantised_topk(search.with_codes(points), asked, 20)) == want
+
+
 def test_uneven_width_is_an_error(spark):
     points = frame(spark, [(0, [1.0, 2.0]), (1, [1.0])]).coalesce(1)
     asked = frame(spark, [(0, [1.0, 0.0])], "query_id bigint, query_vector array<float>")
