@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from paperweave.operators.collection import prepare_vectors
 from paperweave.schemas import UPLOAD_BATCH_ROWS
+from paperweave.sources.versions import versions
 
 _SPEC = "dim int, metric string, quantisation string, generation int"
 
@@ -25,9 +26,15 @@ def collection_spec(spark: SparkSession, path: str) -> Row | None:
         raise
 
 
-def _write_spec(spark: SparkSession, path: str, dim: int, metric: str, generation: int, mode: str) -> None:
+def _write_spec(spark: SparkSession, path: str, dim: int, metric: str, generation: int) -> None:
     spark.createDataFrame([(dim, metric, "binary", generation)], _SPEC).coalesce(1).write.mode(
-        mode).parquet(f"{path}/spec")
+        "overwrite").parquet(f"{path}/spec")
+
+
+def _unused_generation(spark: SparkSession, path: str, spec: Row | None) -> int:
+    """A number no load has used, finished or not."""
+    used = versions(spark, f"{path}/points", "generation")
+    return max([*used, spec["generation"] if spec else 0]) + 1
 
 
 def create_collection(
@@ -39,7 +46,7 @@ def create_collection(
     old = collection_spec(spark, path)
     if old is not None and not recreate:
         raise FileExistsError(f"collection {path} exists")
-    _write_spec(spark, path, dim, metric, old["generation"] + 1 if old else 1, "overwrite")
+    _write_spec(spark, path, dim, metric, _unused_generation(spark, path, old))
 
 
 def empty_collection(spark: SparkSession, path: str) -> None:
@@ -89,10 +96,11 @@ def load_points(points: DataFrame, path: str) -> None:
     if old is not None:
         kept = old.join(points.select("point_id"), "point_id", "left_anti")
         ready = _in_id_order(points.unionByName(kept.select(points.columns)))
-        generation += 1
-    ready.write.option("compression", "zstd").parquet(f"{_folder(path, generation)}/part=load")
+        generation = _unused_generation(spark, path, spec)
+    # Nothing reads this folder yet; overwriting clears what a failed load left.
+    ready.write.mode("overwrite").option("compression", "zstd").parquet(f"{_folder(path, generation)}/part=load")
     if generation != spec["generation"]:
-        _write_spec(spark, path, spec["dim"], spec["metric"], generation, "overwrite")
+        _write_spec(spark, path, spec["dim"], spec["metric"], generation)
 
 
 def append_points(points: DataFrame, path: str, part: str) -> None:

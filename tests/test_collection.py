@@ -127,6 +127,9 @@ def test_collection_life(spark, tmp_path):
     store.append_points(point_rows(spark, [4, 5], "c"), path, "one")
     store.append_points(point_rows(spark, [4, 5], "c"), path, "one")
     assert store.read_points(spark, path).count() == 6
+    # A load that broke off before its points became current.
+    point_rows(spark, [9], "lost").write.parquet(f"{path}/points/generation=3/part=load")
+    assert store.read_points(spark, path).count() == 6
     store.empty_collection(spark, path)
     assert store.read_points(spark, path) is None
     assert store.require_collection(spark, path)["dim"] == 2
