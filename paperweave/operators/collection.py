@@ -21,7 +21,9 @@ def collection_points(
     records = papers.select(F.col(row).alias("point_id"),
                             F.struct(*[F.col(f"`{c}`").alias(c) for c in names]).alias("payload"))
     points = vectors.select(F.col(vec).alias("point_id"), F.col(vector).alias("vector"))
-    return points.join(records, "point_id").select("point_id", "vector", "payload")
+    # Both sides are wide; neither should be gathered on the driver for a
+    # broadcast because its file is well compressed.
+    return points.join(records.hint("merge"), "point_id").select("point_id", "vector", "payload")
 
 
 def prepare_vectors(points: DataFrame, vector: str = "vector") -> DataFrame:

@@ -128,8 +128,10 @@ def request_lines(texts: DataFrame, manifest: DataFrame, rolled: DataFrame, mode
         "row_idx", json_string(F.col("text")).alias("literal"))
     in_order = F.array_sort(F.collect_list(F.struct("pos", "literal")))
     inputs = F.array_join(F.transform(in_order, lambda x: x["literal"]), ", ")
+    # Compressed texts look small to the planner; the hint keeps it from
+    # gathering them on the driver for a broadcast.
     return (
-        literals.join(place, "row_idx")
+        literals.hint("merge").join(place, "row_idx")
         .repartition(*FILE_KEYS)
         .groupBy(*FILE_KEYS, "request_id", "custom_id").agg(inputs.alias("inputs"))
         .select(*FILE_KEYS, "request_id", "custom_id",

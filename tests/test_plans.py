@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from paperweave.catalog.queries import QUERIES
 from paperweave.operators import packing, requests, state
 from paperweave.plans import clean
+from paperweave.session import shuffle_partitions
 from paperweave.sources import papers as source
 
 DATA = "/root/testdata/sf0.001"
@@ -92,3 +93,14 @@ def test_slices_reach_the_scan(spark):
     text = plan(spark.read.parquet(f"{DATA}/documents.parquet").select("doc_id", "lang").filter(
         (F.col("doc_id") >= 10) & (F.col("doc_id") < 20)))
     assert "GreaterThanOrEqual(doc_id,10)" in text and "LessThan(doc_id,20)" in text
+
+
+def test_wide_sides_are_not_broadcast(spark):
+    text = plan(QUERIES["collection_points"](spark, DATA))
+    assert "SortMergeJoin" in text and "BroadcastHashJoin" not in text
+    assert "text" not in re.findall(r"ReadSchema: (struct<[^\n]*)", text)[1]
+
+
+def test_shuffle_tasks_grow_with_the_input():
+    assert shuffle_partitions(10 ** 9) == 200
+    assert shuffle_partitions(100 * 10 ** 12) == 372530
