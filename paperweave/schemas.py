@@ -27,6 +27,8 @@ BATCH_STATUSES = [
     "failed", "expired", "cancelled", "cancelling",
 ]
 
+# Names and order of the fields below are fixed values of the data formats.
+
 # --- raw and clean papers ---------------------------------------------------
 
 RAW_PAPERS = T.StructType(
