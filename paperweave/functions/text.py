@@ -67,7 +67,7 @@ def parse_http_date(text: Column, strict: bool = True) -> Column:
     # compared with the one the parsed date has.
     moment = F.to_timestamp_ntz if strict else _try_ntz
     parsed = moment(F.substring_index(text, ", ", -1), F.lit("d MMM yyyy HH:mm:ss 'GMT'"))
-    fits = F.lower(F.date_format(parsed, "EEE")) == F.lower(F.substring_index(text, ", ", 1))
+    fits = F.lower(F.dayname(parsed)) == F.lower(F.substring_index(text, ", ", 1))
     if not strict:
         return F.when(fits, parsed)
     problem = F.raise_error(F.concat(F.lit("not a valid date: "), text)).cast("timestamp_ntz")
@@ -75,4 +75,8 @@ def parse_http_date(text: Column, strict: bool = True) -> Column:
 
 
 def _try_ntz(text: Column, pattern: Column) -> Column:
-    return F.try_to_timestamp(text, pattern).cast("timestamp_ntz")
+    # Read as an instant in UTC and counted from the epoch, so that the session's
+    # time zone and its clock changes play no part.
+    instant = F.try_to_timestamp(F.concat(text, F.lit(" +0000")), F.concat(pattern, F.lit(" Z")))
+    epoch = F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
+    return epoch + F.make_dt_interval(secs=F.unix_seconds(instant))

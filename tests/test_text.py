@@ -69,6 +69,17 @@ def test_http_date_is_strict(spark, raw):
     assert one(spark, text.parse_http_date(F.col("t"), strict=False), t=raw) is None
 
 
+@pytest.mark.parametrize("strict", [True, False])
+def test_http_date_ignores_session_zone(spark, strict):
+    # This hour does not exist on New York clocks.
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    try:
+        got = one(spark, text.parse_http_date(F.col("t"), strict), t="Sun, 11 Mar 2007 02:30:00 GMT")
+        assert got == dt.datetime(2007, 3, 11, 2, 30)
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+
+
 @pytest.mark.parametrize("raw,want", [
     ("Two words", 2), ("1234567", 3), ("a1b", 3), ("é, né!", 4), ("", 0), (" \n", 1), ("éx", 1), ("日本", 1)])
 def test_token_count(spark, raw, want):
