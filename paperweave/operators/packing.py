@@ -116,15 +116,16 @@ def pack_next_fit(
     """Bin numbers from 1 within each ``by`` key: ``by``, ``order``, ``weight``, ``extra``, bin.
 
     ``order`` is a non-negative integer, unique within a key; it may have gaps.
-    Only these columns move; ``extra`` ones are carried along and should be narrow. ``max_group_entries`` bounds what one task
-    holds while descriptions are joined.
+    Only these columns move; ``extra`` ones are carried along and should be
+    narrow. ``max_group_entries`` bounds what one task holds while descriptions
+    are joined.
     """
     by, extra = list(by), list(extra)
     keys = [F.col(c) for c in by]
-    sound = F.col(weight) >= 0
+    sound = (F.col(weight) >= 0) & (F.col(order) >= 0)
     for key in keys:
         sound = sound & key.isNotNull()
-    bad = F.raise_error(F.lit("packing needs a key and a weight of zero or more on every row"))
+    bad = F.raise_error(F.lit("packing needs a key, an order and a weight of zero or more on every row"))
     checked = F.when(sound, F.col(weight).cast("bigint")).otherwise(bad.cast("bigint"))
     items = stage(items.select(*keys, F.col(order).cast("bigint").alias(order),
                                checked.alias(weight), *extra), "weights")

@@ -85,6 +85,7 @@ def test_operator_without_keys_and_gaps(spark):
 
 
 def test_missing_weight_is_an_error(spark):
-    items = spark.createDataFrame([(1, None)], "i bigint, w bigint")
-    with pytest.raises(Exception, match="packing needs"):
-        packing.pack_next_fit(items, "i", "w", 100).collect()
+    for row in ((1, None), (None, 1), (1, -1)):
+        items = spark.createDataFrame([row], "i bigint, w bigint")
+        with pytest.raises(Exception, match="packing needs"):
+            packing.pack_next_fit(items, "i", "w", 100).collect()
