@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from paperweave.llm import quality_rules
+from paperweave.llm import bpe, licenses, line_templates, mixing, quality_rules, simhash, warc
+from paperweave.workspace import new_path
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -29,3 +30,52 @@ def op1_quality_rules(spark, folder):
     return quality_rules.judge(docs).select(
         "doc_id", *[F.col(c) for c in quality_rules.BASE], "base_failed", "kept",
         F.array_join("broken", ", ").alias("broken"))
+
+
+@query
+def op2_mixing(spark, folder):
+    """Every document's place in the mix of its sources."""
+    docs = table(spark, folder, "documents").select("doc_id", "source")
+    return mixing.mix(docs).withColumnRenamed("id", "doc_id")
+
+
+@query
+def op3_licenses(spark, folder):
+    """Every document's license phrases and notices."""
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    return licenses.scan(docs).withColumnRenamed("id", "doc_id")
+
+
+@query
+def op4_bpe(spark, folder):
+    """Every document encoded and decoded again."""
+    import public_tokenizers
+
+    vocabulary = bpe.read_vocabulary(public_tokenizers.path("byte_bpe_multi_50k.tiktoken"))
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    return bpe.encode(docs, vocabulary, public_tokenizers.PATTERN).withColumnRenamed("id", "doc_id")
+
+
+@query
+def op7_simhash(spark, folder):
+    """Every document's fingerprint and near-duplicate group."""
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    return simhash.near_duplicates(docs).select(
+        F.col("id").alias("doc_id"), simhash.hex_digits("fp").alias("fingerprint"),
+        F.col("component").alias("component_id"))
+
+
+@query
+def op9_warc(spark, folder):
+    """Pages written as deduplicated archives, read back and resolved."""
+    pages = warc.resolved(warc.with_digests(table(spark, folder, "pages")))
+    path = new_path(spark, "warc")
+    warc.write_archives(pages, path)
+    return warc.resolve_revisits(warc.read_archives(spark, path)).drop("url")
+
+
+@query
+def op10_line_templates(spark, folder):
+    """Every document without the lines that recur in others."""
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    return line_templates.drop_lines(docs, count="n_dropped")
