@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 from paperweave.llm.common import need, quoted
 
 WORD = 256  # bits of a bitmap word
-SEEN = 300_000  # pre-tokens a worker remembers
+SEEN = 500_000  # pre-tokens a worker remembers
 RUN = 1 << 16  # pre-tokens handled at once
 
 

@@ -7,7 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from paperweave.llm import bpe, licenses, line_templates, mixing, quality_rules, simhash, warc
+from paperweave.llm import (
+    bpe, licenses, line_templates, mixing, quality_classifier, quality_rules, simhash, surrogates, vector_file, warc,
+)
 from paperweave.workspace import new_path
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -79,3 +81,28 @@ def op10_line_templates(spark, folder):
     """Every document without the lines that recur in others."""
     docs = table(spark, folder, "documents").select("doc_id", "text")
     return line_templates.drop_lines(docs, count="n_dropped")
+
+
+@query
+def op5_surrogates(spark, folder):
+    """Every document with surrogates for personal data."""
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    return surrogates.replace_entities(docs, count="n_entities")
+
+
+@query
+def op6_quality_classifier(spark, folder):
+    """Every document's score by a model learned from the labels outside the held-out third."""
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    model = quality_classifier.fit(docs, table(spark, folder, "labels"))
+    scored = quality_classifier.score(docs, model)
+    return scored.select(
+        F.col("id").alias("doc_id"), quality_classifier.held_out(F.col("id")).alias("held_out"), "score",
+        (F.col("score") >= 0.5).cast("int").alias("predicted"))
+
+
+@query
+def op8_vector_file(spark, folder):
+    """The five nearest of every fiftieth vector."""
+    found = vector_file.search(table(spark, folder, "embeddings"), F.col("id") % 50 == 0)
+    return found.withColumnRenamed("id", "vec_id")
