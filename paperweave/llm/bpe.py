@@ -23,6 +23,7 @@ import hashlib
 from collections.abc import Iterator
 from itertools import islice
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -192,14 +193,16 @@ def encode(
                     of_text.update(encoder.decode(ids))
                     n += ids.count(",") + 1
                     if with_ids:
-                        kept.extend(map(int, ids.split(",")))
+                        kept.append(np.array(ids.split(","), np.int32))
                 counts.append(n)
                 ids_digests.append(of_ids.hexdigest())
                 text_digests.append(of_text.hexdigest())
-                all_ids.append(kept)
+                all_ids.extend(kept)
             columns = [batch.column(0), pa.array(counts, pa.int64()), pa.array(ids_digests), pa.array(text_digests)]
             if with_ids:
-                columns.append(pa.array(all_ids, pa.list_(pa.int32())))
+                offsets = np.concatenate([[0], np.cumsum(counts)]).astype(np.int32)
+                values = np.concatenate([np.zeros(0, np.int32), *all_ids])
+                columns.append(pa.ListArray.from_arrays(pa.array(offsets), pa.array(values)))
             yield pa.RecordBatch.from_arrays(columns, names)
 
     return rows.mapInArrow(run, f"id {kind}, n_tokens bigint, ids_sha256 string, decoded_sha256 string"

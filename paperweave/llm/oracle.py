@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from paperweave.llm import quality_rules as rules
+from paperweave.llm import licenses, quality_rules as rules, vector_file, warc
 
 WORDS = r"regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')"
 
@@ -21,15 +21,15 @@ windows as (select s.doc_id, i, count(*) over (partition by s.doc_id, w[i:i+7])
             from starts s join words using (doc_id)),
 covers as (select doc_id, i, lead(i) over (partition by doc_id order by i) as next from windows where n > 1),
 repeats as (select doc_id, sum(least(8, coalesce(next - i, 8)))::bigint as n_repeat_words from covers group by all),
-lines as (select doc_id, list_filter(string_split(t, chr(10)), x -> regexp_matches(x, '[^\x20\x09-\x0D]')) as l
+lines as (select doc_id, list_filter(string_split(t, chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) as l
           from words),
 base as (
   select doc_id, len(w) as n_words, length(array_to_string(w, '')) as word_chars,
          length(regexp_replace(t, '[^#*$%&|<>]', '', 'g')) as n_symbols,
          len(l) - len(list_distinct(l)) as n_dup_lines, coalesce(n_repeat_words, 0) as n_repeat_words,
-         len(list_filter(w, x -> x in ({stop}))) as n_stop, len(l) as n_lines,
-         len(list_filter(l, x -> regexp_matches(x, '^[ \x09-\x0D]*[-*•]'))) as n_bullet,
-         len(list_filter(l, x -> regexp_matches(x, '(\.\.\.|…)[ \x09-\x0D]*$'))) as n_cut
+         len(list_filter(w, lambda x: x in ({stop}))) as n_stop, len(l) as n_lines,
+         len(list_filter(l, lambda x: regexp_matches(x, '^[ \x09-\x0D]*[-*•]'))) as n_bullet,
+         len(list_filter(l, lambda x: regexp_matches(x, '(\.\.\.|…)[ \x09-\x0D]*$'))) as n_cut
   from words join lines using (doc_id) left join repeats using (doc_id)),
 ratios as (
   select *, case when n_words > 0 then word_chars::double / n_words else 0 end as mean_word_chars,
@@ -47,4 +47,61 @@ select doc_id, n_words::bigint as n_words, word_chars::bigint as word_chars, n_s
 from judged"""
 
 
-ORACLE: dict[str, str] = {"op1_quality_rules": _quality()}
+def _licenses() -> str:
+    phrases = ", ".join(f"('{p}', '{label}', {len(p.split())})" for p, label in licenses.PHRASES.items())
+    sets = []
+    for i, (label, text) in enumerate(licenses.TEMPLATES):
+        words = licenses.template_words(text)
+        if len(words) >= licenses.LEAST_WORDS:
+            sets.append(f"({i}, '{label}', [{', '.join(repr(w) for w in words)}])")
+    return rf"""
+with plain as (
+  select doc_id, translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') as t
+  from documents),
+words as (select doc_id, regexp_extract_all(t, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') as w, string_split(t, chr(10)) as l
+          from plain),
+phrases(phrase, label, n) as (values {phrases}),
+places as (select doc_id, w, unnest(range(1, len(w) + 1)) as i from words),
+hits as (select doc_id, i - 1 as start, label from places join phrases on array_to_string(w[i:i + n - 1], ' ') = phrase),
+base as (select doc_id, count(*) as n, min(start) as a, max(start) as z, list(distinct label) as labels from hits group by 1),
+templates(template, label, words) as (values {", ".join(sets)}),
+blocks as (select doc_id, list_distinct(regexp_extract_all(unnest(l), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')) as b from words),
+met as (select doc_id, label, len(list_intersect(b, words))::double / len(words) as score
+        from blocks join templates on len(list_intersect(b, words)) >= ceil({licenses.THRESHOLD} * len(words) - 1e-9)),
+more as (select doc_id, list(distinct label) as labels, max(score) as score, count(*) as n from met group by 1)
+select doc_id, len(w)::bigint as n_words, coalesce(base.n, 0)::bigint as n_base, a::bigint as first_word,
+       z::bigint as last_word, coalesce(array_to_string(list_sort(base.labels), ','), '') as base_labels,
+       coalesce(array_to_string(list_sort(list_distinct(list_concat(coalesce(base.labels, []), coalesce(more.labels, [])))), ','), '') as labels,
+       case when base.n > 0 then 1.0 else coalesce(more.score, 0.0) end::double as score,
+       coalesce(more.n, 0)::bigint as n_template_blocks
+from words left join base using (doc_id) left join more using (doc_id)"""
+
+
+VECTORS = f"""
+with v as (
+  select vec_id, list_transform(embedding, lambda x: floor({int(vector_file.SCALE)} * x::double)::bigint) as v from embeddings
+  where vec_id is not null and embedding is not null
+    and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0),
+pairs as (
+  select q.vec_id as query_id, c.vec_id,
+         list_sum(list_transform(list_zip(q.v, c.v), lambda x: coalesce(x[1] * x[2], 0)))::bigint as score
+  from v q join v c on q.vec_id % 50 = 0 and c.vec_id <> q.vec_id),
+ranked as (select *, row_number() over (partition by query_id order by score desc, vec_id)::int as rank from pairs)
+select query_id, rank, vec_id, score from ranked where rank <= {vector_file.TOP}"""
+
+ARCHIVES = f"""
+with p as (
+  select page_id, encode(coalesce(html, '')) as b from pages),
+d as (select page_id, octet_length(b)::bigint as payload_bytes, sha256(b) as payload_digest from p),
+f as (select *, min(page_id) over (partition by payload_digest) as first from d)
+select page_id, payload_bytes, payload_digest,
+       case when payload_bytes >= {warc.LEAST_BYTES} and page_id <> first then 'revisit' else 'response' end as record_type,
+       case when payload_bytes >= {warc.LEAST_BYTES} and page_id <> first then first end as refers_to
+from f"""
+
+ORACLE: dict[str, str] = {
+    "op1_quality_rules": _quality(),
+    "op3_licenses": _licenses(),
+    "op8_vector_file": VECTORS,
+    "op9_warc": ARCHIVES,
+}
