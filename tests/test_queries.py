@@ -26,14 +26,14 @@ def duck():
 
 
 def test_every_query_has_sql():
-    assert set(entry.queries()) == set(entry.oracle_sql())
+    assert set(entry.QUERIES) == set(entry.ORACLE)
 
 
 def test_entry(spark):
     assert entry.entry(spark).count() > 0
 
 
-@pytest.mark.parametrize("name", sorted(entry.queries()))
+@pytest.mark.parametrize("name", sorted(entry.QUERIES))
 def test_query(spark, duck, name):
     ours = entry.queries()[name](spark, DATA).toPandas()
     assert check.difference(ours, duck.execute(entry.oracle_sql()[name]).df()) is None
