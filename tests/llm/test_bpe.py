@@ -1,0 +1,73 @@
+import base64
+import hashlib
+
+import public_tokenizers as P
+import pytest
+import tiktoken
+
+from paperweave.llm import bpe
+
+PATH = P.path("byte_bpe_multi_50k.tiktoken")
+
+
+@pytest.fixture(scope="module")
+def theirs():
+    ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, open(PATH, "rb"))}
+    return tiktoken.Encoding("own", pat_str=P.PATTERN, mergeable_ranks=ranks, special_tokens={})
+
+
+@pytest.fixture(scope="module")
+def ours():
+    return bpe.Encoder(bpe.read_vocabulary(PATH), P.PATTERN)
+
+
+@pytest.mark.parametrize("which", ["odd_docs", "docs"])
+def test_as_the_library(request, theirs, which):
+    docs = request.getfixturevalue(which)
+    rows = bpe.encode(docs, bpe.read_vocabulary(PATH), P.PATTERN, with_ids=True).collect()
+    texts = {r.doc_id: r.text or "" for r in docs.collect()}
+    assert len(rows) == docs.count()
+    for r in rows:
+        ids = theirs.encode_ordinary(texts[r.id])
+        assert r.n_tokens == len(ids) and list(r.ids) == ids
+        assert r.ids_sha256 == hashlib.sha256(",".join(map(str, ids)).encode()).hexdigest()
+        assert r.decoded_sha256 == hashlib.sha256(texts[r.id].encode()).hexdigest()
+
+
+@pytest.mark.parametrize("text", [
+    "a" * 5000, "ab" * 3000 + "a", "é" * 700, "  \n\t  x", "\x1c\x1d\x85  a", "<|endoftext|>", "don't I'll", "١٢٣ ²½", "\U0001F600" * 50,
+])
+def test_hard_pretokens(theirs, ours, text):
+    found = ",".join(ours.encoded_runs(text))
+    assert found == ",".join(map(str, theirs.encode_ordinary(text)))
+    assert ours.decode(found) == text.encode()
+
+
+def test_long_text_in_runs(monkeypatch, theirs, ours):
+    monkeypatch.setattr(bpe, "RUN", 7)
+    text = "Some words, and more of them.\n" * 50
+    assert ",".join(ours.encoded_runs(text)) == ",".join(map(str, theirs.encode_ordinary(text)))
+
+
+def test_lower_rank_that_appears_later():
+    """A merge may open a pair of lower rank, which then comes first."""
+    tokens = [bytes([b]) for b in range(256)] + [b"abc", b"ab", b"bcab", b"bc"]
+    lines = b"\n".join(base64.b64encode(t) + b" %d" % i for i, t in enumerate(tokens))
+    ours = bpe.Encoder(lines, P.PATTERN)
+    ranks = {t: i for i, t in enumerate(tokens)}
+    theirs = tiktoken.Encoding("small", pat_str=P.PATTERN, mergeable_ranks=ranks, special_tokens={})
+    for text in ("abcabc", "aabcbcab", "bcabcabc", "ababcc"):
+        assert ours.merge(text.encode()) == theirs.encode_ordinary(text)
+
+
+def test_memory_of_seen_pretokens(monkeypatch, ours):
+    monkeypatch.setattr(bpe, "SEEN", 3)
+    ours.seen.clear()
+    list(ours.encoded_runs("one two three four five six"))
+    assert len(ours.seen) <= 3
+
+
+def test_empty_table(no_docs, spread, odd_docs):
+    vocabulary = bpe.read_vocabulary(PATH)
+    assert bpe.encode(no_docs, vocabulary, P.PATTERN).count() == 0
+    assert bpe.encode(spread(odd_docs), vocabulary, P.PATTERN).columns == ["id", "n_tokens", "ids_sha256", "decoded_sha256"]
