@@ -135,5 +135,5 @@ def mix(
 def in_mixed_order(docs: DataFrame, id_column: str = "doc_id", source: str = "source", **how) -> DataFrame:
     """``docs`` in the order of the mix: ranges of places, each sorted. Rows without an id come first."""
     places = mix(docs, id_column, source, **how).groupBy("id").agg(F.min("mix_pos").alias("_place"))
-    placed = docs.join(places.withColumnRenamed("id", "_id"), quoted(id_column) == F.col("_id"), "left")
+    placed = docs.join(places.withColumnRenamed("id", "_id").hint("merge"), quoted(id_column) == F.col("_id"), "left")
     return placed.repartitionByRange("_place").sortWithinPartitions("_place").select(*[quoted(c) for c in docs.columns])

@@ -301,7 +301,7 @@ def keep_one(docs: DataFrame, id_column: str = "doc_id", text: str = "text") ->
     found = near_duplicates(docs, id_column, text)
     kept = found.filter("id = component").select(F.col("id").alias("_kept")).distinct()
     key = quoted(id_column)
-    rows = docs.join(kept, key == F.col("_kept"), "left").filter(F.col("_kept").isNotNull() | key.isNull())
+    rows = docs.join(kept.hint("merge"), key == F.col("_kept"), "left").filter(F.col("_kept").isNotNull() | key.isNull())
     rank = F.row_number().over(Window.partitionBy(key).orderBy(key))
     return rows.withColumn("_rank", rank).filter((F.col("_rank") == 1) | key.isNull()).select(
         *[quoted(c) for c in docs.columns])

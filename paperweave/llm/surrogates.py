@@ -221,7 +221,8 @@ def replace_entities(
     a, b, c = fresh(docs, "_id", "_row", "_attempts")
     placed = placed.select(F.col("id").alias(a), F.col("row").alias(b), F.col("attempts").alias(c))
     t = quoted(text)
-    joined = docs.join(placed, quoted(id_column).cast("string").eqNullSafe(F.col(a)) & (F.xxhash64(t) == F.col(b)), "left")
+    # No broadcast: what a corpus has of entities has no bound.
+    joined = docs.join(placed.hint("merge"), quoted(id_column).cast("string").eqNullSafe(F.col(a)) & (F.xxhash64(t) == F.col(b)), "left")
 
     def replaced(entity: Column, i: Column) -> Column:
         attempt = F.element_at(F.col(c), i)

@@ -57,7 +57,7 @@ def resolved(pages: DataFrame) -> DataFrame:
 
 def _with_target(pages: DataFrame, revisits: DataFrame) -> DataFrame:
     r = revisits.select(F.col("page_id").alias("r_id"), F.col("digest").alias("r_digest"), "refers_to")
-    joined = pages.join(r, F.col("page_id").eqNullSafe(F.col("r_id")) & (F.col("digest") == F.col("r_digest")), "left")
+    joined = pages.join(r.hint("merge"), F.col("page_id").eqNullSafe(F.col("r_id")) & (F.col("digest") == F.col("r_digest")), "left")
     return joined.withColumn("record_type", F.when(F.col("r_digest").isNull(), "response").otherwise("revisit")).drop(
         "r_id", "r_digest")
 
