@@ -28,7 +28,7 @@ from collections.abc import Mapping
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from paperweave.llm.common import need, quoted, running_before
+from paperweave.llm.common import fresh, need, quoted, running_before
 from paperweave.workspace import stage
 
 BLOCK, PERIOD, BUCKET, SPAN = 64, 4000, 1000, 100_000
@@ -134,6 +134,7 @@ def mix(
 
 def in_mixed_order(docs: DataFrame, id_column: str = "doc_id", source: str = "source", **how) -> DataFrame:
     """``docs`` in the order of the mix: ranges of places, each sorted. Rows without an id come first."""
-    places = mix(docs, id_column, source, **how).groupBy("id").agg(F.min("mix_pos").alias("_place"))
-    placed = docs.join(places.withColumnRenamed("id", "_id").hint("merge"), quoted(id_column) == F.col("_id"), "left")
-    return placed.repartitionByRange("_place").sortWithinPartitions("_place").select(*[quoted(c) for c in docs.columns])
+    same, place = fresh(docs, "_id", "_place")
+    places = mix(docs, id_column, source, **how).groupBy("id").agg(F.min("mix_pos").alias(place))
+    placed = docs.join(places.withColumnRenamed("id", same).hint("merge"), quoted(id_column) == F.col(same), "left")
+    return placed.repartitionByRange(place).sortWithinPartitions(place).select(*[quoted(c) for c in docs.columns])

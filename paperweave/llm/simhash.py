@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from paperweave.llm.common import need, quoted
+from paperweave.llm.common import fresh, need, quoted
 from paperweave.workspace import stage
 
 SHINGLE, SEED, RADIUS = 3, 42, 3
@@ -299,11 +299,12 @@ def near_duplicates(docs: DataFrame, id_column: str = "doc_id", text: str = "tex
 def keep_one(docs: DataFrame, id_column: str = "doc_id", text: str = "text") -> DataFrame:
     """One row per group: the one with the smallest id; rows without an id all stay."""
     found = near_duplicates(docs, id_column, text)
-    kept = found.filter("id = component").select(F.col("id").alias("_kept")).distinct()
+    stays, turn = fresh(docs, "_stays", "_turn")
+    kept = found.filter("id = component").select(F.col("id").alias(stays)).distinct()
     key = quoted(id_column)
-    rows = docs.join(kept.hint("merge"), key == F.col("_kept"), "left").filter(F.col("_kept").isNotNull() | key.isNull())
+    rows = docs.join(kept.hint("merge"), key == F.col(stays), "left").filter(F.col(stays).isNotNull() | key.isNull())
     rank = F.row_number().over(Window.partitionBy(key).orderBy(key))
-    return rows.withColumn("_rank", rank).filter((F.col("_rank") == 1) | key.isNull()).select(
+    return rows.withColumn(turn, rank).filter((F.col(turn) == 1) | key.isNull()).select(
         *[quoted(c) for c in docs.columns])
 
 

@@ -1,0 +1,86 @@
+import ast
+from pathlib import Path
+
+import public_tokenizers as P
+import pytest
+
+import corpus_pipeline as pipeline
+from paperweave.llm import bpe, quality_rules, simhash
+from test_line_templates import brute as brute_lines
+from test_quality_rules import brute as brute_measures
+from test_simhash import brute_components, brute_print
+
+DATA = "/root/testdata/sf0.001"
+
+
+@pytest.fixture(scope="module")
+def steps(spark, tmp_path_factory):
+    """Every stage's rows, written and read as the run does."""
+    out, docs = [], spark.read.parquet(f"{DATA}/documents.parquet")
+    for name, function in pipeline.STAGES:
+        path = str(tmp_path_factory.mktemp("stage") / name)
+        function(spark, docs, DATA).write.parquet(path)
+        out.append((docs, docs := spark.read.parquet(path)))
+    return out
+
+
+def texts(df):
+    return {r.doc_id: r.text for r in df.collect()}
+
+
+def test_stages_keep_the_columns(steps):
+    first = steps[0][0].columns
+    assert all(after.columns == first for _, after in steps[:-1])
+    assert [n for n, _ in pipeline.STAGES] == ["quality_rules", "line_dedup", "simhash_near_dedup", "mixing", "bpe"]
+
+
+def test_quality(steps):
+    before, after = steps[0]
+    kept = {r.doc_id for r in quality_rules.judge(before).filter("kept").collect()}
+    failed = {i for i, t in texts(before).items() if (m := brute_measures(t))[0] < 20 or 100 * m[4] > 30 * m[0]}
+    assert set(texts(after)) == kept and not kept & failed and kept
+
+
+def test_lines(steps):
+    before, after = steps[1]
+    rows = texts(before)
+    gone = brute_lines(list(rows.items()))
+    expected = {}
+    for i, text in rows.items():
+        lines = [x for n, x in enumerate(text.split("\n")) if (i, n) not in gone]
+        if len(lines) == len(text.split("\n")) or "\n".join(lines).strip():
+            expected[i] = "\n".join(lines)
+    assert texts(after) == expected
+
+
+def test_near_copies(steps):
+    before, after = steps[2]
+    component = brute_components([(i, brute_print(t)) for i, t in texts(before).items()])
+    assert sorted(texts(after)) == sorted(set(component.values()))
+
+
+def test_mixing_keeps_all(steps):
+    before, after = steps[3]
+    assert texts(before) == texts(after)
+
+
+def test_encoding(steps):
+    before, after = steps[4]
+    encoder = bpe.Encoder(bpe.read_vocabulary(P.path(pipeline.VOCABULARY)), P.PATTERN)
+    rows = texts(before)
+    found = {r.doc_id: list(r.ids) for r in after.collect()}
+    assert set(found) == set(rows)
+    assert all(encoder.decode(",".join(map(str, ids))).decode() == rows[i] for i, ids in found.items())
+
+
+def test_run_is_the_stages(spark, steps):
+    assert sorted(r.doc_id for r in pipeline.run(spark, DATA).collect()) == sorted(r.doc_id for r in steps[-1][1].collect())
+
+
+def test_nothing_else_imports_the_operators():
+    root = Path(pipeline.__file__).parent
+    for path in (root / "paperweave").rglob("*.py"):
+        if "llm" not in path.relative_to(root).parts:
+            names = [n.module or "" for n in ast.walk(ast.parse(path.read_text())) if isinstance(n, ast.ImportFrom)]
+            assert not any(".llm" in n for n in names), path
+    assert simhash.__name__ == "paperweave.llm.simhash"
