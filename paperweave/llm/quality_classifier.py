@@ -36,12 +36,13 @@ EPOCHS, BATCH, RATE = 12, 32, 1.0
 PIECE = 1 << 17  # characters hashed at once
 STEP = np.uint64(0x9E3779B97F4A7C15)
 UNDO = np.uint64(pow(0x9E3779B97F4A7C15, -1, 1 << 64))
+SPACE = np.array([32], np.uint32)
 BLANK = np.zeros(1 << 21, bool)
 BLANK[[9, 10, 11, 12, 13, 32]] = True
 
 
 def pieces(texts: list[str]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """(code points, document of each) a piece at a time; pieces end at blanks, documents are set apart by them."""
+    """(code points, document of each) a piece at a time; texts are cut at blanks and stand between blanks."""
     codes, owners, size = [], [], 0
     for i, text in enumerate(texts):
         points = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32)
@@ -54,10 +55,9 @@ def pieces(texts: list[str]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
                     end = min(end + 4096, len(points))
                     later = np.flatnonzero(BLANK[points[end:end + 4096]])
                 end += int(later[0]) if len(later) else 0
-            codes.append(points[at:end])
-            codes.append(np.array([32], np.uint32))
-            owners.append(np.full(end - at + 1, i))
-            size += end - at + 1
+            codes += [SPACE, points[at:end], SPACE]
+            owners.append(np.full(end - at + 2, i))
+            size += end - at + 2
             at = end
             if size >= PIECE:
                 yield np.concatenate(codes), np.concatenate(owners)
@@ -80,7 +80,7 @@ def features(codes: np.ndarray, owners: np.ndarray) -> Iterator[tuple[np.ndarray
     gram = wide
     for n in range(2, max(LENGTHS) + 1):
         gram = gram[:-1] * STEP + wide[n - 1:]
-        if n in LENGTHS and len(gram):
+        if n in LENGTHS:
             inside = before[n - 2:n - 2 + len(gram)] - before[:len(gram)]
             at = np.flatnonzero(inside == 0)
             yield bucket(gram[at], n), owners[at]
