@@ -4,14 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from paperweave.workspace import stage
 
-# A file table of this many rows (path and a number) is a few tens of megabytes.
-BROADCAST_FILES = 100_000
-
 
 def dense_row_index(
     df: DataFrame,
@@ -24,29 +21,22 @@ def dense_row_index(
 
     ``keys`` should be a total order. The rows are range-partitioned, sorted and
     written once; a row's number is its position in its file plus the rows of
-    all earlier files. One shuffle, no single-task window, and numbers that
-    stay the same when a task is run again.
+    all earlier files. One shuffle, no single-task window over rows, and numbers
+    that stay the same when a task is run again.
+
+    Ranges keep their order in the task numbers of the file names, so file
+    lengths are all that is needed: a table with a row per written task, at
+    most the number of shuffle tasks of the session, which bounds the broadcast.
     """
     size = (partitions,) if partitions else ()
     table = stage(df.repartitionByRange(*size, *keys).sortWithinPartitions(*keys), "ordered")
-    placed = table.select(
-        "*", F.col("_metadata.file_path").alias("__file"), F.col("_metadata.row_index").alias("__at"))
-
-    # One row per file: its length and its first key, both bounded by the file
-    # listing the driver already holds.
-    lengths = {r["__file"]: r["n"] for r in placed.groupBy("__file").agg(
-        (F.max("__at") + 1).alias("n")).collect()}
-    firsts = placed.filter("__at = 0").orderBy(*keys, "__file").select("__file").collect()
-    offsets, seen = [], start
-    for row in firsts:
-        offsets.append((row["__file"], seen))
-        seen += lengths[row["__file"]]
-
-    spark = df.sparkSession
-    files = spark.createDataFrame(offsets, "__file string, __offset bigint")
-    if len(offsets) <= BROADCAST_FILES:
-        files = F.broadcast(files)
-    return placed.join(files, "__file").select(
+    task = F.regexp_extract(F.col("_metadata.file_name"), r"^part-(\d+)", 1).cast("bigint")
+    placed = table.select("*", task.alias("__task"), F.col("_metadata.row_index").alias("__at"))
+    lengths = placed.groupBy("__task").agg(F.count(F.lit(1)).alias("n"))
+    before = F.sum("n").over(Window.orderBy("__task").rowsBetween(Window.unboundedPreceding, -1))
+    # Fixed once: the offsets are read again with every use of the numbers.
+    offsets = stage(lengths.select("__task", (F.coalesce(before, F.lit(0)) + F.lit(start)).alias("__offset")), "offsets")
+    return placed.join(F.broadcast(offsets), "__task").select(
         (F.col("__offset") + F.col("__at")).alias(name), *[F.col(f"`{c}`") for c in df.columns])
 
 
@@ -69,5 +59,5 @@ def chunk_ranges(df: DataFrame, number: str, size: int) -> DataFrame:
 
 
 def row_slice(df: DataFrame, number: str, start: int, length: int) -> DataFrame:
-    """Rows ``start`` to ``start + length``, as a range filter the scan can use."""
+    """Rows ``start`` to ``start + length``, as a range filter; a stored number is pruned in the scan."""
     return df.filter((F.col(number) >= start) & (F.col(number) < start + length))

@@ -21,8 +21,11 @@ def select_papers(
     kept = (
         raw.withColumn("categories_parsed", text.split_words(F.col("categories")))
         .filter(text.overlaps(F.col("categories_parsed"), list(subjects))))
-    return keep_first(kept, ["id"], order).select(
-        *order, *[F.col(f"`{c}`") for c in CLEAN_COLUMNS if c in kept.columns], "versions")
+    # Of the versions only the last one's date goes through the shuffle.
+    narrow = kept.select(
+        *order, *[F.col(f"`{c}`") for c in CLEAN_COLUMNS if c in kept.columns],
+        text.last_item(F.col("versions"))["created"].alias("last_created"))
+    return keep_first(narrow, ["id"], order)
 
 
 def tidy_papers(papers: DataFrame) -> DataFrame:
@@ -31,9 +34,9 @@ def tidy_papers(papers: DataFrame) -> DataFrame:
         "title": text.collapse_spaces(F.col("title")),
         "abstract": text.collapse_spaces(F.col("abstract")),
         "authors_parsed": text.display_names(F.col("authors_parsed")),
-        "last_submitted": text.parse_http_date(text.last_item(F.col("versions"))["created"]),
+        "last_submitted": text.parse_http_date(F.col("last_created")),
     })
-    front = [c for c in papers.columns if c not in CLEAN_COLUMNS and c != "versions"]
+    front = [c for c in papers.columns if c not in CLEAN_COLUMNS and c != "last_created"]
     return tidy.select(*front, *[F.col(f"`{c}`") for c in CLEAN_COLUMNS])
 
 

@@ -24,8 +24,10 @@ def require_suffix(path: str, suffix: str) -> str:
 
 def default_clean_path(source: str) -> str:
     """'<folder>/<stem>-clean.parquet' beside the source."""
-    path = PurePosixPath(source)
-    return str(path.with_name(f"{path.stem}-clean.parquet"))
+    # Text work only: a path object would fold the slashes of a URI.
+    folder, slash, name = source.rstrip("/").rpartition("/")
+    stem = name.rpartition(".")[0] or name
+    return f"{folder}{slash}{stem}-clean.parquet"
 
 
 def read_raw_papers(
@@ -56,16 +58,6 @@ def read_papers(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(require_suffix(path, ".parquet"))
 
 
-def spread_scan(scan: DataFrame, key: str) -> DataFrame:
-    """A scan with fewer splits than the session has cores, spread over them by ``key``.
-
-    For costly text rules over a small table. A table with enough splits keeps
-    its plan; call it on a plain scan, which is planned here but not run.
-    """
-    cores = scan.sparkSession.sparkContext.defaultParallelism
-    return scan if scan.rdd.getNumPartitions() >= cores else scan.repartition(cores, key)
-
-
 def write_papers(papers: DataFrame, path: str, mode: str = "overwrite") -> str:
     papers.write.mode(mode).option("compression", "zstd").parquet(require_suffix(path, ".parquet"))
     return path
