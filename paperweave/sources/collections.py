@@ -1,4 +1,12 @@
-"""Vector collections: a one-row specification and the points."""
+"""Vector collections: a one-row specification, loads of points and what is current of them.
+
+Points lie in buckets of ids. A load writes the whole new content of the buckets
+it touches and then, as one small file, the list of these buckets; that file is
+its commit. Current is, for every bucket, the last committed load that lists it.
+Other buckets are not rewritten, a load that breaks off leaves no trace, and
+points sent again replace themselves, also from a new stream or checkpoint.
+One writer at a time is assumed.
+"""
 
 from __future__ import annotations
 
@@ -10,14 +18,17 @@ from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
 from paperweave.operators.collection import prepare_vectors
+from paperweave.operators.dedup import keep_first
 from paperweave.schemas import UPLOAD_BATCH_ROWS
 from paperweave.sources.versions import versions
+from paperweave.workspace import remove_folder, stage
 
-_SPEC = "dim int, metric string, quantisation string, generation int"
+BUCKET_IDS = 1_000_000  # ids of a bucket
+_SPEC = "dim int, metric string, quantisation string, generation int, bucket_ids bigint"
 
 
 def collection_spec(spark: SparkSession, path: str) -> Row | None:
-    """Dimension, metric and current generation; None where there is no collection."""
+    """Dimension, metric, current generation and bucket size; None where there is no collection."""
     try:
         return spark.read.schema(_SPEC).parquet(f"{path}/spec").first()
     except AnalysisException as error:
@@ -26,19 +37,9 @@ def collection_spec(spark: SparkSession, path: str) -> Row | None:
         raise
 
 
-def _write_spec(spark: SparkSession, path: str, dim: int, metric: str, generation: int) -> None:
-    spark.createDataFrame([(dim, metric, "binary", generation)], _SPEC).coalesce(1).write.mode(
-        "overwrite").parquet(f"{path}/spec")
-
-
-def _unused_generation(spark: SparkSession, path: str, spec: Row | None) -> int:
-    """A number no load has used, finished or not."""
-    used = versions(spark, f"{path}/points", "generation")
-    return max([*used, spec["generation"] if spec else 0]) + 1
-
-
 def create_collection(
     spark: SparkSession, path: str, dim: int, metric: str = "cosine", recreate: bool = False,
+    bucket_ids: int = BUCKET_IDS,
 ) -> None:
     """A new, empty collection; an existing one is an error unless ``recreate``."""
     if metric != "cosine":
@@ -46,13 +47,16 @@ def create_collection(
     old = collection_spec(spark, path)
     if old is not None and not recreate:
         raise FileExistsError(f"collection {path} exists")
-    _write_spec(spark, path, dim, metric, _unused_generation(spark, path, old))
+    used = versions(spark, f"{path}/points", "generation")
+    generation = max([*used, old["generation"] if old else 0]) + 1
+    spark.createDataFrame([(dim, metric, "binary", generation, bucket_ids)], _SPEC).coalesce(1).write.mode(
+        "overwrite").parquet(f"{path}/spec")
 
 
 def empty_collection(spark: SparkSession, path: str) -> None:
     """Recreate a collection with the dimension it has."""
     spec = require_collection(spark, path)
-    create_collection(spark, path, spec["dim"], spec["metric"], recreate=True)
+    create_collection(spark, path, spec["dim"], spec["metric"], True, spec["bucket_ids"])
 
 
 def require_collection(spark: SparkSession, path: str) -> Row:
@@ -62,52 +66,71 @@ def require_collection(spark: SparkSession, path: str) -> Row:
     return spec
 
 
-def _folder(path: str, generation: int) -> str:
-    return f"{path}/points/generation={generation}"
+def _folders(path: str, spec: Row) -> tuple[str, str]:
+    return f"{path}/points/generation={spec['generation']}", f"{path}/loads/generation={spec['generation']}"
 
 
-def read_points(spark: SparkSession, path: str) -> DataFrame | None:
-    """Points of the current generation, None while it is empty."""
-    folder = _folder(path, require_collection(spark, path)["generation"])
-    try:
-        return spark.read.parquet(folder).drop("part")
-    except AnalysisException as error:
-        if "PATH_NOT_FOUND" in str(error.getCondition()):
-            return None
-        raise
+def _current(spark: SparkSession, path: str, spec: Row) -> DataFrame | None:
+    """(bucket, load) of the buckets that have points; a row per bucket, so small enough to broadcast."""
+    _, loads = _folders(path, spec)
+    if not versions(spark, loads, "load"):
+        return None
+    return spark.read.schema("bucket bigint, load int").parquet(loads).groupBy("bucket").agg(F.max("load").alias("load"))
 
 
-def _in_id_order(points: DataFrame) -> DataFrame:
-    # Ranging reads its input twice, so the vector arithmetic comes after it.
-    return prepare_vectors(points.repartitionByRange("point_id").sortWithinPartitions("point_id"))
+def _stored(spark: SparkSession, path: str, spec: Row) -> DataFrame | None:
+    current = _current(spark, path, spec)
+    if current is None:
+        return None
+    stored = spark.read.parquet(_folders(path, spec)[0]).withColumn("bucket", F.col("bucket").cast("bigint"))
+    return stored.join(F.broadcast(current), ["load", "bucket"]).drop("load")
+
+
+def read_points(spark: SparkSession, path: str) -> DataFrame | None:
+    """Current points, None while there were no loads."""
+    stored = _stored(spark, path, require_collection(spark, path))
+    return None if stored is None else stored.drop("bucket")
 
 
 def load_points(points: DataFrame, path: str) -> None:
     """Upsert points by id: new ones replace old ones with the same id.
 
-    Points land with their unit vector and code, sorted by id, in a new
-    generation that becomes current once it is complete.
+    Points land with their unit vector and code, sorted by id. Only the buckets
+    that the new ids fall into are written again.
     """
     spark = points.sparkSession
     spec = require_collection(spark, path)
-    old = read_points(spark, path)
-    ready = _in_id_order(points)
-    generation = spec["generation"]
+    bucket = F.call_function("div", F.col("point_id"), F.lit(spec["bucket_ids"]))
+    new = stage(points.withColumn("bucket", bucket), "points")
+    touched = stage(new.select("bucket").distinct(), "touched").coalesce(1)
+    rows = new.withColumn("_age", F.lit(0))
+    old = _stored(spark, path, spec)
     if old is not None:
-        kept = old.join(points.select("point_id"), "point_id", "left_anti")
-        ready = _in_id_order(points.unionByName(kept.select(points.columns)))
-        generation = _unused_generation(spark, path, spec)
-    # Nothing reads this folder yet; overwriting clears what a failed load left.
-    ready.write.mode("overwrite").option("compression", "zstd").parquet(f"{_folder(path, generation)}/part=load")
-    if generation != spec["generation"]:
-        _write_spec(spark, path, spec["dim"], spec["metric"], generation)
-
-
-def append_points(points: DataFrame, path: str, part: str) -> None:
-    """Add one part of new points; the same part written again replaces itself."""
-    spec = require_collection(points.sparkSession, path)
-    _in_id_order(points).write.mode("overwrite").option("compression", "zstd").parquet(
-        f"{_folder(path, spec['generation'])}/part={part}")
+        kept = old.join(F.broadcast(touched), "bucket", "left_semi")
+        rows = rows.unionByName(kept.select(new.columns).withColumn("_age", F.lit(1)))
+    # An id sent twice in one load keeps one of its points.
+    rows = keep_first(rows, ["bucket", "point_id"], ["_age"], new.columns)
+    data, loads = _folders(path, spec)
+    number = max(versions(spark, loads, "load"), default=0) + 1
+    # Nothing lists this load yet; overwriting clears what a failed one left. Ranging
+    # reads its input twice, so the vector arithmetic comes after it.
+    ready = prepare_vectors(rows.repartitionByRange("point_id").sortWithinPartitions("point_id"))
+    ready.write.mode("overwrite").option("compression", "zstd").partitionBy("bucket").parquet(f"{data}/load={number}")
+    touched.write.mode("overwrite").parquet(f"{loads}/load={number}")
+
+
+def drop_old_loads(spark: SparkSession, path: str) -> list[int]:
+    """Remove the points of loads that no bucket needs; gives their numbers. Not while others read."""
+    spec = require_collection(spark, path)
+    current = _current(spark, path, spec)
+    if current is None:
+        return []
+    needed = {r["load"] for r in current.select("load").distinct().collect()}  # at most one per bucket
+    data, loads = _folders(path, spec)
+    gone = [n for n in versions(spark, loads, "load") if n not in needed]
+    for n in gone:
+        remove_folder(spark, f"{data}/load={n}")
+    return gone
 
 
 def upload_points(

@@ -10,7 +10,7 @@ from pyspark.sql.streaming import DataStreamWriter
 
 from paperweave.functions import text
 from paperweave.schemas import RAW_PAPERS, SUBJECTS
-from paperweave.sources.collections import append_points
+from paperweave.sources.collections import load_points
 
 
 def stream_raw_papers(spark: SparkSession, path: str, files_per_batch: int | None = None) -> DataFrame:
@@ -42,9 +42,9 @@ def once_per_key(events: DataFrame, keys: Sequence[str], moment: str, seen_for:
 
 
 def write_points(points: DataFrame, path: str, checkpoint: str) -> DataStreamWriter:
-    """Writer that adds every micro-batch of points to a collection as one part."""
+    """Writer that upserts every micro-batch of points, so later ones win and repeats change nothing."""
 
     def load(batch: DataFrame, epoch: int) -> None:
-        append_points(batch, path, f"stream-{epoch}")
+        load_points(batch, path)
 
     return points.writeStream.foreachBatch(load).option("checkpointLocation", checkpoint)

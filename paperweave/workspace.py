@@ -34,3 +34,9 @@ def stage(df: DataFrame, label: str) -> DataFrame:
     path = new_path(df.sparkSession, label)
     df.write.option("compression", "zstd").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def remove_folder(spark: SparkSession, path: str) -> None:
+    """Delete a folder of the file system that the path names."""
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)

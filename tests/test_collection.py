@@ -124,17 +124,33 @@ def test_collection_life(spark, tmp_path):
     assert [(r["point_id"], r["payload"]["name"]) for r in rows] == [(0, "a"), (1, "a"), (2, "b"), (3, "b")]
     assert rows[0]["unit"] == [0.0, 1.0] and rows[0]["code"] == [1]
     assert store.points_in_range(store.read_points(spark, path), 1, 3).count() == 2
-    store.append_points(point_rows(spark, [4, 5], "c"), path, "one")
-    store.append_points(point_rows(spark, [4, 5], "c"), path, "one")
+    store.load_points(point_rows(spark, [4, 5], "c"), path)
+    store.load_points(point_rows(spark, [4, 5], "c"), path)
     assert store.read_points(spark, path).count() == 6
-    # A load that broke off before its points became current.
-    point_rows(spark, [9], "lost").write.parquet(f"{path}/points/generation=3/part=load")
+    # A load that broke off before its commit.
+    ready = point_rows(spark, [9], "lost").withColumn("bucket", F.lit(0))
+    ready.write.partitionBy("bucket").parquet(f"{path}/points/generation=1/load=5")
     assert store.read_points(spark, path).count() == 6
+    store.load_points(point_rows(spark, [7], "d"), path)
+    assert store.read_points(spark, path).count() == 7
+    assert store.drop_old_loads(spark, path) == [1, 2, 3, 4]
+    assert store.read_points(spark, path).count() == 7
     store.empty_collection(spark, path)
     assert store.read_points(spark, path) is None
     assert store.require_collection(spark, path)["dim"] == 2
 
 
+def test_loads_touch_only_their_buckets(spark, tmp_path):
+    path = str(tmp_path / "c")
+    store.create_collection(spark, path, 2, bucket_ids=10)
+    store.load_points(point_rows(spark, range(100), "a"), path)
+    store.load_points(point_rows(spark, [33, 34, 33], "b"), path)
+    written = spark.read.parquet(f"{path}/points/generation=1/load=2")
+    assert sorted(r["point_id"] for r in written.collect()) == list(range(30, 40))
+    rows = store.read_points(spark, path).collect()
+    assert len(rows) == 100 and sorted(r["point_id"] for r in rows if r["payload"]["name"] == "b") == [33, 34]
+
+
 def test_upload_in_batches(spark, tmp_path):
     folder = str(tmp_path)
 
