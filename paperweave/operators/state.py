@@ -138,7 +138,7 @@ def rolled_status(status: str = "status", expired_is_failure: bool = False) -> C
     return (
         F.when(F.bool_or(column.isin(failing)), "failed")
         .when(F.bool_or(column.isin("in_progress", "finalizing")), "processing")
-        .when(F.bool_and(column == "completed"), "completed"))
+        .when(F.bool_and(F.coalesce(column == "completed", F.lit(False))), "completed"))
 
 
 def roll_up_jobs(
@@ -210,3 +210,32 @@ def state_violations(jobs: DataFrame, batches: DataFrame) -> DataFrame:
         rule_violations(jobs, "jobs", "id", rules("jobs", JOB_STATUSES))
         .unionByName(rule_violations(batches, "batches", "id", rules("batches", BATCH_STATUSES)))
         .unionByName(missing_parents(batches, "batches", "id", "job_id", jobs, "id")))
+
+
+def batch_violations(batches: DataFrame, jobs: DataFrame) -> DataFrame:
+    """Violations of new batches against their own rules and the stored jobs."""
+    return state_violations(jobs.limit(0), batches).filter("rule <> 'job_id has no parent'").unionByName(
+        missing_parents(batches, "batches", "id", "job_id", jobs, "id"))
+
+
+def split_valid(batches: DataFrame, jobs: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(good rows, rows that break rules with the list of ``rules``)."""
+    broken = batch_violations(batches, jobs).groupBy(F.col("key").cast("bigint").alias("id")).agg(
+        F.array_sort(F.collect_set("rule")).alias("rules"))
+    return batches.join(broken, "id", "left_anti"), batches.join(broken, "id")
+
+
+def require_valid(batches: DataFrame, jobs: DataFrame) -> None:
+    """An error that names some of the rows that break rules."""
+    broken = batch_violations(batches, jobs).take(5)
+    if broken:
+        raise ValueError("batches break rules: " + "; ".join(f"{r['key']}: {r['rule']}" for r in broken))
+
+
+def require_known_status(snapshots: DataFrame) -> None:
+    """An error for flattened snapshots that would store no or an unknown status."""
+    sets = F.array_contains("present", "status")
+    odd = snapshots.filter(sets & ~F.coalesce(F.col("status").isin(*BATCH_STATUSES), F.lit(False)))
+    found = odd.select("batch_oaid", "status").take(5)
+    if found:
+        raise ValueError("unknown status: " + "; ".join(f"{r['batch_oaid']}: {r['status']}" for r in found))

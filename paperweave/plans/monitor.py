@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from paperweave.operators import state
-from paperweave.sources.state_tables import create_batches, read_state, write_state
+from paperweave.sources.state_tables import create_batches, read_state, write_tables
 from paperweave.workspace import stage
 
 
@@ -24,22 +24,29 @@ def refresh(
     return state.roll_up_jobs(jobs, updated, now, expired_is_failure), updated
 
 
-def refresh_stored(spark: SparkSession, root: str, snapshots: DataFrame, order: list[str]) -> DataFrame:
-    """Refresh the stored tables and give the batches with their last-changed time."""
+def refresh_stored(
+    spark: SparkSession, root: str, snapshots: DataFrame, order: list[str], expired_is_failure: bool = False,
+) -> DataFrame:
+    """Refresh both stored tables in one commit and give the batches with their last-changed time.
+
+    A snapshot that sets no or an unknown status is an error and changes nothing.
+    """
+    state.require_known_status(state.flatten_snapshots(snapshots))
     jobs, batches = (read_state(spark, root, table) for table in ("jobs", "batches"))
     _, updated = refresh(jobs, batches, snapshots, order)
     updated = stage(updated, "refresh")
-    write_state(updated, root, "batches")
-    write_state(state.roll_up_jobs(jobs, updated), root, "jobs")
+    rolled = state.roll_up_jobs(jobs, updated, expired_is_failure=expired_is_failure)
+    write_tables({"batches": updated, "jobs": rolled}, root)
     return updated
 
 
-def register_batches(created: DataFrame, root: str) -> int:
+def register_batches(created: DataFrame, root: str, reject: bool = False) -> DataFrame | None:
     """Store newly created batches.
 
     ``created`` has the service's answer as ``raw`` and the columns ``job_id``
     and ``local_file_id``; batches get their ids in the order of the files.
+    Rows that break rules are an error, or are given back with ``reject``.
     """
     flat = state.flatten_snapshots(created).drop("present")
     status = F.coalesce(F.col("status"), F.lit("validating"))
-    return create_batches(flat.withColumn("status", status), root, ["job_id", "local_file_id"])
+    return create_batches(flat.withColumn("status", status), root, ["job_id", "local_file_id"], reject)

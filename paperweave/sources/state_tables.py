@@ -1,43 +1,83 @@
 """The ``jobs`` and ``batches`` tables as versioned Parquet snapshots.
 
-A change is computed from the current version and written as the next one;
-a version that is being read is never overwritten. One writer at a time is
-assumed.
+A change is computed from the current version and written beside it. A commit,
+one small file written last, names the versions of both tables, so they change
+together and a write that breaks off is never read. The last ``KEPT`` commits
+stay. One writer at a time is assumed.
 """
 
 from __future__ import annotations
 
+from collections.abc import Mapping
+
 from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
 from paperweave.operators.order import dense_row_index
-from paperweave.operators.state import require_one
+from paperweave.operators.state import require_one, require_valid, split_valid
 from paperweave.schemas import STATE_DDL
 from paperweave.sources.versions import versions
+from paperweave.workspace import remove_folder
 
+KEPT = 5
+_COMMIT = "jobs bigint, batches bigint"
 
-def write_state(df: DataFrame, root: str, table: str) -> int:
-    """Write a snapshot as the version after the current one."""
-    spark = df.sparkSession
-    version = max(versions(spark, f"{root}/{table}"), default=0) + 1
-    names = spark.createDataFrame([], STATE_DDL[table]).columns
-    # Overwriting only ever clears what a failed write of this version left.
-    df.select(*names).write.mode("overwrite").parquet(f"{root}/{table}/version={version}")
+
+def _commits(spark: SparkSession, root: str) -> list[int]:
+    return versions(spark, f"{root}/commits", "commit")
+
+
+def _commit(spark: SparkSession, root: str, number: int) -> dict[str, int | None]:
+    return spark.read.schema(_COMMIT).parquet(f"{root}/commits/commit={number}").first().asDict()
+
+
+def write_tables(tables: Mapping[str, DataFrame], root: str) -> int:
+    """Write snapshots of one or both tables and make them current together; gives the version."""
+    spark = next(iter(tables.values())).sparkSession
+    commits = _commits(spark, root)
+    current = _commit(spark, root, commits[-1]) if commits else dict.fromkeys(STATE_DDL)
+    version = (commits[-1] if commits else 0) + 1
+    for table, df in tables.items():
+        names = spark.createDataFrame([], STATE_DDL[table]).columns
+        # No commit names this version yet; overwriting clears what a failed write left.
+        df.select(*names).write.mode("overwrite").parquet(f"{root}/{table}/version={version}")
+        current[table] = version
+    spark.createDataFrame([(current["jobs"], current["batches"])], _COMMIT).coalesce(1).write.mode(
+        "overwrite").parquet(f"{root}/commits/commit={version}")
+    _drop_old(spark, root, [*commits, version])
     return version
 
 
+def _drop_old(spark: SparkSession, root: str, commits: list[int]) -> None:
+    old, kept = commits[:-KEPT], commits[-KEPT:]
+    if not old:
+        return
+    named = {c: _commit(spark, root, c) for c in (*old, *kept)}
+    for table in STATE_DDL:
+        needed = {named[c][table] for c in kept}
+        for version in {named[c][table] for c in old} - needed - {None}:
+            remove_folder(spark, f"{root}/{table}/version={version}")
+    for commit in old:
+        remove_folder(spark, f"{root}/commits/commit={commit}")
+
+
+def write_state(df: DataFrame, root: str, table: str) -> int:
+    """Write one table's snapshot as the next version."""
+    return write_tables({table: df}, root)
+
+
 def recreate_state(spark: SparkSession, root: str) -> None:
     """Both tables, empty."""
-    for table, ddl in STATE_DDL.items():
-        write_state(spark.createDataFrame([], ddl), root, table)
+    write_tables({table: spark.createDataFrame([], ddl) for table, ddl in STATE_DDL.items()}, root)
 
 
 def read_state(spark: SparkSession, root: str, table: str) -> DataFrame:
     """Current snapshot of a table."""
-    found = versions(spark, f"{root}/{table}")
-    if not found:
+    commits = _commits(spark, root)
+    version = _commit(spark, root, commits[-1])[table] if commits else None
+    if version is None:
         raise FileNotFoundError(f"no {table} table in {root}")
-    return spark.read.schema(STATE_DDL[table]).parquet(f"{root}/{table}/version={found[-1]}")
+    return spark.read.schema(STATE_DDL[table]).parquet(f"{root}/{table}/version={version}")
 
 
 def get_job(spark: SparkSession, root: str, job_id: int) -> Row:
@@ -55,15 +95,26 @@ def create_job(spark: SparkSession, root: str, model: str) -> int:
     return job_id
 
 
-def create_batches(new: DataFrame, root: str, order: list[str]) -> int:
-    """Add batches with ids after the highest one, in ``order``; absent columns are null."""
+def create_batches(new: DataFrame, root: str, order: list[str], reject: bool = False) -> DataFrame | None:
+    """Add batches with ids after the highest one, in ``order``; absent columns are null.
+
+    A row that breaks a rule of the table, or has no job, is an error. With
+    ``reject`` such rows are left out and given back with their rules.
+    """
     spark = new.sparkSession
-    old = read_state(spark, root, "batches")
+    old, jobs = (read_state(spark, root, table) for table in ("batches", "jobs"))
     first = (old.agg(F.max("id")).first()[0] or 0) + 1
     rows = dense_row_index(new, order, "id", first)
     if "status" not in new.columns:
         rows = rows.withColumn("status", F.lit("validating"))
     if "loaded_to_qdrant" not in new.columns:
         rows = rows.withColumn("loaded_to_qdrant", F.lit(0))
-    return write_state(old.unionByName(rows.select(
-        *[c for c in rows.columns if c in old.columns]), allowMissingColumns=True), root, "batches")
+    full = spark.createDataFrame([], STATE_DDL["batches"]).unionByName(
+        rows.select(*[c for c in rows.columns if c in old.columns]), allowMissingColumns=True)
+    rejected = None
+    if reject:
+        full, rejected = split_valid(full, jobs)
+    else:
+        require_valid(full, jobs)
+    write_state(old.unionByName(full), root, "batches")
+    return rejected

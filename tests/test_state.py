@@ -37,7 +37,7 @@ def snapshots(spark, *raws):
     (["finalizing", "completed"], "pending", "processing"), (["completed", "completed"], "pending", "completed"),
     (["expired", "completed"], "processing", "processing"), (["validating"], "pending", "pending"),
     (["validated", "cancelling"], "pending", "pending"), ([], "pending", "pending"),
-    (["completed"], "completed", "completed")])
+    (["completed"], "completed", "completed"), (["completed", None], "pending", "pending")])
 def test_roll_up(spark, statuses, old, new):
     found = batches(spark, *[{"id": i, "job_id": 1, "status": s} for i, s in enumerate(statuses)])
     now = F.lit("2030-01-01").cast("timestamp")
@@ -170,6 +170,7 @@ def test_stored_tables(spark, tmp_path):
 def test_register_batches(spark, tmp_path):
     root = str(tmp_path)
     tables.recreate_state(spark, root)
+    tables.create_job(spark, root, "m")
     made = spark.createDataFrame(
         [(1, f"file-{n}", json.dumps({"id": f"b{n}", "created_at": 1704067200, "input_file_id": f"in{n}",
                                       "endpoint": "/e", "object": "batch", "completion_window": "24h"}))
@@ -178,3 +179,51 @@ def test_register_batches(spark, tmp_path):
     rows = tables.read_state(spark, root, "batches").orderBy("id").collect()
     assert [(r["id"], r["batch_oaid"], r["local_file_id"], r["status"]) for r in rows] == [
         (1, "b1", "file-1", "validating"), (2, "b2", "file-2", "validating")]
+
+
+def batch_rows(spark, rows):
+    """Batches with only (job_id, batch_oaid, status) of their own."""
+    return spark.createDataFrame(rows, "job_id bigint, batch_oaid string, status string").withColumns(
+        {c: F.lit("x") for c in ("completion_window", "endpoint", "object", "input_file_id", "local_file_id")}
+        | {"created_at": F.current_timestamp()})
+
+
+def test_writes_are_checked(spark, tmp_path):
+    root = str(tmp_path)
+    tables.recreate_state(spark, root)
+    tables.create_job(spark, root, "m")
+    bad = batch_rows(spark, [(1, "b1", "completed"), (7, "b2", "completed"), (1, "b3", "shipped")])
+    with pytest.raises(ValueError, match="job_id has no parent|status is unknown"):
+        tables.create_batches(bad, root, ["batch_oaid"])
+    assert tables.read_state(spark, root, "batches").count() == 0
+    rejected = tables.create_batches(bad, root, ["batch_oaid"], reject=True)
+    assert {r["batch_oaid"]: r["rules"] for r in rejected.collect()} == {
+        "b2": ["job_id has no parent"], "b3": ["status is unknown"]}
+    assert [r["batch_oaid"] for r in tables.read_state(spark, root, "batches").collect()] == ["b1"]
+    for status in ("shipped", None):
+        with pytest.raises(ValueError, match="unknown status"):
+            monitor.refresh_stored(spark, root, snapshots(spark, {"id": "b1", "status": status}), ["at"])
+
+
+def test_unfinished_versions_are_not_read(spark, tmp_path):
+    root = str(tmp_path)
+    tables.recreate_state(spark, root)
+    tables.create_job(spark, root, "m")
+    # A write that broke off before its commit, with a part of its files there.
+    spark.createDataFrame([], schemas.JOBS_DDL).coalesce(1).write.parquet(f"{root}/jobs/version=3")
+    assert tables.read_state(spark, root, "jobs").count() == 1
+    for _ in range(tables.KEPT + 3):
+        tables.create_job(spark, root, "m")
+    assert tables.read_state(spark, root, "jobs").count() == tables.KEPT + 4
+    assert len(list((tmp_path / "commits").glob("commit=*"))) == tables.KEPT
+    assert len(list((tmp_path / "jobs").glob("version=*"))) == tables.KEPT
+    assert tables.read_state(spark, root, "batches").count() == 0
+
+
+def test_expired_fails_stored_jobs_when_asked(spark, tmp_path):
+    root = str(tmp_path)
+    tables.recreate_state(spark, root)
+    tables.create_job(spark, root, "m")
+    tables.create_batches(batch_rows(spark, [(1, "b1", "in_progress")]), root, ["batch_oaid"])
+    monitor.refresh_stored(spark, root, snapshots(spark, {"id": "b1", "status": "expired"}), ["at"], True)
+    assert tables.get_job(spark, root, 1)["status"] == "failed"
