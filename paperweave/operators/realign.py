@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from paperweave.operators.dedup import keep_first
 from paperweave.operators.order import dense_row_index
 from paperweave.schemas import RESULT_LINE
 
@@ -53,17 +54,24 @@ def reject_counts(parsed: DataFrame, file: str = "source_file") -> DataFrame:
         F.sum(F.when(F.col("is_good"), F.size("data")).otherwise(0)).alias("n_vectors"))
 
 
+def first_answers(good: DataFrame) -> DataFrame:
+    """One line per request, in the order of files and then of a hash of the content."""
+    files = [F.col("source_file")] if "source_file" in good.columns else []
+    return keep_first(good, ["custom_id"], [*files, F.xxhash64("data")])
+
+
 def align_vectors(good: DataFrame, manifest: DataFrame) -> DataFrame:
     """``vec_idx, embedding``: every vector at the row its text came from.
 
-    The join is per request, before the vectors are unrolled: the manifest's
+    A request counts once: of repeated answers the first by file and content is
+    taken. The join is per request, before the vectors are unrolled: the manifest's
     rows are gathered to one list per request (bounded by the token budget).
     Items beyond a request's texts have no row; ``unmatched_requests`` lists them.
     """
     rows = F.transform(F.array_sort(F.collect_list(F.struct("pos", "row_idx"))), lambda x: x["row_idx"])
     per_request = manifest.groupBy("custom_id").agg(rows.alias("rows"))
     return (
-        good.select("custom_id", F.col("data.embedding").alias("vectors"))
+        first_answers(good).select("custom_id", F.col("data.embedding").alias("vectors"))
         .join(per_request, "custom_id")
         .select(F.posexplode("vectors").alias("pos", "embedding"), "rows")
         .select(F.get("rows", F.col("pos")).alias("vec_idx"), "embedding")
@@ -72,21 +80,33 @@ def align_vectors(good: DataFrame, manifest: DataFrame) -> DataFrame:
 
 
 def unmatched_requests(good: DataFrame, manifest: DataFrame) -> DataFrame:
-    """Requests without an answer, answers without a request, and wrong item counts."""
+    """Requests without an answer or with several, answers without a request, and wrong item counts."""
     asked = manifest.groupBy("custom_id").agg(F.count(F.lit(1)).alias("n_asked"))
-    got = good.groupBy("custom_id").agg(F.sum(F.size("data")).alias("n_got"))
+    got = good.groupBy("custom_id").agg(
+        F.sum(F.size("data")).alias("n_got"), F.count(F.lit(1)).alias("_answers"))
     problem = (
         F.when(F.col("n_got").isNull(), "missing").when(F.col("n_asked").isNull(), "orphan")
+        .when(F.col("_answers") > 1, "answered twice")
         .when(F.col("n_got") != F.col("n_asked"), "count differs"))
     return (asked.join(got, "custom_id", "full")
-            .withColumn("problem", problem).filter("problem is not null"))
+            .withColumn("problem", problem).filter("problem is not null").drop("_answers"))
 
 
 def vectors_in_order(good: DataFrame, file_order: str = "source_file") -> DataFrame:
-    """``vec_idx, embedding`` without a manifest: file, then custom_id, then position."""
-    items = good.select(file_order, "custom_id", F.posexplode("data").alias("pos", "item")).select(
-        file_order, "custom_id", "pos", F.col("item.embedding").alias("embedding"))
-    return dense_row_index(items, [file_order, "custom_id", "pos"], "vec_idx").select("vec_idx", "embedding")
+    """``vec_idx, embedding`` without a manifest, in the order the texts were asked.
+
+    Batch and request are compared as numbers: as texts, request 1000000 would
+    come before 999999 and a batch's later files before its first. Ids of
+    another form come first, by file and id.
+    """
+    def number(part: int) -> Column:
+        return F.nullif(F.regexp_extract("custom_id", r"^batch-(\d+)-(\d+)-request-(\d+)$", part), F.lit("")).cast("bigint")
+
+    keys = ["_job", "_batch", "_request", file_order, "custom_id", "pos"]
+    items = good.select(
+        number(1).alias("_job"), number(2).alias("_batch"), number(3).alias("_request"), file_order, "custom_id",
+        F.posexplode("data").alias("pos", "item")).select(*keys, F.col("item.embedding").alias("embedding"))
+    return dense_row_index(items, keys, "vec_idx").select("vec_idx", "embedding")
 
 
 def wrong_dimension(vectors: DataFrame, dim: int | Column, vector: str = "embedding") -> DataFrame:
@@ -105,12 +125,22 @@ def alignment(vectors: DataFrame, records: DataFrame) -> DataFrame:
         "aligned", F.col("n_vectors") == F.col("n_records"))
 
 
-def require_alignment(vectors: DataFrame, records: DataFrame) -> int:
-    """Number of points; an error when vectors and records differ in number."""
-    row = alignment(vectors, records).first()
-    if not row["aligned"]:
-        raise ValueError(f"{row['n_vectors']} vectors do not match {row['n_records']} records")
-    return row["n_vectors"]
+def require_alignment(vectors: DataFrame, records: DataFrame, vec: str = "vec_idx", row: str = "row_idx") -> int:
+    """Number of points; an error unless every id is there once on both sides.
+
+    Ids are compared in one pass over both narrow columns, so equal counts of
+    different or repeated ids do not pass.
+    """
+    counts = alignment(vectors, records).first()
+    if not counts["aligned"]:
+        raise ValueError(f"{counts['n_vectors']} vectors do not match {counts['n_records']} records")
+    both = vectors.select(F.col(vec).alias("id"), F.lit(1).alias("v"), F.lit(0).alias("r")).unionByName(
+        records.select(F.col(row).alias("id"), F.lit(0).alias("v"), F.lit(1).alias("r")))
+    odd = both.groupBy("id").agg(F.sum("v").alias("v"), F.sum("r").alias("r")).filter("v <> 1 or r <> 1").take(5)
+    if odd:
+        raise ValueError("vectors do not match records: " + "; ".join(
+            f"id {x['id']} has {x['v']} vectors and {x['r']} records" for x in odd))
+    return counts["n_vectors"]
 
 
 def missing_rows(records: DataFrame, vectors: DataFrame, row: str = "row_idx", vec: str = "vec_idx") -> DataFrame:

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from paperweave import schemas
 from paperweave.operators import realign
+from paperweave.plans import monitor
 from paperweave.sources import state_tables
 from paperweave.sources.lines import read_result_lines
 from paperweave.sources.vectors import write_vectors
@@ -37,9 +38,14 @@ def run(
 
 def run_completed(
     spark: SparkSession, state_root: str, job_id: int, result_paths: str | Sequence[str],
-    manifest: DataFrame, vector_root: str,
+    manifest: DataFrame, vector_root: str, snapshots: DataFrame | None = None, order: Sequence[str] = (),
 ) -> Collected | None:
-    """Collect only when the job is completed; the model comes from the job."""
+    """Collect only when the job is completed; the model comes from the job.
+
+    ``snapshots`` of the service, in ``order``, refresh the stored state first.
+    """
+    if snapshots is not None:
+        monitor.refresh_stored(spark, state_root, snapshots, list(order))
     job = state_tables.get_job(spark, state_root, job_id)
     if job["status"] != "completed":
         return None

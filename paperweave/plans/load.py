@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from paperweave.functions.vectors import of_dimension
 from paperweave.operators.collection import collection_points
 from paperweave.operators.realign import require_alignment
+from paperweave.plans import monitor
 from paperweave.sources import collections, state_tables
 from paperweave.sources.vectors import read_vectors
 
@@ -26,8 +29,11 @@ def run(vectors: DataFrame, papers: DataFrame, path: str, recreate: bool = False
 
 
 def run_completed(spark: SparkSession, state_root: str, job_id: int, vector_root: str,
-                  papers: DataFrame, path: str, recreate: bool = False) -> int | None:
-    """Load only when the job is completed."""
+                  papers: DataFrame, path: str, recreate: bool = False,
+                  snapshots: DataFrame | None = None, order: Sequence[str] = ()) -> int | None:
+    """Load only when the job is completed; ``snapshots`` refresh the stored state first."""
+    if snapshots is not None:
+        monitor.refresh_stored(spark, state_root, snapshots, list(order))
     if state_tables.get_job(spark, state_root, job_id)["status"] != "completed":
         return None
     return run(read_vectors(spark, vector_root, job_id), papers, path, recreate)
