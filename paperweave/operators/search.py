@@ -123,7 +123,9 @@ def _unit(matrix: np.ndarray) -> np.ndarray:
         return matrix / np.sqrt((matrix * matrix).sum(axis=1, keepdims=True))
 
 
-def _scan(points: DataFrame, point_id: str, vector: str, matrix: np.ndarray, k: int) -> DataFrame:
+def _scan(points: DataFrame, point_id: str, vector: str, matrix: np.ndarray, k: int,
+          before=lambda batches: batches, columns: list[str] | None = None) -> DataFrame:
+    """Best k by cosine; ``before`` may leave rows out, given ``columns``."""
     target = points.sparkSession.sparkContext.broadcast(_unit(matrix))
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -132,9 +134,10 @@ def _scan(points: DataFrame, point_id: str, vector: str, matrix: np.ndarray, k:
         def cosine(batch: pa.RecordBatch) -> np.ndarray:
             return np.round(_unit(_matrix(batch.column(1), "float64")) @ unit_queries.T, SCORE_DIGITS)
 
-        yield from _scan_topk(_slices(batches, unit_queries.shape[1]), cosine, len(unit_queries), k)
+        yield from _scan_topk(_slices(before(batches), unit_queries.shape[1]), cosine, len(unit_queries), k)
 
-    narrow = points.select(F.col(point_id).cast("bigint").alias("point_id"), F.col(vector).alias("vector"))
+    narrow = points.select(*columns) if columns else points.select(
+        F.col(point_id).cast("bigint").alias("point_id"), F.col(vector).alias("vector"))
     return _rank(narrow.mapInArrow(task, _HIT), k)
 
 
@@ -195,23 +198,29 @@ def quantised_topk(
 
         candidates = _rank(codes.mapInArrow(near, _HIT), k * oversample).select("point_id").distinct()
         vectors = points.select(F.col(point_id).cast("bigint").alias("point_id"), F.col(vector).alias("vector"))
-        scored = _scan(vectors.join(candidates, "point_id", "left_semi"), "point_id", "vector", matrix, k)
+        # At most k * oversample ids for each query of the block: bounded, so never a shuffle of the vectors.
+        near_vectors = vectors.join(F.broadcast(candidates), "point_id", "left_semi")
+        scored = _scan(near_vectors, "point_id", "vector", matrix, k)
         reached = np.full(len(matrix), -np.inf)
         # One number per query of this block.
         for row in scored.filter(F.col("rank") == k).select("query_no", "score").collect():
             reached[row["query_no"]] = row["score"]
         limits = spark.sparkContext.broadcast((unit_queries ** 2, positive, reached - 1e-6))
 
-        def possible(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def open_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            """Id and vector of the points that the codes leave open."""
             square, wanted, least = limits.value
             for batch in _slices(batches, dim):
-                bits = _signs(_matrix(batch.column(1), "int64"), dim).astype(np.float64)
+                bits = _signs(_matrix(batch.column(2), "int64"), dim).astype(np.float64)
                 agree = bits @ (square * wanted).T + (1 - bits) @ (square * (1 - wanted)).T
-                open_rows = (np.sqrt(agree) >= least).any(axis=1)
-                yield batch.select([0]).filter(pa.array(open_rows))
-
-        left = codes.mapInArrow(possible, "point_id bigint")
-        return _scan(vectors.join(left, "point_id", "left_semi"), "point_id", "vector", matrix, k)
+                left = batch.select([0, 1]).filter(pa.array((np.sqrt(agree) >= least).any(axis=1)))
+                if left.num_rows:
+                    yield left
+
+        # Codes and vectors pass side by side: no join, and only open rows are scored.
+        both = points.select(F.col(point_id).cast("bigint").alias("point_id"), F.col(vector).alias("vector"),
+                             F.col(code).alias("code"))
+        return _scan(both, "point_id", "vector", matrix, k, open_rows, ["point_id", "vector", "code"])
 
     return _per_block(queries, query_id, query_vector, queries_per_pass, search)
 
