@@ -8,9 +8,12 @@ import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# Pre-token pattern: a run of letters, up to three digits, or one other visible
-# character.
-TOKEN_PATTERN = r"[\p{L}\p{M}]+|\p{N}{1,3}|[^\p{L}\p{M}\p{N}\p{Z}\p{C}]"
+# Pre-token pattern: one letter of a script without word gaps, up to four other
+# letters, up to three digits, or one other visible character. The bounds keep
+# the count in proportion to the text, so a token budget bounds it in any script.
+TOKEN_PATTERN = (
+    r"[\p{IsHan}\p{IsHiragana}\p{IsKatakana}\p{IsThai}\p{IsLao}\p{IsKhmer}\p{IsMyanmar}]"
+    r"|[\p{L}\p{M}]{1,4}|\p{N}{1,3}|[^\p{L}\p{M}\p{N}\p{Z}\p{C}]")
 
 
 def token_count(text: Column) -> Column:
