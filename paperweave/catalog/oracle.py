@@ -11,7 +11,8 @@ def _tidy(column: str) -> str:
 
 
 def _tokens(column: str) -> str:
-    pattern = r"[\p{L}\p{M}]+|\p{N}{1,3}|[^\p{L}\p{M}\p{N}\p{Z}\p{C}]"
+    pattern = (r"[\p{Han}\p{Hiragana}\p{Katakana}\p{Thai}\p{Lao}\p{Khmer}\p{Myanmar}]"
+               r"|[\p{L}\p{M}]{1,4}|\p{N}{1,3}|[^\p{L}\p{M}\p{N}\p{Z}\p{C}]")
     least = f"case when {column} <> '' then 1 else 0 end"
     return f"greatest(len(regexp_extract_all({column}, '{pattern}')), {least})::bigint"
 
@@ -88,6 +89,9 @@ _CODED = """
                 - case when bits[1] = '1' then (1::hugeint << 63) else 0::hugeint end)::bigint as word
         from coded)"""
 
+_VECTOR_MD5 = """md5(array_to_string(list_transform(embedding,
+               lambda x: (round(x::double * 1000000)::bigint)::varchar), ','))"""
+
 _FIRST_TEXTS = "select * from documents qualify row_number() over (partition by text order by doc_id) = 1"
 
 _TOPK = """
@@ -245,10 +249,13 @@ ORACLE: dict[str, str] = {
         select custom_id, count(*) as n_asked, null::varchar as n_got, 'missing' as problem
         from asked where request_id % 7 = 0 group by custom_id""",
 
-    "order_results": "with" + _ASKED + """
-        select row_number() over (order by request_id % 3, custom_id, pos) - 1 as vec_idx,
-               embedding[1]::double as x0, embedding[64]::double as x63
-        from asked""",
+    "order_results": f"""
+        select row_number() over (order by vec_id) - 1 as vec_idx, {_VECTOR_MD5} as vector_md5 from embeddings""",
+
+    "repeated_answers": "with" + _ASKED + """
+        select custom_id, case when request_id % 7 = 0 then 0 else count(*) end as n_vectors,
+               case when request_id % 7 = 0 then 'missing' when request_id % 5 = 0 then 'answered twice' end as problem
+        from asked group by custom_id, request_id""",
 
     "union_results": """
         select coalesce(part, 'all') as part, count(*) as n_vectors, sum(width)::bigint as n_values
@@ -270,9 +277,9 @@ ORACLE: dict[str, str] = {
         select vec_id, label::bigint as label from embeddings
         where vec_id not in (select doc_id from ({_FIRST_TEXTS}))""",
 
-    "collection_points": """
+    "collection_points": f"""
         select vec_id as point_id, vec_id // 100 as chunk, len(embedding)::bigint as width,
-               embedding[1]::double as x0, lang, source, n_chars
+               {_VECTOR_MD5} as vector_md5, lang, source, n_chars
         from embeddings join documents on vec_id = doc_id""",
 
     "collection_chunks": """
@@ -288,17 +295,28 @@ ORACLE: dict[str, str] = {
 
     "binary_quantize": "with" + _CODED + " select vec_id, bits, word from words",
 
-    "stored_vectors": """
-        select vec_id as vec_idx, len(embedding)::bigint as width, embedding[1]::double as x0
+    "stored_vectors": f"""
+        select vec_id as vec_idx, len(embedding)::bigint as width, {_VECTOR_MD5} as vector_md5
         from (select *, row_number() over (order by vec_id) - 1 as r, count(*) over () as n from embeddings)
         where r >= n // 4 and r < n // 4 + n // 2""",
 
-    "stored_collection": "with" + _CODED + """
-        select vec_id as point_id, lang, source, md5(text) as text_md5, word,
+    "stored_collection": "with" + _CODED + f"""
+        select vec_id as point_id, lang, source, md5(text) as text_md5, word, {_VECTOR_MD5} as vector_md5,
                round((embedding[1]::double / sqrt(list_sum(list_transform(embedding, lambda x: x::double * x::double))))
                      ::float::double, 5) + 0.0 as u0
         from words join embeddings using (vec_id) join documents on doc_id = vec_id""",
 
+    "collection_upsert": "with" + _CODED + """
+        select vec_id as point_id, label::bigint + case when vec_id % 2 = 0 then 100 else 0 end as label, word
+        from words join embeddings using (vec_id)
+        union all
+        select vec_id + 1000000, label::bigint + 100, word
+        from words join embeddings using (vec_id) where vec_id % 2 = 0""",
+
+    "stream_collection_twice": "with" + _CODED + """
+        select vec_id as point_id, label::bigint + case when label >= 5 then 100 else 0 end as label, word
+        from words join embeddings using (vec_id)""",
+
     "stream_collection": "with" + _CODED + """
         select vec_id as point_id, label::bigint as label, word from words join embeddings using (vec_id)""",
 
@@ -325,8 +343,8 @@ ORACLE: dict[str, str] = {
             select l_orderkey as id,
                    case when bool_or(s in ('cancelled', 'failed')) then 'failed'
                         when bool_or(s in ('in_progress', 'finalizing')) then 'processing'
-                        when bool_and(s = 'completed') then 'completed' end as asked
-            from (select l_orderkey, {_LINE_STATUS} as s from lineitem) group by 1),
+                        when bool_and(coalesce(s = 'completed', false)) then 'completed' end as asked
+            from (select l_orderkey, case when l_suppkey % 5 > 0 then {_LINE_STATUS} end as s from lineitem) group by 1),
         jobs as (select o_orderkey as id, {_ORDER_STATUS} as status, o_orderdate from orders)
         select jobs.id, coalesce(asked, status) as status,
                strftime(case when asked is not null and asked <> status then timestamp '2030-01-01'
@@ -386,6 +404,23 @@ ORACLE: dict[str, str] = {
         with {_JOBS}, {_BATCHES}
         select id, job_id from batches where job_id in (select id from jobs where status = 'completed')""",
 
+    "job_lookup": f"""
+        with {_JOBS}, {_BATCHES}
+        select b.id, b.job_id, j.model, j.status as job_status from batches b join jobs j on j.id = b.job_id
+        where j.id = (select max(b.job_id) from batches b join jobs j on j.id = b.job_id)""",
+
+    "rejected_batches": f"""
+        with {_JOBS}, {_BATCHES},
+        known as (select id from jobs where status <> 'paused'),
+        numbered as (select *, 'batch_' || id as batch_oaid, row_number() over (order by 'batch_' || id) as number from batches)
+        select number as id, batch_oaid, array_to_string(list_sort(list_filter([
+                   case when job_id is null then 'job_id is null' end, case when status is null then 'status is null' end,
+                   case when status = 'shipped' then 'status is unknown' end,
+                   case when created_at is null then 'created_at is null' end,
+                   case when job_id is not null and job_id not in (select id from known) then 'job_id has no parent' end],
+               lambda x: x is not null)), ', ') as rules
+        from numbered""",
+
     "job_batches": f"""
         with {_JOBS}, {_BATCHES}
         select j.id as job_id, j.status as job_status, j.model as job_model, b.id, b.status

@@ -32,6 +32,12 @@ EVENT_STATUS = {"view": "in_progress", "click": "finalizing", "purchase": "compl
                 "signup": "validating", "error": "failed"}
 
 
+def vector_md5(vector: str) -> Column:
+    """Digest of a whole vector, each value to six places."""
+    parts = F.transform(vector, lambda x: F.round(x.cast("double") * 1_000_000).cast("bigint").cast("string"))
+    return F.md5(F.array_join(parts, ","))
+
+
 def query(function: Query) -> Query:
     QUERIES[function.__name__] = function
     return function
@@ -47,8 +53,7 @@ def mapped(column: str, values: dict[str, str]) -> Column:
 
 
 def _texts(spark: SparkSession, folder: str) -> DataFrame:
-    scan = table(spark, folder, "documents").select(F.col("doc_id").alias("row_idx"), "text")
-    return paper_source.spread_scan(scan, "row_idx")
+    return table(spark, folder, "documents").select(F.col("doc_id").alias("row_idx"), "text")
 
 
 # --- cleaning ---------------------------------------------------------------
@@ -59,7 +64,7 @@ def clean_corpus(spark, folder):
     docs = table(spark, folder, "documents")
     kept = docs.withColumn("parsed", text.split_words(F.concat_ws(" ", "lang", "source"))).filter(
         text.overlaps(F.col("parsed"), ALLOWED))
-    first = dedup.keep_first(kept, ["text"], ["doc_id"])
+    first = dedup.keep_first_text(kept, "text", ["doc_id"])
     return first.select(
         "doc_id", "lang", "source", F.array_join("parsed", ",").alias("categories"),
         text.collapse_spaces(F.col("text")).alias("clean_text"))
@@ -114,7 +119,7 @@ def category_intersection(spark, folder):
 @query
 def dedupe_keep_first(spark, folder):
     docs = table(spark, folder, "documents")
-    return dedup.keep_first(docs, ["text"], ["doc_id"]).select("doc_id", "lang", "source", "n_chars")
+    return dedup.keep_first_text(docs, "text", ["doc_id"], ["doc_id", "lang", "source", "n_chars"])
 
 
 @query
@@ -196,7 +201,8 @@ def row_index(spark, folder):
 def payload_slice(spark, folder):
     """The middle half of the numbered documents."""
     docs = table(spark, folder, "documents").select("lang", "doc_id", "source")
-    numbered = order.dense_row_index(docs, ["lang", "doc_id"])
+    # Stored, so that the slice prunes the scan by the numbers' ranges.
+    numbered = stage(order.dense_row_index(docs, ["lang", "doc_id"]), "numbered")
     n = docs.count()
     return order.row_slice(numbered, "row_idx", n // 4, n // 2)
 
@@ -339,13 +345,37 @@ def unmatched_requests(spark, folder):
 
 @query
 def order_results(spark, folder):
-    """Vectors numbered by file, custom_id and position, without a manifest."""
-    asked = _asked(spark, folder)
+    """Vectors numbered in the order asked, without a manifest.
+
+    Request numbers pass 999,999 and each batch has three files whose names sort
+    against their order.
+    """
+    request = F.call_function("div", F.col("vec_id"), F.lit(TEXTS_PER_RESULT)) + 999_990
+    batch = order.chunk_id(request, BATCH_REQUESTS)
+    asked = table(spark, folder, "embeddings").select(
+        request.alias("request_id"), naming.custom_id(F.lit(1), batch, request).alias("custom_id"),
+        (F.col("vec_id") % TEXTS_PER_RESULT).alias("pos"), "embedding")
     lines = _answered(asked).select(
-        "value", F.concat(F.lit("part-"), F.col("request_id") % 3).alias("source_file"))
+        "value", F.concat(F.lit("part-"), 9 - F.col("request_id") % BATCH_REQUESTS).alias("source_file"))
     numbered = realign.vectors_in_order(realign.good_lines(realign.parse_lines(lines)))
-    return numbered.select("vec_idx", F.col("embedding")[0].cast("double").alias("x0"),
-                           F.col("embedding")[63].cast("double").alias("x63"))
+    return numbered.select("vec_idx", vector_md5("embedding").alias("vector_md5"))
+
+
+@query
+def repeated_answers(spark, folder):
+    """Every 5th request answered twice and every 7th not at all: rows per request, and what is reported."""
+    asked = _asked(spark, folder)
+    answers = _answered(asked).filter("request_id % 7 <> 0").select("request_id", "value")
+    lines = answers.withColumn("source_file", F.lit("part-0")).unionByName(
+        answers.filter("request_id % 5 = 0").withColumn("source_file", F.lit("part-1")))
+    good = realign.good_lines(realign.parse_lines(lines))
+    manifest = asked.select("custom_id", "pos", "row_idx")
+    found = realign.align_vectors(good, manifest).join(
+        manifest.select("custom_id", F.col("row_idx").alias("vec_idx")), "vec_idx").groupBy("custom_id").agg(
+        F.count(F.lit(1)).alias("n_vectors"))
+    problems = realign.unmatched_requests(good, manifest).select("custom_id", "problem")
+    return manifest.select("custom_id").distinct().join(found, "custom_id", "left").join(
+        problems, "custom_id", "left").select("custom_id", F.coalesce("n_vectors", F.lit(0)).alias("n_vectors"), "problem")
 
 
 @query
@@ -385,7 +415,7 @@ def missing_vectors(spark, folder):
 @query
 def orphan_vectors(spark, folder):
     """Vectors whose document is gone, here as a repeat of an earlier text."""
-    docs = dedup.keep_first(table(spark, folder, "documents"), ["text"], ["doc_id"])
+    docs = dedup.keep_first_text(table(spark, folder, "documents"), "text", ["doc_id"], ["doc_id"])
     found = table(spark, folder, "embeddings").select("vec_id", F.col("label").cast("bigint").alias("label"))
     return realign.orphan_rows(found, docs, "vec_id", "doc_id")
 
@@ -403,8 +433,7 @@ def collection_points(spark, folder):
     points = collection.with_load_chunk(_points(spark, folder), CHUNK)
     return points.select(
         "point_id", "chunk", F.size("vector").cast("bigint").alias("width"),
-        F.col("vector")[0].cast("double").alias("x0"),
-        "payload.lang", "payload.source", "payload.n_chars")
+        vector_md5("vector").alias("vector_md5"), "payload.lang", "payload.source", "payload.n_chars")
 
 
 @query
@@ -421,8 +450,7 @@ def stored_vectors(spark, folder):
     stored = vector_store.read_vectors(spark, root, 1)
     n = found.count()
     return order.row_slice(stored, "vec_idx", n // 4, n // 2).select(
-        "vec_idx", F.size("embedding").cast("bigint").alias("width"),
-        F.col("embedding")[0].cast("double").alias("x0"))
+        "vec_idx", F.size("embedding").cast("bigint").alias("width"), vector_md5("embedding").alias("vector_md5"))
 
 
 @query
@@ -437,7 +465,24 @@ def stored_collection(spark, folder):
     load_job.run(found.join(papers.select(F.col("row_idx").alias("vec_idx")), "vec_idx", "left_semi"), papers, path)
     return collections.read_points(spark, path).select(
         "point_id", "payload.lang", "payload.source", F.md5("payload.text").alias("text_md5"),
-        F.col("code")[0].alias("word"), (F.round(F.col("unit")[0].cast("double"), 5) + 0.0).alias("u0"))
+        F.col("code")[0].alias("word"), vector_md5("vector").alias("vector_md5"),
+        (F.round(F.col("unit")[0].cast("double"), 5) + 0.0).alias("u0"))
+
+
+@query
+def collection_upsert(spark, folder):
+    """A collection after a second load that changes every second vector and adds new ids."""
+    path = new_path(spark, "collection")
+    collections.create_collection(spark, path, 64, bucket_ids=CHUNK)
+    points = table(spark, folder, "embeddings").select(
+        F.col("vec_id").alias("point_id"), F.col("embedding").alias("vector"),
+        F.struct(F.col("label").cast("bigint").alias("label")).alias("payload"))
+    collections.load_points(points, path)
+    changed = points.filter("point_id % 2 = 0").withColumn(
+        "payload", F.struct((F.col("payload.label") + 100).alias("label")))
+    added = changed.withColumn("point_id", F.col("point_id") + 1_000_000)
+    collections.load_points(changed.unionByName(added), path)
+    return collections.read_points(spark, path).select("point_id", "payload.label", F.col("code")[0].alias("word"))
 
 
 @query
@@ -524,7 +569,9 @@ ORDER_STATUS = {"F": "failed", "O": "processing", "P": "pending"}
 def job_status_rollup(spark, folder):
     """Orders as jobs, their lines as batches."""
     lines = table(spark, folder, "lineitem").withColumn("state", F.concat("l_returnflag", "l_linestatus"))
-    batches = lines.select(F.col("l_orderkey").alias("job_id"), mapped("state", LINE_STATUS).alias("status"))
+    # Some batches have no status; they hold their job back.
+    status = F.when(F.col("l_suppkey") % 5 > 0, mapped("state", LINE_STATUS))
+    batches = lines.select(F.col("l_orderkey").alias("job_id"), status.alias("status"))
     jobs = table(spark, folder, "orders").select(
         F.col("o_orderkey").alias("id"), mapped("o_orderstatus", ORDER_STATUS).alias("status"),
         F.col("o_orderdate").alias("updated_at"))
@@ -631,6 +678,30 @@ def completed_only(spark, folder):
     return state.of_completed_jobs(_batches(spark, folder), _jobs(spark, folder)).select("id", "job_id")
 
 
+@query
+def job_lookup(spark, folder):
+    """The one job with the largest id, and its batches."""
+    jobs, batches = _jobs(spark, folder), _batches(spark, folder)
+    last = batches.join(jobs.select(F.col("id").alias("job_id")), "job_id", "left_semi").agg(F.max("job_id")).first()[0]
+    job = state.require_one(jobs.filter(F.col("id") == last), "job")
+    return state.batches_of(batches, last).select(
+        "id", "job_id", F.lit(job["model"]).alias("model"), F.lit(job["status"]).alias("job_status"))
+
+
+@query
+def rejected_batches(spark, folder):
+    """Orders registered as batches: those that break rules are given back, the others are stored."""
+    root = new_path(spark, "state")
+    jobs = _jobs(spark, folder).filter("status <> 'paused'").withColumns(
+        {c: F.lit(None).cast("timestamp") for c in ("created_at", "updated_at", "finished_at")})
+    state_tables.recreate_state(spark, root)
+    state_tables.write_state(jobs, root, "jobs")
+    rejected = state_tables.create_batches(_batches(spark, folder).drop("id"), root, ["batch_oaid"], reject=True)
+    stored = state_tables.read_state(spark, root, "batches")
+    return rejected.select("id", "batch_oaid", F.array_join("rules", ", ").alias("rules")).unionByName(
+        stored.select("id", "batch_oaid", F.lit("").alias("rules")))
+
+
 @query
 def job_batches(spark, folder):
     joined = state.jobs_with_batches(_jobs(spark, folder), _batches(spark, folder))
@@ -705,7 +776,10 @@ def stream_refresh(spark, folder):
     state_tables.write_state(jobs, root, "jobs")
     created = events.select("user_id", "oaid").distinct().select(
         F.col("user_id").alias("job_id"), F.concat("oaid", F.lit(".jsonl")).alias("local_file_id"),
-        F.to_json(F.struct(F.col("oaid").alias("id"), F.lit("validating").alias("status"))).alias("raw"))
+        F.to_json(F.struct(
+            F.col("oaid").alias("id"), F.lit("validating").alias("status"), F.lit("24h").alias("completion_window"),
+            F.lit("/v1/embeddings").alias("endpoint"), F.lit("batch").alias("object"),
+            F.concat(F.lit("in-"), "oaid").alias("input_file_id"), F.lit(1704067200).alias("created_at"))).alias("raw"))
     monitor.register_batches(created, root)
     events.select("event_id", F.to_json(F.struct(F.col("oaid").alias("id"), "status")).alias("raw")).write.json(landed)
     snapshots = spark.readStream.schema("event_id bigint, raw string").json(landed)
@@ -730,3 +804,18 @@ def stream_collection(spark, folder):
     run.awaitTermination()
     return collections.read_points(spark, path).select(
         "point_id", "payload.label", F.col("code")[0].alias("word"))
+
+
+@query
+def stream_collection_twice(spark, folder):
+    """Two streams with their own checkpoints and ids in common: the later points win."""
+    path = new_path(spark, "collection")
+    collections.create_collection(spark, path, 64, bucket_ids=CHUNK)
+    schema = table(spark, folder, "embeddings").schema
+    arriving = spark.readStream.schema(schema).option("pathGlobFilter", "embeddings.parquet").parquet(folder)
+    for part, extra in (("label < 7", 0), ("label >= 5", 100)):
+        points = arriving.filter(part).select(
+            F.col("vec_id").alias("point_id"), F.col("embedding").alias("vector"),
+            F.struct((F.col("label") + extra).cast("bigint").alias("label")).alias("payload"))
+        ingest.write_points(points, path, new_path(spark, "offsets")).trigger(availableNow=True).start().awaitTermination()
+    return collections.read_points(spark, path).select("point_id", "payload.label", F.col("code")[0].alias("word"))
