@@ -221,7 +221,7 @@ def drop_lines(docs: DataFrame, id_column: str = "doc_id", text: str = "text", c
     gone = stage(recurring(docs, id_column, text), "dropped-lines")
     a, b, c = fresh(docs, "_id", "_row", "_lines")
     gone = gone.select(F.col("id").alias(a), F.col("row").alias(b), F.col("lines").alias(c))
-    joined = docs.join(gone, (quoted(id_column) == F.col(a)) & (F.xxhash64(quoted(text)) == F.col(b)), "left")
+    joined = docs.join(gone.hint("merge"), (quoted(id_column) == F.col(a)) & (F.xxhash64(quoted(text)) == F.col(b)), "left")
     rest = F.array_join(F.filter(F.split(quoted(text), "\n"), lambda _, i: ~F.array_contains(F.col(c), i)), "\n")
     changed = F.when(F.col(c).isNull(), quoted(text)).otherwise(rest)
     lost = [F.coalesce(F.size(c), F.lit(0)).cast("bigint").alias(count)] if count else []
