@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from paperweave.functions.vectors import of_dimension
 from paperweave.sources.versions import versions
+from paperweave.workspace import replace_folder
 
 
 def _job_folder(root: str, job_id: int) -> str:
@@ -16,16 +17,18 @@ def _job_folder(root: str, job_id: int) -> str:
 def write_vectors(vectors: DataFrame, root: str, job_id: int, dim: int, version: int = 1) -> str:
     """Write ``vec_idx, embedding`` as float32, ranged and sorted by ``vec_idx``.
 
-    A vector without ``dim`` values fails the write. A second run replaces the
-    version as a whole, so nothing stale stays behind.
+    A vector without ``dim`` values fails the write. A second run is written
+    beside the version and replaces it as a whole once it is complete.
     """
     folder = f"{_job_folder(root, job_id)}/version={version}"
+    beside = f"{_job_folder(root, job_id)}/_writing-{version}"  # readers skip such names
     (
         vectors.select("vec_idx", F.col("embedding").cast("array<float>").alias("embedding"))
         .repartitionByRange("vec_idx").sortWithinPartitions("vec_idx")
         .withColumn("embedding", of_dimension(F.col("embedding"), dim, F.col("vec_idx")))
-        .write.mode("overwrite").option("compression", "zstd").parquet(folder)
+        .write.mode("overwrite").option("compression", "zstd").parquet(beside)
     )
+    replace_folder(vectors.sparkSession, beside, folder)
     return folder
 
 

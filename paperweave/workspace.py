@@ -40,3 +40,12 @@ def remove_folder(spark: SparkSession, path: str) -> None:
     """Delete a folder of the file system that the path names."""
     where = spark._jvm.org.apache.hadoop.fs.Path(path)
     where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
+
+
+def replace_folder(spark: SparkSession, new: str, path: str) -> None:
+    """Put a finished folder in the place of another one, or where there is none."""
+    source, target = (spark._jvm.org.apache.hadoop.fs.Path(p) for p in (new, path))
+    files = target.getFileSystem(spark._jsc.hadoopConfiguration())
+    files.delete(target, True)
+    if not files.rename(source, target):
+        raise OSError(f"could not move {new} to {path}")

@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from paperweave.catalog.queries import QUERIES
-from paperweave.operators import packing, requests, state
+from paperweave.operators import order, packing, requests, state
 from paperweave.plans import clean
 from paperweave.session import shuffle_partitions
 from paperweave.sources import papers as source
@@ -104,3 +104,31 @@ def test_wide_sides_are_not_broadcast(spark):
 def test_shuffle_tasks_grow_with_the_input():
     assert shuffle_partitions(10 ** 9) == 200
     assert shuffle_partitions(100 * 10 ** 12) == 372530
+
+
+def test_numbering_has_one_plan(spark):
+    """Many small files: one wide shuffle, and only the file offsets are broadcast."""
+    rows = spark.range(5000).select(F.col("id"), F.repeat(F.lit("x"), 200).alias("wide"))
+    numbered = order.dense_row_index(rows, ["id"], partitions=400)
+    text = plan(numbered)
+    assert text.count("BroadcastHashJoin") == 1 and exchanges(text) == 0
+    assert [r["row_idx"] for r in numbered.orderBy("id").select("row_idx").collect()] == list(range(5000))
+
+
+def test_texts_stay_out_of_the_dedup_shuffle(spark):
+    text = plan(QUERIES["dedupe_keep_first"](spark, DATA))
+    exchange = next(line for line in text.splitlines() if "Exchange hash" in line)
+    assert "_digest" in exchange and not re.search(r"\btext#", exchange)
+    below = text[text.index("Exchange hash"):text.index("FileScan")]
+    assert "Project [doc_id" in below
+
+
+def test_coded_search_shuffles_no_vectors(spark):
+    text = plan(QUERIES["hamming_rescore"](spark, DATA))
+    assert "SortMergeJoin" not in text
+    assert not any("Exchange hash" in line and "embedding" in line for line in text.splitlines())
+
+
+def test_numbered_slices_are_pruned(spark):
+    text = plan(QUERIES["payload_slice"](spark, DATA))
+    assert "GreaterThanOrEqual(row_idx," in text

@@ -158,6 +158,36 @@ def test_bad_lines_do_not_shift_others(spark, prepared, tmp_path):
     assert all(r["embedding"][0] == r["vec_idx"] for r in got.vectors.collect())
 
 
+def test_repeated_answers_count_once_and_loads_compare_ids(spark, prepared, tmp_path):
+    """One request answered twice and another not at all: the counts agree, the ids don't."""
+    _, made = prepared
+    ids = [r["custom_id"] for r in made.requests.orderBy("request_id").collect()]
+    again = json.dumps({"response": {"data": [{"embedding": [-1.0, 0.0, 0.0, 0.0]}]}, "custom_id": ids[-1]})
+    results = write_results(tmp_path / "results", made.manifest, [(1, again)])
+    got = collect.run(spark, results, made.manifest, str(tmp_path / "vectors"), 7, 4)
+    problems = {r["problem"] for r in got.unmatched.collect()}
+    assert problems == {"missing", "answered twice"}
+    found = [r["vec_idx"] for r in got.vectors.collect()]
+    assert len(found) == len(set(found))
+    clean = papers(spark).filter("title is not null")
+    root = str(tmp_path / "collection")
+    collections.create_collection(spark, root, 4)
+    with pytest.raises(ValueError, match="do not match"):
+        load.run(got.vectors, clean, root)
+    twice = got.vectors.unionAll(got.vectors.limit(clean.count() - len(found)))
+    with pytest.raises(ValueError, match="has"):
+        load.run(twice, clean, root)
+    assert collections.read_points(spark, root) is None
+
+
+def test_a_failed_rerun_keeps_the_good_vectors(spark, tmp_path):
+    root, df = str(tmp_path), spark.createDataFrame([(0, [1.0])], "vec_idx bigint, embedding array<float>")
+    vectors.write_vectors(df, root, 1, 1)
+    with pytest.raises(Exception, match="does not have 1 dimensions"):
+        vectors.write_vectors(spark.createDataFrame([(0, [1.0, 2.0])], df.schema), root, 1, 1)
+    assert vectors.read_vectors(spark, root, 1).first()["embedding"] == [1.0]
+
+
 def test_wrong_dimension_is_an_error(spark, prepared, tmp_path):
     _, made = prepared
     results = write_results(tmp_path / "results", made.manifest)

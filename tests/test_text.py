@@ -6,6 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from paperweave.functions import naming, text, tokens
+from paperweave.sources import papers
 
 
 def one(spark, column, **values):
@@ -81,11 +82,20 @@ def test_http_date_ignores_session_zone(spark, strict):
 
 
 @pytest.mark.parametrize("raw,want", [
-    ("Two words", 2), ("1234567", 3), ("a1b", 3), ("é, né!", 4), ("", 0), (" \n", 1), ("éx", 1), ("日本", 1)])
+    ("Two words", 3), ("1234567", 3), ("a1b", 3), ("é, né!", 4), ("", 0), (" \n", 1), ("éx", 1), ("日本", 2),
+    ("中文字" * 2000, 6000), ("ภาษาไทย" * 500, 3500), ("a" * 4001, 1001), ("ab日本", 1), ("日本ab", 3)])
 def test_token_count(spark, raw, want):
     assert one(spark, tokens.token_count(F.col("t")), t=raw) == want
 
 
+@pytest.mark.parametrize("path,want", [
+    ("a/b/raw.json", "a/b/raw-clean.parquet"), ("raw.json", "raw-clean.parquet"),
+    ("s3a://bucket/x/raw.json", "s3a://bucket/x/raw-clean.parquet"), ("hdfs:///x.y/raw", "hdfs:///x.y/raw-clean.parquet"),
+    (".hidden", ".hidden-clean.parquet")])
+def test_default_clean_path(path, want):
+    assert papers.default_clean_path(path) == want
+
+
 def test_tokenizer_count(spark):
     count = tokens.tokenizer_count(lambda: lambda t: t.split("-"))
     df = spark.createDataFrame([("a-b-c",), (None,), ("x",)], "t string")
