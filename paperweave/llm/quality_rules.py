@@ -10,13 +10,13 @@ are 0. Other columns pass through; one that has the name of a measure raises.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from paperweave.llm.common import blank_words, need, quoted, text_of
+from paperweave.llm.common import blank_words, fresh, need, quoted, text_of
 
 WINDOW = 8
 LEAST_WORDS = 20
@@ -56,13 +56,23 @@ RATIOS = ("mean_word_chars", "symbol_ratio", "stop_ratio", "dup_line_ratio", "bu
           "ellipsis_line_ratio")
 
 
-def _repeat_words(words: Column, n: Column) -> Column:
+def _let(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use`` of a value that is worked out once for each row.
+
+    A plain column would be put in the place of its name wherever a filter is
+    moved below it, also inside the functions of a list, once for every item.
+    """
+    return F.transform(F.array(value), use)[0]
+
+
+def _repeat_words(words: Column) -> Column:
     """Words covered by windows that occur more than once.
 
     Window hashes show which texts repeat anything at all. Only those texts
     sort their windows, by hash and then by the words themselves, so that equal
     ones lie side by side; the starts of these, in order, give the cover.
     """
+    n = F.size(words)
     starts = F.sequence(F.lit(1), n - (WINDOW - 1))
     hashes = F.transform(starts, lambda i: F.xxhash64(F.slice(words, i, WINDOW)))
 
@@ -82,59 +92,75 @@ def _repeat_words(words: Column, n: Column) -> Column:
                 (acc["n"] + F.least(F.lit(WINDOW), x - acc["at"])).alias("n"), x.alias("at")))
         return total["n"]
 
-    # Passing the sorted list through a one-element array evaluates it once.
     ordered = F.sort_array(F.transform(starts, lambda i: F.struct(
         F.xxhash64(F.slice(words, i, WINDOW)).alias("h"), F.slice(words, i, WINDOW).alias("w"), i.alias("i"))))
-    exact = F.transform(F.array(ordered), covered)[0]
-    repeats = F.exists(F.array(hashes), lambda h: F.size(F.array_distinct(h)) < F.size(h))
-    return F.when(n < WINDOW + 1, F.lit(0)).when(repeats, exact).otherwise(F.lit(0)).cast("bigint")
+    repeats = _let(hashes, lambda h: F.size(F.array_distinct(h)) < F.size(h))
+    return F.when(n < WINDOW + 1, F.lit(0)).when(repeats, _let(ordered, covered)).otherwise(F.lit(0)).cast("bigint")
 
 
 def _ratio(part: Column, whole: Column) -> Column:
     return F.when(whole > 0, part / whole).otherwise(F.lit(0.0)).cast("double")
 
 
+def measures(text: Column, stop_words: Sequence[str] = ALL_STOP_WORDS) -> Column:
+    """All measures of a text as one struct; words and lines are split once."""
+    forms = sorted({f for w in stop_words for f in (w, w[:1].upper() + w[1:])})
+
+    def lines_like(lines: Column, pattern: str) -> Column:
+        return F.size(F.filter(lines, lambda line: line.rlike(pattern)))
+
+    def counted(text: Column, words: Column, lines: Column) -> Column:
+        return F.struct(
+            F.size(words).cast("bigint").alias("n_words"),
+            F.char_length(F.array_join(words, "")).cast("bigint").alias("word_chars"),
+            F.regexp_count(text, F.lit(SYMBOLS)).cast("bigint").alias("n_symbols"),
+            (F.size(lines) - F.size(F.array_distinct(lines))).cast("bigint").alias("n_dup_lines"),
+            _repeat_words(words).alias("n_repeat_words"),
+            F.size(F.filter(words, lambda w: w.isin(forms))).alias("n_stop"),
+            lines_like(lines, "^[ \\t-\\r]*[-*•]").alias("n_bullet"),
+            lines_like(lines, "(\\.\\.\\.|…)[ \\t-\\r]*$").alias("n_cut"),
+            F.size(lines).alias("n_lines"))
+
+    def with_ratios(m: Column) -> Column:
+        return F.struct(
+            *[m[c].alias(c) for c in BASE],
+            _ratio(m["word_chars"], m["n_words"]).alias("mean_word_chars"),
+            _ratio(m["n_symbols"], m["n_words"]).alias("symbol_ratio"),
+            _ratio(m["n_stop"], m["n_words"]).alias("stop_ratio"),
+            _ratio(m["n_dup_lines"], m["n_lines"]).alias("dup_line_ratio"),
+            _ratio(m["n_bullet"], m["n_lines"]).alias("bullet_line_ratio"),
+            _ratio(m["n_cut"], m["n_lines"]).alias("ellipsis_line_ratio"))
+
+    lines = F.filter(F.split(text, "\n"), lambda line: line.rlike("[^ \\t-\\r]"))
+    return _let(blank_words(text), lambda words: _let(
+        lines, lambda found: _let(counted(text, words, found), with_ratios)))
+
+
+def _with_fields(docs: DataFrame, fields: Column, names: Sequence[str]) -> DataFrame:
+    """``docs`` with the fields of one struct; a filter on a field works the struct out once more, no more."""
+    clash = {c.lower() for c in docs.columns} & set(names)
+    if clash:
+        raise ValueError(f"columns named like measures: {sorted(clash)}")
+    (m,) = fresh(docs, "_measures")
+    return docs.withColumn(m, fields).select(
+        *[quoted(c) for c in docs.columns], *[F.col(m)[c].alias(c) for c in names])
+
+
 def measure(docs: DataFrame, text: str = "text", stop_words: Sequence[str] = ALL_STOP_WORDS) -> DataFrame:
     """``docs`` with every measure."""
     need(docs, text)
-    clash = {c.lower() for c in docs.columns} & {*BASE, *RATIOS, "_words", "_lines", "_text", "_n"}
-    if clash:
-        raise ValueError(f"columns named like measures: {sorted(clash)}")
-    forms = sorted({f for w in stop_words for f in (w, w[:1].upper() + w[1:])})
-    split = docs.withColumn("_text", text_of(quoted(text))).withColumns({
-        "_words": blank_words(F.col("_text")),
-        "_lines": F.filter(F.split("_text", "\n"), lambda line: line.rlike("[^ \\t-\\r]"))})
-    n, n_lines = F.size("_words"), F.size("_lines")
-
-    def lines_like(pattern: str) -> Column:
-        return F.size(F.filter("_lines", lambda line: line.rlike(pattern)))
-
-    based = split.withColumns({
-        "n_words": n.cast("bigint"),
-        "word_chars": F.char_length(F.array_join("_words", "")).cast("bigint"),
-        "n_symbols": F.regexp_count("_text", F.lit(SYMBOLS)).cast("bigint"),
-        "n_dup_lines": (n_lines - F.size(F.array_distinct("_lines"))).cast("bigint"),
-        "n_repeat_words": _repeat_words(F.col("_words"), n),
-        "stop_ratio": _ratio(F.size(F.filter("_words", lambda w: w.isin(forms))), n),
-        "bullet_line_ratio": _ratio(lines_like("^[ \\t-\\r]*[-*•]"), n_lines),
-        "ellipsis_line_ratio": _ratio(lines_like("(\\.\\.\\.|…)[ \\t-\\r]*$"), n_lines),
-        "_n": n_lines})
-    return based.withColumns({
-        "mean_word_chars": _ratio(F.col("word_chars"), F.col("n_words")),
-        "symbol_ratio": _ratio(F.col("n_symbols"), F.col("n_words")),
-        "dup_line_ratio": _ratio(F.col("n_dup_lines"), F.col("_n")),
-    }).drop("_text", "_words", "_lines", "_n")
-
-
-def base_failed() -> Column:
-    """Too short or too repetitive to be judged further."""
-    return (F.col("n_words") < LEAST_WORDS) | (100 * F.col("n_repeat_words") > MOST_REPEATED * F.col("n_words"))
-
-
-def broken_rules(rules: Sequence[Rule] = RULES) -> Column:
-    """Names of the rules that a measured row breaks, in the table's order."""
+    return _with_fields(docs, measures(text_of(quoted(text)), stop_words), [*BASE, *RATIOS])
+
+
+def base_failed(of: Callable[[str], Column] = F.col) -> Column:
+    """Too short or too repetitive to be judged further; ``of`` gives a measure by its name."""
+    return (of("n_words") < LEAST_WORDS) | (100 * of("n_repeat_words") > MOST_REPEATED * of("n_words"))
+
+
+def broken_rules(rules: Sequence[Rule] = RULES, of: Callable[[str], Column] = F.col) -> Column:
+    """Names of the rules that the measures break, in the table's order."""
     def breaks(rule: Rule) -> Column:
-        value, out = F.col(rule.measure), F.lit(False)
+        value, out = of(rule.measure), F.lit(False)
         if rule.least is not None:
             out = out | (value < F.lit(rule.least))
         if rule.most is not None:
@@ -146,13 +172,19 @@ def broken_rules(rules: Sequence[Rule] = RULES) -> Column:
 
 def judge(docs: DataFrame, text: str = "text", rules: Sequence[Rule] = RULES) -> DataFrame:
     """``docs`` with the measures, ``base_failed``, ``broken`` and ``kept``."""
-    return measure(docs, text).withColumns({"base_failed": base_failed(), "broken": broken_rules(rules)}).withColumn(
-        "kept", ~F.col("base_failed") & (F.size("broken") == 0))
+    need(docs, text)
+
+    def verdict(m: Column) -> Column:
+        failed, broken = base_failed(lambda c: m[c]), broken_rules(rules, lambda c: m[c])
+        return F.struct(*[m[c].alias(c) for c in (*BASE, *RATIOS)], failed.alias("base_failed"),
+                        broken.alias("broken"), (~failed & (F.size(broken) == 0)).alias("kept"))
+
+    return _with_fields(docs, _let(measures(text_of(quoted(text))), verdict), [*BASE, *RATIOS, "base_failed", "broken", "kept"])
 
 
 def keep_good(docs: DataFrame, text: str = "text", rules: Sequence[Rule] = RULES) -> DataFrame:
     """The rows of ``docs`` that pass, with their columns as they were."""
-    judged = measure(docs.select(F.struct(*[quoted(c) for c in docs.columns]).alias("row"),
-                                 quoted(text).alias("text_")), "text_")
-    good = judged.filter(~base_failed() & (F.size(broken_rules(rules)) == 0))
-    return good.select(*[F.col("row").getField(c).alias(c) for c in docs.columns])
+    need(docs, text)
+    good = _let(measures(text_of(quoted(text))), lambda m: ~base_failed(lambda c: m[c]) & (
+        F.size(broken_rules(rules, lambda c: m[c])) == 0))
+    return docs.filter(good)
