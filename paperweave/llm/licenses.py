@@ -25,6 +25,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from paperweave.llm.common import LOWER, UPPER, need, quoted, text_of
+from paperweave.workspace import stage
 
 THRESHOLD = 0.8
 LEAST_WORDS = 4  # shorter templates would meet ordinary lines
@@ -133,8 +134,9 @@ def scan(
         F.filter(words_of(line), lambda w: w.isin(vocabulary))))
     blocks = F.filter(lines, lambda words: F.size(words) >= least)
 
-    index = template_index(source.select(F.explode(blocks).alias("words")), templates, threshold)
-    prefixes = index.groupBy().agg(F.collect_set("word").alias("prefix_words"))
+    # Both have at most a row per template word.
+    index = stage(template_index(source.select(F.explode(blocks).alias("words")), templates, threshold), "license-index")
+    prefix_words = sorted({r["word"] for r in index.select("word").collect()})
 
     words = words_of(F.replace("plain", F.lit("\n"), F.lit(" ")))
     labels = F.create_map(*[F.lit(x) for i, label in enumerate(phrases.values()) for x in (i, label)])
@@ -148,9 +150,8 @@ def scan(
         F.array_distinct(F.transform("found", lambda x: labels[x["p"]])).alias("base"))
 
     # A row per block that holds a prefix word of some template and that word; rows without one stay as they are.
-    probes = places.join(F.broadcast(prefixes)).withColumn("probe", F.explode_outer(F.flatten(F.transform(
-        "blocks", lambda b: F.transform(F.array_intersect(b, "prefix_words"),
-                                        lambda w: F.struct(w.alias("word"), b.alias("words"))))))).drop("blocks", "prefix_words")
+    probes = places.withColumn("probe", F.explode_outer(F.flatten(F.transform("blocks", lambda b: F.transform(
+        F.filter(b, lambda w: w.isin(prefix_words)), lambda w: F.struct(w.alias("word"), b.alias("words"))))))).drop("blocks")
     joined = probes.join(F.broadcast(index), F.col("probe.word") == F.col("word"), "left")
     # Words of the block from this one on, in the template's order: what the pair can still share.
     left_over = F.size("t_words") - F.col("at")
