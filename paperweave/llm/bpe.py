@@ -6,7 +6,8 @@ list of pieces. A bitmap over the buckets, with a bitmap over its words above
 it, gives the lowest filled rank by two find-first-set steps. An entry whose
 pair has changed meanwhile is stale and skipped. Work is near linear in the
 length of a pre-token. A worker keeps the merges of pre-tokens it has seen, up
-to a fixed number.
+to a fixed number; the new ones of a batch share one queue and are merged
+together, bucket by bucket.
 
 Texts are read in runs of pre-tokens and digests are fed as they come, so a long
 text costs little memory. Rows are independent: no shuffle, no group.
@@ -30,45 +31,12 @@ from pyspark.sql import functions as F
 
 from paperweave.llm.common import need, quoted
 
-WORD = 256  # bits of a bitmap word
-SEEN = 500_000  # pre-tokens a worker remembers
+SEEN = 1_000_000  # pre-tokens a worker remembers, half of them from batch to batch
+NEW = 300_000  # pre-tokens merged together
+LONG = 64  # longer ones are merged by themselves and not remembered
 RUN = 1 << 16  # pre-tokens handled at once
 
 
-class RankQueue:
-    """Positions by rank; the lowest rank first and, within it, the leftmost position."""
-
-    def __init__(self, ranks: int) -> None:
-        self.buckets: dict[int, list[int]] = {}
-        self.words = [0] * (ranks // WORD + 1)
-        self.top = 0
-
-    def push(self, rank: int, position: int) -> None:
-        bucket = self.buckets.get(rank)
-        if bucket is None:
-            self.buckets[rank] = [position]
-            word = rank // WORD
-            self.words[word] |= 1 << rank % WORD
-            self.top |= 1 << word
-        else:
-            bucket.append(position)
-
-    def lowest(self) -> int:
-        """The lowest filled rank, -1 if none."""
-        if not self.top:
-            return -1
-        word = (self.top & -self.top).bit_length() - 1
-        bits = self.words[word]
-        return word * WORD + (bits & -bits).bit_length() - 1
-
-    def take(self, rank: int) -> list[int]:
-        word = rank // WORD
-        self.words[word] &= ~(1 << rank % WORD)
-        if not self.words[word]:
-            self.top &= ~(1 << word)
-        return self.buckets.pop(rank)
-
-
 class Encoder:
     def __init__(self, vocabulary: bytes, pattern: str) -> None:
         import regex
@@ -76,63 +44,221 @@ class Encoder:
         self.ranks = {base64.b64decode(piece): int(rank) for piece, rank in map(bytes.split, vocabulary.splitlines())}
         # White space is the Unicode property, as where these vocabularies come from.
         self.split = regex.compile(pattern.replace(r"\s", r"\p{White_Space}").replace(r"\S", r"\P{White_Space}"))
-        self.queue = RankQueue(max(self.ranks.values(), default=0))
+        self.size = max(self.ranks.values(), default=0) + 2  # one id more, for gaps
+        self._pairs, self.new = None, set()
+        self.words = [0] * ((max(self.ranks.values(), default=0) >> 8) + 1)
         self.pieces = {str(rank): piece for piece, rank in self.ranks.items()}
         self.seen = _Seen(self)
 
     def merge(self, data: bytes) -> list[int]:
-        """Ids of one pre-token."""
-        ranks, queue, n = self.ranks, self.queue, len(data)
-        if data in ranks:
-            return [ranks[data]]
+        """Ids of one pre-token.
+
+        ``buckets`` holds positions by rank. ``words`` is a bitmap of the filled
+        ranks and ``top`` one of the words that are not zero; both are empty
+        again at the end. The queue is written out here, as calls would cost
+        more than its steps.
+        """
+        rank_of, n = self.ranks.get, len(data)
+        whole = rank_of(data)
+        if whole is not None:
+            return [whole]
         following, before = list(range(1, n + 1)), list(range(-1, n - 1))
         pair = [-1] * (n + 1)  # rank of the pair that starts at a piece
-        for i in range(n - 1):
-            rank = ranks.get(data[i:i + 2])
-            if rank is not None:
+        buckets: dict[int, list[int]] = {}
+        words, top = self.words, 0
+
+        waiting = [(rank, i) for i in range(n - 1) if (rank := rank_of(data[i:i + 2])) is not None]
+        while True:
+            for rank, i in waiting:
                 pair[i] = rank
-                queue.push(rank, i)
-        while (rank := queue.lowest()) >= 0:
-            positions = sorted(queue.take(rank))
+                if rank in buckets:
+                    buckets[rank].append(i)
+                else:
+                    buckets[rank] = [i]
+                    word = rank >> 8
+                    words[word] |= 1 << (rank & 255)
+                    top |= 1 << word
+            if not top:
+                break
+            word = (top & -top).bit_length() - 1
+            bits = words[word]
+            low = bits & -bits
+            words[word] = bits ^ low
+            if bits == low:
+                top ^= 1 << word
+            rank = (word << 8) + low.bit_length() - 1
+            positions = buckets.pop(rank)
+            if len(positions) > 1:
+                positions.sort()  # the leftmost first
+            waiting = []
             for turn, i in enumerate(positions):
                 if pair[i] != rank:
                     continue  # stale
                 j = following[i]
                 k = following[j]
-                following[i], pair[i], pair[j] = k, -1, -1
-                lower = False
+                following[i] = k
+                pair[i] = pair[j] = -1
+                lowest = rank
                 if k < n:
                     before[k] = i
-                    new = ranks.get(data[i:following[k]])
+                    new = rank_of(data[i:following[k]])
                     if new is not None:
                         pair[i] = new
-                        queue.push(new, i)
-                        lower = new < rank
+                        waiting.append((new, i))
+                        lowest = min(lowest, new)
                 p = before[i]
                 if p >= 0:
-                    new = ranks.get(data[p:k])
-                    pair[p] = -1 if new is None else new
-                    if new is not None:
-                        queue.push(new, p)
-                        lower = lower or new < rank
-                if lower:  # the rest waits until the lower ranks are done
-                    for rest in positions[turn + 1:]:
-                        queue.push(rank, rest)
+                    new = rank_of(data[p:k])
+                    if new is None:
+                        pair[p] = -1
+                    else:
+                        pair[p] = new
+                        waiting.append((new, p))
+                        lowest = min(lowest, new)
+                if lowest < rank:  # the rest waits until the lower ranks are done
+                    waiting += [(rank, x) for x in positions[turn + 1:] if pair[x] == rank]
                     break
+            # A pair that changed again within the bucket has a later entry.
+            waiting = [(new, i) for new, i in waiting if pair[i] == new]
         out, i = [], 0
         while i < n:
-            out.append(ranks[data[i:following[i]]])
+            out.append(self.ranks[data[i:following[i]]])
             i = following[i]
         return out
 
-    def encoded_runs(self, text: str) -> Iterator[str]:
-        """Decimal ids joined by commas, a run of pre-tokens at a time."""
-        found = self.split.finditer(text) if len(text) > RUN * 4 else None
-        if found is None:
+    def pairs(self) -> tuple[np.ndarray, np.ndarray]:
+        """(keys, ranks): every pair of tokens that joins to a token, by key for binary search."""
+        if self._pairs is None:
+            ids, size = self.ranks, self.size
+            found = sorted((ids[t[:i]] * size + ids[t[i:]], rank) for t, rank in ids.items()
+                           for i in range(1, len(t)) if t[:i] in ids and t[i:] in ids)
+            self._pairs = (np.array([k for k, _ in found], np.int64), np.array([r for _, r in found], np.int64))
+        return self._pairs
+
+    def merge_many(self, parts: list[bytes]) -> list[list[int]]:
+        """Ids of many pre-tokens, by one queue over all of them.
+
+        Pre-tokens stand in one list of positions with a gap between them. A
+        bucket is worked off as a whole: its entries have the lowest rank
+        everywhere, and where they overlap the leftmost goes first. Where a
+        merge opens a pair of lower rank, the order within the pre-token
+        matters, so that one is done again by itself.
+        """
+        keys, of_key = self.pairs()
+        gap, size = self.size - 1, self.size
+        sizes = np.fromiter(map(len, parts), np.int64, len(parts))
+        starts = np.cumsum(sizes + 1) - sizes  # a gap before every pre-token
+        total = int(sizes.sum()) + len(parts) + 1
+        token = np.full(total, gap, np.int64)
+        inside = np.ones(total, bool)
+        inside[starts - 1] = inside[-1] = False
+        byte_ids = np.array([self.ranks.get(bytes([b]), gap) for b in range(256)], np.int64)
+        token[inside] = byte_ids[np.frombuffer(b"".join(parts), np.uint8)]
+
+        def joined(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+            """Rank of the token that two tokens make, -1 if none."""
+            key = a * size + b
+            at = np.minimum(np.searchsorted(keys, key), len(keys) - 1)
+            return np.where(keys[at] == key, of_key[at], -1) if len(keys) else np.full(len(a), -1)
+
+        def rank_of(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+            return joined(token[a], token[b])
+
+        def part_of(positions: np.ndarray) -> list[int]:
+            return (np.searchsorted(starts, positions, side="right") - 1).tolist()
+
+        place = np.arange(total)
+        following, before, alive = place + 1, place - 1, inside.copy()
+        pair = np.append(rank_of(place[:-1], place[1:]), -1)
+        buckets: dict[int, list[np.ndarray]] = {}
+        words, top, again = self.words, 0, set()
+
+        def by_rank(ranks: np.ndarray, positions: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
+            order = np.argsort(ranks, kind="stable")
+            ranks, positions = ranks[order], positions[order]
+            cuts = np.flatnonzero(np.r_[True, ranks[1:] != ranks[:-1]]) if len(ranks) else []
+            for a, b in zip(cuts, [*cuts[1:], len(ranks)]):
+                yield int(ranks[a]), positions[a:b]
+
+        filled = np.flatnonzero(pair >= 0)
+        waiting = (pair[filled], filled)
+        while True:
+            for rank, positions in by_rank(*waiting):
+                if rank in buckets:
+                    buckets[rank].append(positions)
+                else:
+                    buckets[rank] = [positions]
+                    words[rank >> 8] |= 1 << (rank & 255)
+                    top |= 1 << (rank >> 8)
+            if not top:
+                break
+            word = (top & -top).bit_length() - 1
+            bits = words[word]
+            low = bits & -bits
+            words[word] = bits ^ low
+            if bits == low:
+                top ^= 1 << word
+            rank = (word << 8) + low.bit_length() - 1
+            i = np.unique(np.concatenate(buckets.pop(rank)))
+            i = i[(pair[i] == rank) & alive[i]]  # without stale entries
+            if len(i) > 1:  # of entries in a chain every second one overlaps the one before
+                linked = np.r_[False, following[i[:-1]] == i[1:]]
+                if linked.any():
+                    at = np.arange(len(i))
+                    i = i[(at - np.maximum.accumulate(np.where(linked, 0, at))) % 2 == 0]
+            if not len(i):
+                waiting = (i, i)
+                continue
+            j = following[i]
+            k = following[j]
+            # One at a time, a piece meets its right neighbour before that one is merged too.
+            soon = pair[k] == rank
+            early = joined(np.full(soon.sum(), rank), token[k[soon]])
+            again.update(part_of(i[soon][(early >= 0) & (early < rank)]))
+            token[i], following[i], before[k] = rank, k, i
+            alive[j], pair[j] = False, -1
+            p = before[i]
+            at = np.concatenate([i, p])
+            new = rank_of(at, np.concatenate([k, i]))
+            pair[at] = new
+            filled = new >= 0
+            waiting = (new[filled], at[filled])
+            if filled.any() and waiting[0].min() < rank:
+                again.update(part_of(waiting[1][waiting[0] < rank]))
+        counts = np.add.reduceat(alive.astype(np.int64), starts) if len(parts) else []
+        ends = np.cumsum(counts)
+        ids = token[alive].tolist()
+        return [self.merge(parts[n]) if n in again else ids[end - count:end]
+                for n, (count, end) in enumerate(zip(counts, ends))]
+
+    def learn(self, text: str) -> None:
+        """Merge the text's new pre-tokens, many at a time; call ``learned`` after the last text."""
+        for parts in self._runs(text):
+            self.new.update(p for p in set(parts) if p not in self.seen)
+            if len(self.new) > NEW:
+                self.learned()
+
+    def learned(self) -> None:
+        if len(self.seen) + len(self.new) > SEEN:
+            self.seen.clear()
+        known = {p: [self.ranks[b]] for p in self.new if (b := p.encode()) in self.ranks}
+        rest = [p for p in self.new if p not in known and len(p) <= LONG]
+        known.update(zip(rest, self.merge_many([p.encode() for p in rest])))
+        self.seen.update((p, ",".join(map(str, ids))) for p, ids in known.items())
+        self.new = set()
+
+    def _runs(self, text: str) -> Iterator[list[str]]:
+        if len(text) <= RUN * 4:
             if parts := self.split.findall(text):
-                yield ",".join(map(self.seen.__getitem__, parts))
+                yield parts
             return
+        found = self.split.finditer(text)
         while parts := [m.group() for m in islice(found, RUN)]:
+            yield parts
+
+    def encoded_runs(self, text: str) -> Iterator[str]:
+        """Decimal ids joined by commas, a run of pre-tokens at a time."""
+        for parts in self._runs(text):
             yield ",".join(map(self.seen.__getitem__, parts))
 
     def decode(self, ids: str) -> bytes:
@@ -147,7 +273,7 @@ class _Seen(dict):
 
     def __missing__(self, part: str) -> str:
         ids = ",".join(map(str, self.encoder.merge(part.encode())))
-        if len(part) <= 64:
+        if len(part) <= LONG:
             if len(self) >= SEEN:
                 self.clear()
             self[part] = ids
@@ -185,6 +311,11 @@ def encode(
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = encoder_for(shared.value, pattern)
         for batch in batches:
+            if len(encoder.seen) > SEEN // 2:
+                encoder.seen.clear()
+            for text_value in batch.column(1):
+                encoder.learn(text_value.as_py())
+            encoder.learned()
             counts, ids_digests, text_digests, all_ids = [], [], [], []
             for text_value in batch.column(1):
                 of_ids, of_text, n, kept = hashlib.sha256(), hashlib.sha256(), 0, []

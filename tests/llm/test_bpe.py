@@ -1,5 +1,6 @@
 import base64
 import hashlib
+import random
 
 import public_tokenizers as P
 import pytest
@@ -71,3 +72,28 @@ def test_empty_table(no_docs, spread, odd_docs):
     vocabulary = bpe.read_vocabulary(PATH)
     assert bpe.encode(no_docs, vocabulary, P.PATTERN).count() == 0
     assert bpe.encode(spread(odd_docs), vocabulary, P.PATTERN).columns == ["id", "n_tokens", "ids_sha256", "decoded_sha256"]
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_many_together_as_each_alone(ours, seed):
+    rng = random.Random(seed)
+    parts = [bytes(rng.choices(rng.choice([b"ab", b"the qu", bytes(range(256))]), k=rng.randrange(1, 30))) for _ in range(3000)]
+    parts += [b"a" * n for n in range(1, 60)] + [b" " * n for n in range(1, 40)]
+    assert ours.merge_many(parts) == [ours.merge(p) for p in parts]
+    assert ours.merge_many([]) == [] and not any(ours.words)
+
+
+def test_lower_rank_among_many():
+    rng = random.Random(4)
+    tokens = [bytes([b]) for b in range(256)]
+    while len(tokens) < 400:  # ranks in no order that training would give
+        t = bytes(rng.choices(b"abc", k=rng.randrange(2, 6)))
+        if t not in tokens:
+            tokens.append(t)
+    lines = b"\n".join(base64.b64encode(t) + b" %d" % i for i, t in enumerate(tokens))
+    ours = bpe.Encoder(lines, P.PATTERN)
+    theirs = tiktoken.Encoding("odd", pat_str=P.PATTERN, mergeable_ranks={t: i for i, t in enumerate(tokens)}, special_tokens={})
+    parts = [bytes(rng.choices(b"abc", k=rng.randrange(1, 25))) for _ in range(2000)]
+    assert ours.merge_many(parts) == [ours.merge(p) for p in parts]
+    whole = [p for p in parts if p not in ours.ranks]
+    assert [ours.merge(p) for p in whole] == [theirs.encode_ordinary(p.decode()) for p in whole]
