@@ -19,6 +19,8 @@ too. An empty table gives an empty one.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -64,6 +66,11 @@ HINT = rf"[0-9@]|(?:{_ANY_TITLE})\.? "
 LOWER = "abcdefghijklmnopqrstuvwxyz"
 
 
+def _let(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use`` of a value that is worked out once, however often it occurs there."""
+    return F.transform(F.array(value), use)[0]
+
+
 def _digits(text: Column) -> Column:
     return F.regexp_replace(text, "[^0-9]", "")
 
@@ -226,9 +233,9 @@ def replace_entities(
 
     def replaced(entity: Column, i: Column) -> Column:
         attempt = F.element_at(F.col(c), i)
-        kind = kind_of(entity)
-        h = _hash(kind, canonical(kind, entity), attempt, key)
-        return F.when(attempt.isNull(), entity).otherwise(surrogate(kind, entity, h, attempt))
+        new = _let(kind_of(entity), lambda kind: _let(
+            _hash(kind, canonical(kind, entity), attempt, key), lambda h: surrogate(kind, entity, h, attempt)))
+        return F.when(attempt.isNull(), entity).otherwise(new)
 
     between = F.split(t, PATTERN, -1)
     new = F.transform(F.regexp_extract_all(t, F.lit(PATTERN), F.lit(0)), replaced)
