@@ -298,7 +298,11 @@ def near_duplicates(docs: DataFrame, id_column: str = "doc_id", text: str = "tex
 
 def keep_one(docs: DataFrame, id_column: str = "doc_id", text: str = "text") -> DataFrame:
     """One row per group: the one with the smallest id; rows without an id all stay."""
-    found = near_duplicates(docs, id_column, text)
+    return keep_first(docs, near_duplicates(docs, id_column, text), id_column)
+
+
+def keep_first(docs: DataFrame, found: DataFrame, id_column: str = "doc_id") -> DataFrame:
+    """The rows of ``docs`` whose id is the component that ``found`` (id, component) gives it, each id once."""
     stays, turn = fresh(docs, "_stays", "_turn")
     kept = found.filter("id = component").select(F.col("id").alias(stays)).distinct()
     key = quoted(id_column)
