@@ -1,7 +1,8 @@
 """Line dedup by a template tree of fixed depth.
 
 Lines of at least ``LEAST_WORDS`` words are parsed: words with digits become
-variable fields, and a leaf is the number of words with the first ``DEPTH`` of
+variable fields, unless fewer than ``SIMILAR`` of the words would stay: such a
+line recurs only as it is. A leaf is the number of words with the first ``DEPTH`` of
 them. Equal bodies are one entry. Within a leaf a line joins the first template
 that has the same word at ``SIMILAR`` of the places, whose other places become
 variable. A template found in several documents stays in the one with the
@@ -41,14 +42,20 @@ DIGIT = re.compile(r"\d")
 
 
 def parsed(line: str) -> list[str] | None:
-    """The line's words with variable fields; None if the line is too short to judge."""
+    """The line's words with variable fields; None if the line is too short to judge.
+
+    A line with fewer constant words than a template needs is one word of its own, so only equal lines meet it.
+    """
     if len(line) < 2 * LEAST_WORDS - 1:
         return None
     words = line.split()
     if len(words) < LEAST_WORDS:
         return None
     if DIGIT.search(line):
-        words = [FIELD if DIGIT.search(w) else w for w in words]
+        masked = [FIELD if DIGIT.search(w) else w for w in words]
+        if len(words) - masked.count(FIELD) < SIMILAR * len(words) - 1e-9:
+            return [" ".join(words)]
+        words = masked
     return words
 
 
