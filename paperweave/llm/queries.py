@@ -8,7 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from paperweave.llm import (
-    bpe, licenses, line_templates, mixing, quality_classifier, quality_rules, simhash, surrogates, vector_file, warc,
+    bpe, chat_tokens, collocations, licenses, line_templates, mixing, quality_classifier, quality_rules, simhash,
+    surrogates, vector_codes, vector_file, warc,
 )
 from paperweave.workspace import new_path
 
@@ -106,3 +107,31 @@ def op8_vector_file(spark, folder):
     """The five nearest of every fiftieth vector."""
     found = vector_file.search(table(spark, folder, "embeddings"), F.col("id") % 50 == 0)
     return found.withColumnRenamed("id", "vec_id")
+
+
+@query
+def op11_collocations(spark, folder):
+    """Each language's best phrases of two to four words."""
+    return collocations.top_collocations(table(spark, folder, "documents").select("lang", "text"))
+
+
+@query
+def op12_vector_codes(spark, folder):
+    """Every vector's code, its error and the codebooks' digest."""
+    coded = vector_codes.compress(table(spark, folder, "embeddings"))
+    return coded.withColumnRenamed("id", "vec_id").select(
+        "vec_id", "code", "error", "label_error", "codebooks_sha256")
+
+
+@query
+def op13_chat_tokens(spark, folder):
+    """All conversations as tokens with a loss mask, read back and digested."""
+    import public_tokenizers
+
+    vocabulary = bpe.read_vocabulary(public_tokenizers.path("byte_bpe_multi_50k.tiktoken"))
+    said = "</s>[INST] ok [/INST]"
+    more = spark.createDataFrame([(-1, 0, "user", said), (-1, 1, "assistant", said)],
+                                 "conv_id bigint, turn bigint, role string, text string")
+    rows = table(spark, folder, "conversations").select("conv_id", "turn", "role", "text").unionByName(more)
+    formatted = chat_tokens.format_turns(rows, vocabulary, public_tokenizers.PATTERN)
+    return chat_tokens.conversation_digests(chat_tokens.read_turns(formatted, vocabulary, public_tokenizers.PATTERN))
