@@ -2,6 +2,7 @@ import random
 import re
 from collections import Counter
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -97,3 +98,8 @@ def test_sums_past_64_bits(spark):
         F.lit(9_000_000_000_000_000_000).alias("n"), F.array(F.lit(9_100_000_000_000_000_000)).alias("firsts"),
         F.array(F.lit(9_200_000_000_000_000_000)).alias("rests"))
     assert c.scored(row).first()["score"] == 2_000_000 * 9_000_000_000_000_000_000 // 18_300_000_000_000_000_000
+
+
+def test_counts_of_large_numbers():
+    a, b = np.array([1 << 40, 5, 1 << 40, 5]), np.array([1 << 41, 7, 1 << 41, 8])
+    assert [x.tolist() for x in c._counted(a, b)] == [[5, 5, 1 << 40], [7, 8, 1 << 41], [1, 1, 2]]
