@@ -36,6 +36,7 @@ from pyspark.sql import functions as F
 from paperweave.llm import bpe
 from paperweave.llm.common import need, quoted, running_before
 from paperweave.operators.order import dense_row_index
+from paperweave.workspace import stage
 
 # Marks that open and close a role's turn.
 ROLES = {"user": ("[INST]", "[/INST]"), "system": ("<<SYS>>", "<</SYS>>"), "assistant": ("<s>", "</s>")}
@@ -109,7 +110,7 @@ def format_turns(
         mark = {c: first + n for n, c in enumerate(how.controls)}
 
         def segment(value: str) -> list[np.ndarray]:
-            return [np.array(ids.split(","), np.int32) for ids in encoder.encoded_runs(value)]
+            return [np.fromstring(ids, np.int32, sep=",") for ids in encoder.encoded_runs(value)]
 
         for batch in batches:
             texts = [escape(t.as_py(), controls) for t in batch.column(3)]
@@ -139,6 +140,7 @@ def format_turns(
 
     types = [plain.schema[c].dataType.simpleString() for c in ("conv_id", "turn")]
     made = plain.mapInArrow(run, "conv_id {}, turn {}, ids array<int>, mask array<boolean>, n_tokens bigint".format(*types))
+    made = stage(made, "turns")  # ranging reads its input twice; texts are encoded once
     return dense_row_index(made.withColumn("_digest", F.xxhash64("ids")), ["conv_id", "turn", "_digest"], "place").drop("_digest")
 
 
