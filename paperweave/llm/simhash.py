@@ -297,19 +297,25 @@ def near_duplicates(docs: DataFrame, id_column: str = "doc_id", text: str = "tex
 
 
 def keep_one(docs: DataFrame, id_column: str = "doc_id", text: str = "text") -> DataFrame:
-    """One row per group: the one with the smallest id; rows without an id all stay."""
-    return keep_first(docs, near_duplicates(docs, id_column, text), id_column)
+    """One row per group: the one with the smallest id; rows without an id all stay.
 
+    Of several rows with that id the one with the smallest hash of its text stays.
+    """
+    return keep_first(docs, near_duplicates(docs, id_column, text), id_column, text)
 
-def keep_first(docs: DataFrame, found: DataFrame, id_column: str = "doc_id") -> DataFrame:
-    """The rows of ``docs`` whose id is the component that ``found`` (id, component) gives it, each id once."""
+
+def keep_first(docs: DataFrame, found: DataFrame, id_column: str = "doc_id", text: str = "text") -> DataFrame:
+    """The rows of ``docs`` whose id is the component that ``found`` (id, component) gives it, each id once.
+
+    A repeated id sends one row per task to the one that decides; rows without an id go past it.
+    """
     stays, turn = fresh(docs, "_stays", "_turn")
+    key, columns = quoted(id_column), [quoted(c) for c in docs.columns]
     kept = found.filter("id = component").select(F.col("id").alias(stays)).distinct()
-    key = quoted(id_column)
-    rows = docs.join(kept.hint("merge"), key == F.col(stays), "left").filter(F.col(stays).isNotNull() | key.isNull())
-    rank = F.row_number().over(Window.partitionBy(key).orderBy(key))
-    return rows.withColumn(turn, rank).filter((F.col(turn) == 1) | key.isNull()).select(
-        *[quoted(c) for c in docs.columns])
+    rank = F.row_number().over(Window.partitionBy(key).orderBy(F.xxhash64(quoted(text))))
+    first = docs.filter(key.isNotNull()).withColumn(turn, rank).filter(F.col(turn) == 1).select(*columns)
+    named = first.join(kept.hint("merge"), key == F.col(stays), "left_semi")
+    return named.unionByName(docs.filter(key.isNull()))
 
 
 def hex_digits(fp: str = "fp"):

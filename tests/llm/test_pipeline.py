@@ -59,6 +59,18 @@ def test_near_copies(steps):
     assert sorted(texts(after)) == sorted(set(component.values()))
 
 
+def test_rows_without_or_with_repeated_ids(spark):
+    """All rows without an id stay, a repeated id once, and neither goes through one group whole."""
+    texts = [f"a text of number {i} with words {i * 7} of its own {i * 31}" for i in range(60)]
+    rows = [(None, t, "s") for t in texts[:30]] + [(5, t, "s") for t in texts[30:]] + [(9, texts[0], "s")]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, source string")
+    kept = [r.doc_id for r in pipeline.keep_one_of_near_copies(spark, docs, "").collect()]
+    component = {r.id: r.component for r in simhash.near_duplicates(docs).collect() if r.id is not None}
+    assert kept.count(None) == 30 and sorted(i for i in kept if i is not None) == sorted({i for i, c in component.items() if i == c})
+    plan = simhash.keep_one(docs)._jdf.queryExecution().executedPlan().toString()
+    assert "WindowGroupLimit" in plan
+
+
 def test_mixing_keeps_all(steps):
     before, after = steps[3]
     assert texts(before) == texts(after)
