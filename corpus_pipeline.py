@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 sys.path.insert(0, str(Path(__file__).resolve().parent))
 
-from paperweave.llm import bpe, line_templates, mixing, near_copies, quality_rules  # noqa: E402
+from paperweave.llm import bpe, line_templates, mixing, quality_rules, simhash  # noqa: E402
 from paperweave.workspace import stage  # noqa: E402
 
 VOCABULARY = "byte_bpe_multi_50k.tiktoken"
@@ -34,8 +34,8 @@ def drop_recurring_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
 
 def keep_one_of_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group that shares four fifths of its five-word shingles."""
-    return near_copies.keep_one(docs)
+    """One document of each group whose SimHash fingerprints (three-word shingles) link at three bits or fewer."""
+    return simhash.keep_one(docs)
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
