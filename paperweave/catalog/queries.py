@@ -471,7 +471,7 @@ def stored_collection(spark, folder):
 
 @query
 def collection_upsert(spark, folder):
-    """A collection after a second load that changes every second vector and adds new ids."""
+    """A collection after a second load that changes every second vector, sends it twice, and adds new ids."""
     path = new_path(spark, "collection")
     collections.create_collection(spark, path, 64, bucket_ids=CHUNK)
     points = table(spark, folder, "embeddings").select(
@@ -481,7 +481,9 @@ def collection_upsert(spark, folder):
     changed = points.filter("point_id % 2 = 0").withColumn(
         "payload", F.struct((F.col("payload.label") + 100).alias("label")))
     added = changed.withColumn("point_id", F.col("point_id") + 1_000_000)
-    collections.load_points(changed.unionByName(added), path)
+    earlier = changed.withColumn("payload", F.struct((F.col("payload.label") - 50).alias("label")))
+    sent = changed.unionByName(added).withColumn("at", F.lit(2)).unionByName(earlier.withColumn("at", F.lit(1)))
+    collections.load_points(sent, path, ["at"])
     return collections.read_points(spark, path).select("point_id", "payload.label", F.col("code")[0].alias("word"))
 
 

@@ -29,10 +29,13 @@ def dense_row_index(
     most the number of shuffle tasks of the session, which bounds the broadcast.
     """
     size = (partitions,) if partitions else ()
-    table = stage(df.repartitionByRange(*size, *keys).sortWithinPartitions(*keys), "ordered")
+    # One file per task, whatever the session says of rows per file; two would share their numbers.
+    table = stage(df.repartitionByRange(*size, *keys).sortWithinPartitions(*keys), "ordered", maxRecordsPerFile=0)
     task = F.regexp_extract(F.col("_metadata.file_name"), r"^part-(\d+)", 1).cast("bigint")
     placed = table.select("*", task.alias("__task"), F.col("_metadata.row_index").alias("__at"))
-    lengths = placed.groupBy("__task").agg(F.count(F.lit(1)).alias("n"))
+    lengths = table.select(task.alias("__task"), F.col("_metadata.file_name").alias("__file")).groupBy("__task").agg(
+        F.count(F.lit(1)).alias("n"), (F.min("__file") == F.max("__file")).alias("__one")).withColumn(
+        "n", F.when(F.col("__one"), F.col("n")).otherwise(F.raise_error(F.lit("a task wrote several files"))))
     before = F.sum("n").over(Window.orderBy("__task").rowsBetween(Window.unboundedPreceding, -1))
     # Fixed once: the offsets are read again with every use of the numbers.
     offsets = stage(lengths.select("__task", (F.coalesce(before, F.lit(0)) + F.lit(start)).alias("__offset")), "offsets")

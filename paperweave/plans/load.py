@@ -19,12 +19,11 @@ def run(vectors: DataFrame, papers: DataFrame, path: str, recreate: bool = False
     """Check, join and load; gives the number of points."""
     spark = vectors.sparkSession
     spec = collections.require_collection(spark, path)
-    if recreate:
-        collections.empty_collection(spark, path)
     total = require_alignment(vectors, papers)
     checked = of_dimension(F.col("embedding"), spec["dim"], F.col("vec_idx"))
     points = collection_points(vectors.withColumn("embedding", checked), papers)
-    collections.load_points(points, path)
+    # With ``recreate`` the old points stay current until the new ones are written.
+    (collections.replace_points if recreate else collections.load_points)(points, path)
     return total
 
 

@@ -41,10 +41,13 @@ def once_per_key(events: DataFrame, keys: Sequence[str], moment: str, seen_for:
             .withWatermark(moment, seen_for).dropDuplicatesWithinWatermark(list(keys)))
 
 
-def write_points(points: DataFrame, path: str, checkpoint: str) -> DataStreamWriter:
-    """Writer that upserts every micro-batch of points, so later ones win and repeats change nothing."""
+def write_points(points: DataFrame, path: str, checkpoint: str, order: Sequence[str] = ()) -> DataStreamWriter:
+    """Writer that upserts every micro-batch of points, so later ones win and repeats change nothing.
+
+    Inside a micro-batch the last in ``order`` wins (columns that are not stored).
+    """
 
     def load(batch: DataFrame, epoch: int) -> None:
-        load_points(batch, path)
+        load_points(batch, path, order)
 
     return points.writeStream.foreachBatch(load).option("checkpointLocation", checkpoint)

@@ -29,10 +29,10 @@ def new_path(spark: SparkSession, label: str) -> str:
     return f"{shared_folder(spark)}/paperweave/{label}-{uuid.uuid4().hex}"
 
 
-def stage(df: DataFrame, label: str) -> DataFrame:
+def stage(df: DataFrame, label: str, **options) -> DataFrame:
     """Write ``df`` once to a fresh shared path and return a reader over it."""
     path = new_path(df.sparkSession, label)
-    df.write.option("compression", "zstd").parquet(path)
+    df.write.options(compression="zstd", **options).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 

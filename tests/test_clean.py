@@ -4,6 +4,7 @@ import datetime as dt
 import json
 
 import pytest
+from pyspark.sql import functions as F
 
 from paperweave.operators.order import chunk_ranges, dense_row_index, row_slice
 from paperweave.plans import clean
@@ -109,3 +110,12 @@ def test_chunks_and_slices(spark):
     chunks = chunk_ranges(numbered, "n", 10).orderBy("chunk").collect()
     assert [tuple(r) for r in chunks] == [(0, 0, 10, 10), (1, 10, 20, 10), (2, 20, 25, 5)]
     assert [r["n"] for r in row_slice(numbered, "n", 20, 10).collect()] == [20, 21, 22, 23, 24]
+
+
+def test_numbers_when_the_session_limits_files(spark):
+    spark.conf.set("spark.sql.files.maxRecordsPerFile", "10")
+    try:
+        got = dense_row_index(spark.range(100).select((F.lit(100) - F.col("id")).alias("k")), ["k"], partitions=3).collect()
+    finally:
+        spark.conf.unset("spark.sql.files.maxRecordsPerFile")
+    assert sorted((r["k"], r["row_idx"]) for r in got) == [(k + 1, k) for k in range(100)]

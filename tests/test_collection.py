@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from paperweave.functions import vectors as v
 from paperweave.operators import collection, search
+from paperweave.plans import load
 from paperweave.sources import collections as store
 
 
@@ -129,11 +130,12 @@ def test_collection_life(spark, tmp_path):
     assert store.read_points(spark, path).count() == 6
     # A load that broke off before its commit.
     ready = point_rows(spark, [9], "lost").withColumn("bucket", F.lit(0))
-    ready.write.partitionBy("bucket").parquet(f"{path}/points/generation=1/load=5")
+    ready.write.partitionBy("bucket").parquet(f"{path}/points/generation=1/load=00000005-x")
     assert store.read_points(spark, path).count() == 6
     store.load_points(point_rows(spark, [7], "d"), path)
     assert store.read_points(spark, path).count() == 7
-    assert store.drop_old_loads(spark, path) == [1, 2, 3, 4]
+    assert [name[:8] for name in store.drop_old_loads(spark, path)] == [f"{n:08d}" for n in (1, 2, 3, 4)]
+    assert store.drop_old_loads(spark, path) == []
     assert store.read_points(spark, path).count() == 7
     store.empty_collection(spark, path)
     assert store.read_points(spark, path) is None
@@ -145,12 +147,81 @@ def test_loads_touch_only_their_buckets(spark, tmp_path):
     store.create_collection(spark, path, 2, bucket_ids=10)
     store.load_points(point_rows(spark, range(100), "a"), path)
     store.load_points(point_rows(spark, [33, 34, 33], "b"), path)
-    written = spark.read.parquet(f"{path}/points/generation=1/load=2")
+    written = spark.read.parquet(f"{path}/points/generation=1/load=00000002-*")
     assert sorted(r["point_id"] for r in written.collect()) == list(range(30, 40))
     rows = store.read_points(spark, path).collect()
     assert len(rows) == 100 and sorted(r["point_id"] for r in rows if r["payload"]["name"] == "b") == [33, 34]
 
 
+def labels(spark, path):
+    return {r["point_id"]: r["payload"]["name"] for r in store.read_points(spark, path).collect()}
+
+
+def test_last_point_of_a_load_wins(spark, tmp_path):
+    path = str(tmp_path / "c")
+    store.create_collection(spark, path, 2, bucket_ids=10)
+    sent = point_rows(spark, [1, 2], "a").unionByName(point_rows(spark, [2, 15], "b")).unionByName(point_rows(spark, [2], "c"))
+    store.load_points(sent.coalesce(1), path)
+    assert labels(spark, path) == {1: "a", 2: "c", 15: "b"}
+    rows = [(2, [0.0, 1.0], (f"v{n}",), n) for n in (3, 9, 4)] + [(1, [0.0, 1.0], ("z",), 0)]
+    moved = spark.createDataFrame(rows, "point_id bigint, vector array<float>, payload struct<name:string>, at int")
+    store.load_points(moved.repartition(4), path, ["at"])
+    assert labels(spark, path) == {1: "z", 2: "v9", 15: "b"}
+    assert "at" not in store.read_points(spark, path).columns
+
+
+def test_loads_of_two_writers(spark, tmp_path, monkeypatch):
+    """A load that commits while another one is under way: into the same bucket and into others."""
+    path, inside = str(tmp_path / "c"), []
+    store.create_collection(spark, path, 2, bucket_ids=10)
+    store.load_points(point_rows(spark, range(30), "old"), path)
+    plain = store.commits.try_append
+
+    def later(spark_, folder, number, entry):
+        if "load" in entry and not inside:
+            inside.append(1)  # the other writer comes first
+            store.load_points(point_rows(spark, [3, 4, 25, 40], "other"), path)
+        return plain(spark_, folder, number, entry)
+
+    monkeypatch.setattr(store.commits, "try_append", later)
+    store.load_points(point_rows(spark, [4, 5], "mine"), path)
+    want = {i: "old" for i in range(30)} | {3: "other", 25: "other", 40: "other", 4: "mine", 5: "mine"}
+    assert labels(spark, path) == want
+    again = [p for p in (tmp_path / "c/points/generation=1").iterdir()]
+    inside.clear()
+    store.load_points(point_rows(spark, [12], "mine"), path)  # no bucket in common with [3, 4, 25, 40]
+    want |= {3: "other", 4: "other", 25: "other", 12: "mine"}
+    assert labels(spark, path) == want
+    # The untouched load was written once; the one in conflict twice.
+    assert len(list((tmp_path / "c/points/generation=1").iterdir())) == len(again) + 2 and len(again) == 4
+
+
+def test_an_endless_conflict_is_an_error(spark, tmp_path, monkeypatch):
+    path = str(tmp_path / "c")
+    store.create_collection(spark, path, 2)
+    monkeypatch.setattr(store.commits, "try_append", lambda *a: False)
+    with pytest.raises(store.commits.Conflict):
+        store.load_points(point_rows(spark, [1], "a"), path)
+
+
+def test_failed_recreate_leaves_the_points(spark, tmp_path):
+    path = str(tmp_path / "c")
+    store.create_collection(spark, path, 2)
+    papers = spark.createDataFrame([(0, "x"), (1, "y")], "row_idx bigint, title string")
+    vectors = spark.createDataFrame([(0, [1.0, 2.0]), (1, [2.0, 0.0])], "vec_idx bigint, embedding array<float>")
+    assert load.run(vectors, papers, path) == 2
+    with pytest.raises(Exception):
+        load.run(vectors.limit(1), papers, path, recreate=True)
+    wide = spark.createDataFrame([(0, [1.0]), (1, [2.0])], "vec_idx bigint, embedding array<float>")
+    with pytest.raises(Exception):
+        load.run(wide, papers, path, recreate=True)
+    assert store.read_points(spark, path).count() == 2
+    one = papers.filter("row_idx = 0")
+    assert load.run(vectors.filter("vec_idx = 0"), one, path, recreate=True) == 1
+    assert [r["point_id"] for r in store.read_points(spark, path).collect()] == [0]
+    assert store.require_collection(spark, path)["generation"] == 2
+
+
 def test_upload_in_batches(spark, tmp_path):
     folder = str(tmp_path)
 
