@@ -215,6 +215,15 @@ ORACLE: dict[str, str] = {
         select 1::bigint as job_id, k as batch_id, bin - 1 as file_no, count(*) as n_lines, sum(w)::bigint as n_bytes
         from files group by k, bin""",
 
+    "landed_files": _ROLLED + """
+        , named as (
+            select printf('qwen3-embedding-8b-0001-batch-%04d', k)
+                       || case when bin > 1 then '_' || (bin - 1)::varchar else '' end as stem,
+                   count(*) as n_lines, sum(w)::bigint as file_bytes, count(*) filter (i % 2 = 0) as n_results
+            from files group by k, bin)
+        select stem || '.jsonl' as file_name, file_bytes, file_bytes as stored_bytes, n_lines,
+               stem || '_result.jsonl' as result_name, n_results from named""",
+
     "file_names": """
         with named as (
             select o_orderkey, o_custkey,

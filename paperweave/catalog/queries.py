@@ -15,7 +15,7 @@ from paperweave.functions import naming, text, vectors
 from paperweave.functions.tokens import token_count as count_tokens, tokenizer_count
 from paperweave.operators import collection, dedup, order, realign, requests, search, state
 from paperweave.plans import clean as clean_job, load as load_job, monitor, prepare as prepare_job
-from paperweave.sources import collections, papers as paper_source, state_tables, vectors as vector_store
+from paperweave.sources import collections, landing, papers as paper_source, state_tables, vectors as vector_store
 from paperweave.sources.lines import read_result_lines
 from paperweave.streaming import ingest, status as status_stream
 from paperweave.workspace import new_path, stage
@@ -258,11 +258,42 @@ def request_files(spark, folder):
     limits = prepare_job.Limits(TOKEN_CAP, BATCH_REQUESTS, FILE_BYTES)
     path = new_path(spark, "job")
     prepare_job.run(_texts(spark, folder), "text", MODEL, 1, path, limits)
-    lines = spark.read.text(f"{path}/files")
-    return lines.groupBy(*[F.col(c).cast("bigint").alias(c) for c in requests.FILE_KEYS]).agg(
+    lines = landing.read_landed(spark, f"{path}/files")
+    part = {c: F.regexp_extract("file_name", r"-(\d+)-batch-(\d+)(?:_(\d+))?", n) for n, c in enumerate(requests.FILE_KEYS, 1)}
+    return lines.groupBy(*[F.coalesce(F.nullif(x, F.lit("")), F.lit("0")).cast("bigint").alias(c) for c, x in part.items()]).agg(
         F.count(F.lit(1)).alias("n_lines"), F.sum(F.octet_length("value") + 1).alias("n_bytes"))
 
 
+@query
+def landed_files(spark, folder):
+    """The prepare job's files under their names, and the result files found from the stored batches."""
+    limits = prepare_job.Limits(TOKEN_CAP, BATCH_REQUESTS, FILE_BYTES)
+    path, root = new_path(spark, "job"), new_path(spark, "state")
+    state_tables.recreate_state(spark, root)
+    job, made = prepare_job.run_new_job(_texts(spark, folder), "text", MODEL, root, path, limits)
+    fixed = {"status": "completed", "completion_window": "24h", "endpoint": requests.ENDPOINT, "object": "batch"}
+    created = made.files.select("job_id", F.col("path").alias("local_file_id"), F.to_json(F.struct(
+        F.concat(F.lit("oa-"), "file_name").alias("id"), F.concat(F.lit("in-"), "file_name").alias("input_file_id"),
+        F.lit(1704067200).alias("created_at"), *[F.lit(v).alias(k) for k, v in fixed.items()])).alias("raw"))
+    monitor.register_batches(created, root)
+    batches = state_tables.read_state(spark, root, "batches")
+    # The service answers every second request of a file.
+    sent = landing.read_landed(spark, f"{path}/{job:04}/files")
+    number = F.regexp_extract("value", r"request-(\d+)", 1).cast("bigint")
+    answers = sent.filter(number % 2 == 0).select(
+        F.regexp_replace("file_name", r"\.jsonl$", "_result.jsonl").alias("file_name"), number.alias("n"), F.col("value").alias("line"))
+    landing.land_lines(answers.repartition("file_name"), f"{path}/results", "n")
+    results = landing.result_lines(spark, batches, f"{path}/results").groupBy(
+        F.substring_index("source_file", "/", -1).alias("result_name")).agg(F.count(F.lit(1)).alias("n_results"))
+    named = batches.select(
+        F.substring_index("local_file_id", "/", -1).alias("file_name"),
+        F.substring_index(naming.result_file_name(F.col("local_file_id")), "/", -1).alias("result_name"))
+    landed = landing.landed_files(spark, f"{path}/{job:04}/files").join(
+        landing.stored_sizes(spark, f"{path}/{job:04}/files"), "file_name")
+    return named.join(landed, "file_name").join(results, "result_name", "left").select(
+        "file_name", "file_bytes", "stored_bytes", "n_lines", "result_name", F.coalesce("n_results", F.lit(0)).alias("n_results"))
+
+
 @query
 def file_names(spark, folder):
     model = F.concat(F.lit("Org/Model-"), F.substring("o_orderpriority", 1, 1))

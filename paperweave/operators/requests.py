@@ -2,7 +2,7 @@
 
 Texts are read twice and written once: first only their sizes are taken, and
 requests, batches and files are settled on those narrow rows; then every text
-goes straight to the file it belongs to.
+goes straight to the file it belongs to, through one shuffle.
 """
 
 from __future__ import annotations
@@ -16,9 +16,11 @@ from paperweave.functions import naming
 from paperweave.functions.tokens import token_count
 from paperweave.operators.order import chunk_id
 from paperweave.operators.packing import pack_next_fit
+from paperweave.workspace import stage
 
 ENDPOINT = "/v1/embeddings"
 FILE_KEYS = ["job_id", "batch_id", "file_no"]
+MAX_CUTS = 1_000_000  # file intervals that are broadcast: 60 MB at most
 
 
 # --- the line format ------------------------------------------------------------
@@ -29,6 +31,11 @@ def json_string(text: Column) -> Column:
     return F.substring(listed, F.lit(2), F.length(listed) - 2)
 
 
+def json_bytes(text: Column) -> Column:
+    """Bytes of ``json_string(text)``, with the text rendered once."""
+    return F.octet_length(F.to_json(F.array(text))) - 2
+
+
 def _line(custom_id: Column, model: str, inputs: Column) -> Column:
     # Separators are ', ' and ': '. Line sizes decide where files roll, so the
     # spacing is part of the format.
@@ -50,7 +57,7 @@ def weigh_texts(texts: DataFrame, count: Callable[[Column], Column] = token_coun
     """``row_idx, token_count, text_bytes`` of every text; null texts are left out."""
     return texts.filter(F.col("text").isNotNull()).select(
         "row_idx", count(F.col("text")).alias("token_count"),
-        F.octet_length(json_string(F.col("text"))).cast("bigint").alias("text_bytes"))
+        json_bytes(F.col("text")).cast("bigint").alias("text_bytes"))
 
 
 def request_rows(
@@ -115,25 +122,62 @@ def file_totals(rolled: DataFrame, model: str) -> DataFrame:
     )
 
 
+def _intervals(manifest: DataFrame, rolled: DataFrame) -> DataFrame:
+    """Requests as intervals of ``row_idx`` with their file; they don't overlap."""
+    requests = manifest.groupBy("job_id", "batch_id", "request_id", "custom_id").agg(
+        F.min("row_idx").alias("first_row"), F.max("row_idx").alias("last_row"))
+    return requests.join(rolled.select(*FILE_KEYS, "request_id"), ["job_id", "batch_id", "request_id"])
+
+
+def file_of_rows(rows: DataFrame, intervals: DataFrame) -> DataFrame:
+    """Range join: adds the file whose requests cover a row's ``row_idx``; other rows go.
+
+    Files are intervals of row numbers. They are cut at the borders of buckets as
+    wide as a file is on average, so a row meets the few intervals of its bucket,
+    at most two cuts per file in all. Up to ``MAX_CUTS`` cuts are broadcast, with
+    which the rows stay where they are; beyond it they are shuffled by bucket.
+    """
+    files = stage(intervals.groupBy(*FILE_KEYS).agg(
+        F.min("first_row").alias("_first"), F.max("last_row").alias("_last")), "file-intervals")
+    totals = files.agg(F.count(F.lit(1)), F.min("_first"), F.max("_last")).first()
+    width = max(1, -(-((totals[2] or 0) - (totals[1] or 0) + 1) // max(1, totals[0])))
+
+    def bucket(row: str) -> Column:
+        return F.call_function("div", F.col(row), F.lit(width))
+
+    cuts = files.withColumn("_bucket", F.explode(F.sequence(bucket("_first"), bucket("_last"))))
+    cuts = F.broadcast(cuts) if 2 * totals[0] <= MAX_CUTS else cuts.hint("merge")
+    inside = (F.col("_row_bucket") == F.col("_bucket")) & F.col("row_idx").between(F.col("_first"), F.col("_last"))
+    return rows.withColumn("_row_bucket", bucket("row_idx")).join(cuts, inside).drop(
+        "_bucket", "_row_bucket", "_first", "_last")
+
+
 def request_lines(texts: DataFrame, manifest: DataFrame, rolled: DataFrame, model: str) -> DataFrame:
     """``job_id, batch_id, file_no, request_id, custom_id, line``: one JSON line per request.
 
-    The rows are shuffled by file, which also brings a request's texts together,
-    so building the lines and writing the files share one shuffle. A request is
-    bounded by the token budget and a file by the byte budget.
+    A text finds its file by a range join and is shuffled once, to its file. There
+    the texts and one mark per request are put in the order of row numbers, and a
+    text belongs to the last mark before it. A request is bounded by the token
+    budget and a file by the byte budget.
     """
-    place = manifest.select("job_id", "batch_id", "request_id", "custom_id", "pos", "row_idx").join(
-        rolled.select(*FILE_KEYS, "request_id"), ["job_id", "batch_id", "request_id"])
+    intervals = stage(_intervals(manifest, rolled), "request-intervals")
+    # Texts that no request covers lie outside all intervals or carry no text.
     literals = texts.filter(F.col("text").isNotNull()).select(
         "row_idx", json_string(F.col("text")).alias("literal"))
-    in_order = F.array_sort(F.collect_list(F.struct("pos", "literal")))
+    placed = file_of_rows(literals, intervals).withColumns(
+        {"request_id": F.lit(None).cast("bigint"), "custom_id": F.lit(None).cast("string"), "last_row": F.lit(None).cast("bigint")})
+    marks = intervals.select(
+        F.col("first_row").alias("row_idx"), F.lit(None).cast("string").alias("literal"), *FILE_KEYS,
+        "request_id", "custom_id", "last_row")
+    both = placed.unionByName(marks).repartition(*FILE_KEYS)
+    before = Window.partitionBy(*FILE_KEYS).orderBy("row_idx", F.col("literal").isNotNull()).rowsBetween(
+        Window.unboundedPreceding, 0)
+    told = both.withColumns({c: F.last(c, True).over(before) for c in ("request_id", "custom_id", "last_row")}).filter(
+        F.col("literal").isNotNull() & (F.col("row_idx") <= F.col("last_row")))
+    in_order = F.array_sort(F.collect_list(F.struct("row_idx", "literal")))
     inputs = F.array_join(F.transform(in_order, lambda x: x["literal"]), ", ")
-    # Compressed texts look small to the planner; the hint keeps it from
-    # gathering them on the driver for a broadcast.
     return (
-        literals.hint("merge").join(place, "row_idx")
-        .repartition(*FILE_KEYS)
-        .groupBy(*FILE_KEYS, "request_id", "custom_id").agg(inputs.alias("inputs"))
+        told.groupBy(*FILE_KEYS, "request_id", "custom_id").agg(inputs.alias("inputs"))
         .select(*FILE_KEYS, "request_id", "custom_id",
                 _line(F.col("custom_id"), model, F.col("inputs")).alias("line"))
     )

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from paperweave import schemas
 from paperweave.operators import realign
 from paperweave.plans import monitor
-from paperweave.sources import state_tables
+from paperweave.sources import landing, state_tables
 from paperweave.sources.lines import read_result_lines
 from paperweave.sources.vectors import write_vectors
 from paperweave.workspace import stage
@@ -25,10 +25,12 @@ class Collected:
 
 
 def run(
-    spark: SparkSession, result_paths: str | Sequence[str], manifest: DataFrame, vector_root: str,
+    spark: SparkSession, result_paths: str | Sequence[str] | DataFrame, manifest: DataFrame, vector_root: str,
     job_id: int, dim: int, data_path: str = "response.data",
 ) -> Collected:
-    parsed = realign.parse_lines(read_result_lines(spark, result_paths), data_path)
+    """Parse, align and store; results are paths or lines (``value, source_file``)."""
+    lines = result_paths if isinstance(result_paths, DataFrame) else read_result_lines(spark, result_paths)
+    parsed = realign.parse_lines(lines, data_path)
     # Parsed vectors take a third of their JSON; parsing once pays for the write.
     parsed = stage(parsed.withColumn("value", F.when(~F.col("is_good"), F.col("value"))), "results")
     good = realign.good_lines(parsed)
@@ -42,11 +44,19 @@ def run_completed(
 ) -> Collected | None:
     """Collect only when the job is completed; the model comes from the job.
 
-    ``snapshots`` of the service, in ``order``, refresh the stored state first.
+    Of the files below ``result_paths``, when it is one folder, those that belong to
+    the job's stored batches are read. ``snapshots`` of the service, in ``order``,
+    refresh the stored state first.
     """
     if snapshots is not None:
         monitor.refresh_stored(spark, state_root, snapshots, list(order))
     job = state_tables.get_job(spark, state_root, job_id)
     if job["status"] != "completed":
         return None
+    if isinstance(result_paths, str):
+        batches = state_tables.read_state(spark, state_root, "batches").filter(F.col("job_id") == job_id)
+        missing = landing.missing_results(spark, batches, result_paths).take(5)
+        if missing:
+            raise FileNotFoundError("no result files " + ", ".join(r["result_name"] for r in missing))
+        result_paths = landing.result_lines(spark, batches, result_paths)
     return run(spark, result_paths, manifest, vector_root, job_id, schemas.model_dimension(job["model"]))

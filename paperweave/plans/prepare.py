@@ -9,10 +9,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from paperweave import schemas
-from paperweave.functions import text as rules
+from paperweave.functions import naming, text as rules
 from paperweave.functions.tokens import token_count
 from paperweave.operators import requests
-from paperweave.sources.lines import write_request_files
+from paperweave.sources import landing
 from paperweave.sources.state_tables import create_job
 from paperweave.workspace import stage
 
@@ -29,7 +29,7 @@ class Prepared:
     manifest: DataFrame  # one row per text
     requests: DataFrame  # one row per request
     batches: DataFrame   # one row per batch
-    files: DataFrame     # one row per file
+    files: DataFrame     # one row per file, with the path under which it landed
     rejects: DataFrame   # rows without text
 
 
@@ -43,7 +43,7 @@ def run(
     papers: DataFrame, columns: str | Sequence[str], model: str, job_id: int, path: str,
     limits: Limits = Limits(), count: Callable[[Column], Column] = token_count,
 ) -> Prepared:
-    """Pack texts, write request files below ``path/files`` and the manifest beside them."""
+    """Pack texts, land request files below ``path/files`` and write the manifest beside them."""
     schemas.model_dimension(model)
     texts = texts_of(papers, columns)
     requests.request_rows(
@@ -52,10 +52,13 @@ def run(
     manifest = papers.sparkSession.read.parquet(f"{path}/manifest")
     per_request = requests.request_totals(manifest, model)
     rolled = stage(requests.roll_files(per_request, limits.max_batch_file_bytes), "files")
-    write_request_files(requests.request_lines(texts, manifest, rolled, model), f"{path}/files")
+    name = naming.batch_file_name(F.lit(model), F.col("job_id"), F.col("batch_id"), F.col("file_no"))
+    lines = requests.request_lines(texts, manifest, rolled, model).withColumn("file_name", name)
+    landing.land_lines(lines, f"{path}/files", "request_id")
+    landed = landing.landed_files(papers.sparkSession, f"{path}/files").select("file_name", "path")
     return Prepared(
         manifest, per_request, requests.batch_totals(per_request),
-        requests.file_totals(rolled, model), texts.filter(F.col("text").isNull()).select("row_idx"))
+        requests.file_totals(rolled, model).join(landed, "file_name", "left"), texts.filter(F.col("text").isNull()).select("row_idx"))
 
 
 def run_new_job(

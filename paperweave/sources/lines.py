@@ -1,4 +1,4 @@
-"""Request files out, result files in; both JSON lines."""
+"""Result files: JSON lines."""
 
 from __future__ import annotations
 
@@ -7,21 +7,6 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from paperweave.operators.requests import FILE_KEYS
-
-
-def write_request_files(lines: DataFrame, path: str, mode: str = "overwrite") -> str:
-    """One text file per (job, batch, file) folder, lines in request order.
-
-    ``lines`` comes from ``request_lines``, already shuffled by file.
-    """
-    (
-        lines.sortWithinPartitions(*FILE_KEYS, "request_id")
-        .select(*FILE_KEYS, F.col("line").alias("value"))
-        .write.mode(mode).partitionBy(*FILE_KEYS).text(path)
-    )
-    return path
-
 
 def read_result_lines(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
     """``value, source_file`` of every line below the paths."""

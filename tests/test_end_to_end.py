@@ -2,12 +2,13 @@
 
 import json
 
+import pytest
 from pyspark.sql import functions as F
 
 from paperweave import schemas
 from paperweave.operators import search
 from paperweave.plans import clean, collect, load, monitor, prepare
-from paperweave.sources import collections, state_tables
+from paperweave.sources import collections, landing, state_tables
 from paperweave.sources.papers import read_papers
 
 MODEL = "tiny/Model-4"
@@ -47,12 +48,19 @@ def test_papers_to_search(spark, tmp_path, monkeypatch):
     monitor.refresh_stored(spark, state_root, snapshot("completed"), ["at"])
 
     # The service answers each request line with one vector per text.
-    lines = [json.loads(r["value"]) for r in spark.read.text(f"{base}/jobs/0001/files").collect()]
     (tmp_path / "answers").mkdir()
-    (tmp_path / "answers" / "x_result.jsonl").write_text("".join(json.dumps({
-        "custom_id": line["custom_id"],
-        "response": {"data": [{"embedding": [float(text.split()[1]) + 1, 1.0, 0.0, 0.0]}
-                              for text in line["body"]["input"]]}}) + "\n" for line in lines))
+    (tmp_path / "answers" / "other_result.jsonl").write_text("of another job\n")
+    with pytest.raises(FileNotFoundError, match="_result.jsonl"):
+        collect.run_completed(spark, state_root, job_id, f"{base}/answers", made.manifest, f"{base}/vectors")
+    sent = {}
+    for r in landing.read_landed(spark, f"{base}/jobs/0001/files").collect():
+        sent.setdefault(r["file_name"], []).append(json.loads(r["value"]))
+    assert sorted(sent) == names
+    for name, lines in sent.items():
+        (tmp_path / "answers" / name.replace(".jsonl", "_result.jsonl")).write_text("".join(json.dumps({
+            "custom_id": line["custom_id"],
+            "response": {"data": [{"embedding": [float(text.split()[1]) + 1, 1.0, 0.0, 0.0]}
+                                  for text in line["body"]["input"]]}}) + "\n" for line in lines))
     got = collect.run_completed(spark, state_root, job_id, f"{base}/answers", made.manifest, f"{base}/vectors")
     assert got.rejects.count() == 0 and got.unmatched.count() == 0
 

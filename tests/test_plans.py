@@ -77,16 +77,18 @@ def test_roll_up_combines_before_the_shuffle(spark):
     assert "partial_" in text and "HashAggregate" in text
 
 
-def test_lines_and_files_share_a_shuffle(spark):
+def test_texts_are_shuffled_once(spark):
+    """Of all exchanges of the request lines, one carries the texts; the range join moves none."""
     texts = spark.range(100).select(F.col("id").alias("row_idx"), F.col("id").cast("string").alias("text"))
     manifest = spark.range(100).select(
-        (F.col("id") % 3).alias("job_id"), (F.col("id") % 5).alias("batch_id"), F.col("id").alias("request_id"),
+        F.lit(1).alias("job_id"), (F.col("id") / 20).cast("bigint").alias("batch_id"), F.col("id").alias("request_id"),
         F.col("id").cast("string").alias("custom_id"), F.lit(0).alias("pos"), F.col("id").alias("row_idx"))
-    rolled = spark.range(100).select((F.col("id") % 3).alias("job_id"), (F.col("id") % 5).alias("batch_id"),
-                                     F.col("id").alias("request_id"), (F.col("id") % 2).alias("file_no"))
-    text = plan(requests.request_lines(texts, manifest, rolled, "m"))
-    top = text[:text.index("Join")]
-    assert exchanges(top) == 1 and top.count("ObjectHashAggregate") == 2
+    rolled = manifest.select("job_id", "batch_id", "request_id", F.lit(0).alias("file_no"))
+    text = requests.request_lines(texts, manifest, rolled, "m")._jdf.queryExecution().explainString(
+        spark._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("formatted"))
+    nodes = re.findall(r"\(\d+\) (\w+)\n(?:Output|Input) \[\d+\]: \[([^\n]*)\]", text)
+    assert [n for n, columns in nodes if n == "Exchange" and "literal#" in columns] == ["Exchange"]
+    assert any(n == "BroadcastExchange" for n, _ in nodes)
 
 
 def test_slices_reach_the_scan(spark):

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from paperweave import schemas
 from paperweave.operators import realign, requests
 from paperweave.plans import collect, load, prepare
-from paperweave.sources import collections, state_tables, vectors
+from paperweave.sources import landing, collections, state_tables, vectors
 
 MODEL = "Qwen/Qwen3-Embedding-8B"
 
@@ -52,13 +52,13 @@ def test_lines_match_python_json(spark, prepared):
             "custom_id": f"batch-0007-{batch:05}-request-{request:06}", "method": "POST",
             "url": "/v1/embeddings", "body": {"model": MODEL, "input": found}}, ensure_ascii=False)
         for (batch, request), found in inputs.items()}
-    files = spark.read.text(f"{path}/files").collect()
+    files = landing.read_landed(spark, f"{path}/files").collect()
     got = {int(json.loads(r["value"])["custom_id"][-6:]): r for r in files}
     assert len(files) == len(got) == len(want)
     for request, line in want.items():
         # Escapes of control characters may use upper-case hex digits.
         assert got[request]["value"].replace("\\u0001", "") == line.replace("\\u0001", "")
-        assert got[request]["batch_id"] == (request - 1) // 4 + 1
+        assert f"-0007-batch-{(request - 1) // 4 + 1:04}" in got[request]["file_name"]
     sizes = {r["request_id"]: r["line_bytes"] for r in made.requests.collect()}
     assert sizes == {k: len(v.encode()) + 1 for k, v in want.items()}
 
@@ -82,15 +82,62 @@ def test_files_keep_order_and_limit(spark, prepared):
     files = made.files.collect()
     assert all(f["file_bytes"] <= 900 or f["request_count"] == 1 for f in files)
     assert len({f["file_name"] for f in files}) == len(files)
-    seen = {}
-    for r in spark.read.text(f"{path}/files").select("*", F.col("_metadata.file_path").alias("p"),
-                                                    F.monotonically_increasing_id().alias("n")).collect():
-        seen.setdefault((r["batch_id"], r["file_no"]), []).append((r["p"], r["n"], json.loads(r["value"])["custom_id"]))
-    assert len(seen) == len(files)
-    for lines in seen.values():
-        assert len({p for p, _, _ in lines}) == 1
-        ids = [c for _, _, c in sorted(lines)]
-        assert ids == sorted(ids)
+    assert all(open(f["path"].removeprefix("file://")).read().count("\n") == f["request_count"] for f in files)
+    for f in files:
+        text = open(f["path"].removeprefix("file://")).read()
+        ids = [json.loads(line)["custom_id"] for line in text.split("\n")[:-1]]
+        assert ids == sorted(ids) and len(text.encode()) == f["file_bytes"] and f["path"].endswith(f"/{f['file_name']}")
+
+
+def test_landing_is_all_or_nothing(spark, tmp_path):
+    root = str(tmp_path / "out")
+    rows = spark.createDataFrame([(f"f{i % 3}.jsonl", i, f"line {i} é") for i in range(30)], "file_name string, n int, line string")
+    assert landing.landed_files(spark, root).count() == 0 and landing.read_landed(spark, root).count() == 0
+    with pytest.raises(Exception):  # rows of a file in two tasks
+        landing.land_lines(rows.repartition(4, "n"), root, "n")
+    assert landing.landed_files(spark, root).count() == 0
+    landing.land_lines(rows.repartition(4, "file_name"), root, "n")
+    got = {r["file_name"]: r for r in landing.landed_files(spark, root).collect()}
+    sizes = {r["file_name"]: r["stored_bytes"] for r in landing.stored_sizes(spark, root).collect()}
+    for name, r in got.items():
+        want = "".join(f"line {i} é\n" for i in range(30) if f"f{i % 3}.jsonl" == name)
+        assert open(r["path"].removeprefix("file://")).read() == want
+        assert (r["file_bytes"], r["n_lines"], sizes[name]) == (len(want.encode()), 10, len(want.encode()))
+    # A task that fails in its first attempt and one that never commits leave nothing to be read.
+    (tmp_path / "out" / "run=x" / "y").mkdir(parents=True)
+    (tmp_path / "out" / "run=x" / "y" / "stray.jsonl").write_text("stray\n")
+    assert landing.read_landed(spark, root).count() == 30
+    # The next listing replaces the former.
+    landing.land_lines(rows.filter("n < 3").repartition(1), root, "n")
+    assert landing.read_landed(spark, root).count() == 3
+    with pytest.raises(Exception):
+        landing.land_lines(rows.withColumn("file_name", F.lit("../x")).coalesce(1), root, "n")
+
+
+def test_results_are_found_by_the_stored_batches(spark, tmp_path):
+    folder = tmp_path / "results"
+    folder.mkdir()
+    for name in ("a_result.jsonl", "b_result.jsonl", "c_result.jsonl", "a.jsonl"):
+        (folder / name).write_text(f"{name}\n")
+    batches = spark.createDataFrame([(1, "x", "s3://q/a.jsonl"), (1, "y", "b.jsonl"), (1, "z", "d.jsonl"), (1, "n", None)],
+                                    "job_id bigint, batch_oaid string, local_file_id string")
+    got = landing.result_lines(spark, batches, str(folder)).collect()
+    assert sorted(r["value"] for r in got) == ["a_result.jsonl", "b_result.jsonl"]
+    assert [r["result_name"] for r in landing.missing_results(spark, batches, str(folder)).collect()] == ["d_result.jsonl"]
+
+
+@pytest.mark.parametrize("cuts", [requests.MAX_CUTS, 0])
+def test_range_join_finds_the_file(spark, monkeypatch, cuts):
+    """Intervals of very different lengths, with gaps, broadcast and shuffled."""
+    monkeypatch.setattr(requests, "MAX_CUTS", cuts)
+    lengths, at, intervals, want = [1, 500, 2, 3, 90, 1, 1, 40], 7, [], {}
+    for n, length in enumerate(lengths):
+        intervals.append((1, n // 3, n, n % 3, at, at + length - 1))
+        want.update({row: (n // 3, n % 3) for row in range(at, at + length)})
+        at += length + n % 2 * 5
+    found = requests.file_of_rows(spark.range(at + 20).withColumnRenamed("id", "row_idx"), spark.createDataFrame(
+        intervals, "job_id bigint, batch_id bigint, request_id bigint, file_no bigint, first_row bigint, last_row bigint"))
+    assert {r["row_idx"]: (r["batch_id"], r["file_no"]) for r in found.collect()} == want and found.count() == len(want)
 
 
 def test_unknown_model(spark, tmp_path):
