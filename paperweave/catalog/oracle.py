@@ -115,6 +115,24 @@ _BATCHES = """batches as (
            case when o_totalprice > 1000 then o_orderdate end as created_at
     from orders)"""
 
+def _refreshed(newest_first: str) -> str:
+    return f"""
+        with last_ as (
+            select user_id, event_id % 4 as part, {_EVENT_STATUS} as status from events
+            qualify row_number() over (partition by user_id, event_id % 4 order by {newest_first}) = 1),
+        asked as (
+            select user_id, case when bool_or(status in ('cancelled', 'failed')) then 'failed'
+                    when bool_or(status in ('in_progress', 'finalizing')) then 'processing'
+                    when bool_and(status = 'completed') then 'completed' else 'pending' end as job_status
+            from last_ group by 1)"""
+
+
+_STORED = """
+        select row_number() over (order by user_id, 'batch_' || user_id || '_' || part || '.jsonl') as id,
+               user_id as job_id, 'batch_' || user_id || '_' || part as batch_oaid, status, job_status
+        from last_ join asked using (user_id)"""
+
+
 ORACLE: dict[str, str] = {
     "clean_corpus": f"""
         with kept as (
@@ -439,16 +457,11 @@ ORACLE: dict[str, str] = {
 
     "stream_papers": "select distinct (doc_id // 2)::varchar as id from documents where lang = 'en'",
 
-    "stream_refresh": f"""
-        with last_ as (
-            select user_id, event_id % 4 as part, {_EVENT_STATUS} as status from events
-            qualify row_number() over (partition by user_id, event_id % 4 order by event_id desc) = 1),
-        asked as (
-            select user_id, case when bool_or(status in ('cancelled', 'failed')) then 'failed'
-                    when bool_or(status in ('in_progress', 'finalizing')) then 'processing'
-                    when bool_and(status = 'completed') then 'completed' else 'pending' end as job_status
-            from last_ group by 1)
-        select row_number() over (order by user_id, 'batch_' || user_id || '_' || part || '.jsonl') as id,
-               user_id as job_id, 'batch_' || user_id || '_' || part as batch_oaid, status, job_status
-        from last_ join asked using (user_id)""",
+    "state_deltas": _refreshed("event_id % 7 desc, event_id desc") + _STORED,
+
+    "rollup_by_changes": _refreshed("event_id % 7 desc, event_id desc") + """
+        select user_id as job_id, status, count(*) as n, any_value(job_status) as job_status
+        from last_ join asked using (user_id) group by user_id, status""",
+
+    "stream_refresh": _refreshed("event_id desc") + _STORED,
 }

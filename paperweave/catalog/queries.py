@@ -25,7 +25,7 @@ QUERIES: dict[str, Query] = {}
 
 MODEL = "Qwen/Qwen3-Embedding-8B"
 TOKEN_CAP, BATCH_REQUESTS, FILE_BYTES = 4_000, 10, 60_000
-TEXTS_PER_RESULT, CHUNK, TOP = 7, 100, 10
+TEXTS_PER_RESULT, CHUNK, TOP, ROUNDS = 7, 100, 10, 7
 ALLOWED = ["en", "fr", "src3", "src7"]
 WORDS = ["small", "widget", "blue"]
 EVENT_STATUS = {"view": "in_progress", "click": "finalizing", "purchase": "completed",
@@ -795,13 +795,12 @@ def stream_papers(spark, folder):
     return spark.read.parquet(path)
 
 
-@query
-def stream_refresh(spark, folder):
-    """Events as status snapshots of four batches per user: stored batches and jobs after the stream."""
+def _registered(spark: SparkSession, folder: str) -> tuple[str, DataFrame]:
+    """Stored state with a job per user and four batches of each, and the events that change them."""
     oaid = F.concat(F.lit("batch_"), "user_id", F.lit("_"), F.col("event_id") % 4)
     events = table(spark, folder, "events").select(
         "event_id", "user_id", oaid.alias("oaid"), mapped("event_type", EVENT_STATUS).alias("status"))
-    root, landed = new_path(spark, "state"), new_path(spark, "landed")
+    root = new_path(spark, "state")
     state_tables.recreate_state(spark, root)
     jobs = events.select(F.col("user_id").alias("id")).distinct().withColumns({
         "status": F.lit("pending"), "model": F.lit(MODEL),
@@ -814,16 +813,53 @@ def stream_refresh(spark, folder):
             F.lit("/v1/embeddings").alias("endpoint"), F.lit("batch").alias("object"),
             F.concat(F.lit("in-"), "oaid").alias("input_file_id"), F.lit(1704067200).alias("created_at"))).alias("raw"))
     monitor.register_batches(created, root)
+    return root, events
+
+
+@query
+def stream_refresh(spark, folder):
+    """Events as status snapshots of four batches per user: stored batches and jobs after the stream."""
+    root, events = _registered(spark, folder)
+    landed = new_path(spark, "landed")
     events.select("event_id", F.to_json(F.struct(F.col("oaid").alias("id"), "status")).alias("raw")).write.json(landed)
     snapshots = spark.readStream.schema("event_id bigint, raw string").json(landed)
     run = status_stream.write_refresh(snapshots, root, ["event_id"], new_path(spark, "offsets")).trigger(
         availableNow=True).start()
     run.awaitTermination()
+    return _stored_statuses(spark, root)
+
+
+def _stored_statuses(spark: SparkSession, root: str) -> DataFrame:
     stored, jobs = (state_tables.read_state(spark, root, t) for t in ("batches", "jobs"))
     return stored.select("id", "job_id", "batch_oaid", "status").join(
         jobs.select(F.col("id").alias("job_id"), F.col("status").alias("job_status")), "job_id")
 
 
+def _after_rounds(spark: SparkSession, folder: str) -> str:
+    """Events as snapshots in seven refreshes, by event number; the tables are compacted on the way."""
+    root, events = _registered(spark, folder)
+    raw = events.select("event_id", F.to_json(F.struct(F.col("oaid").alias("id"), "status")).alias("raw"))
+    for n in range(ROUNDS):
+        monitor.refresh_stored(spark, root, raw.filter(F.col("event_id") % ROUNDS == n), ["event_id"])
+        if n == ROUNDS // 2:
+            state_tables.compact(spark, root)
+    return root
+
+
+@query
+def state_deltas(spark, folder):
+    """Stored batches and jobs after many refreshes, each of which wrote its changes only."""
+    return _stored_statuses(spark, _after_rounds(spark, folder))
+
+
+@query
+def rollup_by_changes(spark, folder):
+    """How many batches each job has in each status, kept by signed changes, with the job's status."""
+    root = _after_rounds(spark, folder)
+    counts, jobs = (state_tables.read_state(spark, root, t) for t in (state_tables.COUNTS, "jobs"))
+    return counts.join(jobs.select(F.col("id").alias("job_id"), F.col("status").alias("job_status")), "job_id")
+
+
 @query
 def stream_collection(spark, folder):
     """Embeddings as a stream of points, read back from the collection they land in."""

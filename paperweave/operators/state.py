@@ -127,18 +127,43 @@ def update_batches(batches: DataFrame, snapshots: DataFrame) -> DataFrame:
 
 # --- statuses ---------------------------------------------------------------
 
-def rolled_status(status: str = "status", expired_is_failure: bool = False) -> Column:
+def rolled_status(status: str = "status", expired_is_failure: bool = False, counts: Column | None = None) -> Column:
     """Aggregate: the job status a group of batch statuses asks for, or null.
 
     Any failed or cancelled batch fails the job; else any running batch means
-    processing; else all completed means completed; else nothing changes.
+    processing; else all completed means completed; else nothing changes. Rows
+    for which ``counts`` is false are passed over.
     """
     failing = ["cancelled", "failed"] + (["expired"] if expired_is_failure else [])
     column = F.col(status)
+    done = F.coalesce(column == "completed", F.lit(False))
+    if counts is not None:
+        # A null in an aggregate of conditions is passed over.
+        column, done = F.when(counts, column), F.when(counts, done)
     return (
         F.when(F.bool_or(column.isin(failing)), "failed")
         .when(F.bool_or(column.isin("in_progress", "finalizing")), "processing")
-        .when(F.bool_and(F.coalesce(column == "completed", F.lit(False))), "completed"))
+        .when(F.bool_and(done), "completed"))
+
+
+def counted_status(status: str = "status", n: str = "n", expired_is_failure: bool = False) -> Column:
+    """Aggregate: ``rolled_status`` from how many batches have each status; none of it counts where ``n`` is 0."""
+    return rolled_status(status, expired_is_failure, F.col(n) > 0)
+
+
+def status_changes(batches: DataFrame, before: str) -> DataFrame:
+    """(job_id, status, n): how the counts change when batches go from the status in column ``before`` to their own."""
+    signed = F.array(F.struct(F.col(before).alias("status"), F.lit(-1).cast("bigint").alias("n")),
+                     F.struct("status", F.lit(1).cast("bigint").alias("n")))
+    return batches.select("job_id", F.inline(signed)).groupBy("job_id", "status").agg(F.sum("n").alias("n")).filter("n <> 0")
+
+
+def moved_jobs(jobs: DataFrame, asked: DataFrame, now: Column | None = None) -> DataFrame:
+    """The rows of ``jobs`` whose status changes to the one in ``asked`` (id, _asked), after the change."""
+    moved = jobs.join(asked, "id").filter(F.col("_asked").isNotNull() & ~F.col("_asked").eqNullSafe(F.col("status")))
+    now = F.current_timestamp() if now is None else now
+    changed = {"status": F.col("_asked"), "updated_at": now}
+    return moved.select(*[changed.get(c, F.col(c)).alias(c) for c in jobs.columns])
 
 
 def roll_up_jobs(

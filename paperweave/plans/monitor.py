@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from paperweave.operators import state
-from paperweave.sources.state_tables import create_batches, read_state, write_tables
+from paperweave.sources.state_tables import COUNTS, Snapshot, bucket_of, change_tables, create_batches
 from paperweave.workspace import stage
 
 
@@ -27,17 +27,34 @@ def refresh(
 def refresh_stored(
     spark: SparkSession, root: str, snapshots: DataFrame, order: list[str], expired_is_failure: bool = False,
 ) -> DataFrame:
-    """Refresh both stored tables in one commit and give the batches with their last-changed time.
+    """Apply snapshots to the stored tables in one commit; gives the batches they name with their last-changed time.
 
-    A snapshot that sets no or an unknown status is an error and changes nothing.
+    Only buckets with such batches are read, and only rows that the snapshots name
+    are written. A job is rolled up from its counts per status, which change by -1
+    and +1 with its batches. A snapshot that sets no or an unknown status is an
+    error and changes nothing.
     """
-    state.require_known_status(state.flatten_snapshots(snapshots))
-    jobs, batches = (read_state(spark, root, table) for table in ("jobs", "batches"))
-    _, updated = refresh(jobs, batches, snapshots, order)
-    updated = stage(updated, "refresh")
-    rolled = state.roll_up_jobs(jobs, updated, expired_is_failure=expired_is_failure)
-    write_tables({"batches": updated, "jobs": rolled}, root)
-    return updated
+    flat = state.flatten_snapshots(snapshots)
+    state.require_known_status(flat)
+    latest = stage(state.latest_per_key(flat, ["batch_oaid"], order), "snapshots")
+    done: list[DataFrame] = []
+
+    def work(tables: Snapshot) -> dict[str, DataFrame]:
+        named = tables.read("batches").select("job_id", "batch_oaid").join(latest.select("batch_oaid"), "batch_oaid", "left_semi")
+        buckets = [r[0] for r in named.select(bucket_of(F.col("job_id"))).distinct().collect()]
+        before = tables.read("batches", buckets).join(latest.select("batch_oaid"), "batch_oaid", "left_semi")
+        after = stage(state.update_batches(before.withColumn("_before", F.col("status")), latest), "refresh")
+        changes = state.status_changes(after, "_before")
+        touched = after.select("job_id").distinct()
+        counts = tables.read(COUNTS, buckets).join(touched, "job_id", "left_semi").unionByName(changes).groupBy(
+            "job_id", "status").agg(F.sum("n").alias("n"))
+        asked = counts.groupBy(F.col("job_id").alias("id")).agg(
+            state.counted_status(expired_is_failure=expired_is_failure).alias("_asked"))
+        done.append(after.drop("_before"))
+        return {"batches": after, COUNTS: changes, "jobs": state.moved_jobs(tables.read("jobs", buckets), asked)}
+
+    change_tables(spark, root, work)
+    return done[-1]
 
 
 def register_batches(created: DataFrame, root: str, reject: bool = False) -> DataFrame | None:

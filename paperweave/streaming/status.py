@@ -18,7 +18,9 @@ def latest_status(events: DataFrame, keys: Sequence[str], order: Sequence[str])
     return latest_per_key(events, keys, order)
 
 
-def write_refresh(snapshots: DataFrame, root: str, order: list[str], checkpoint: str) -> DataStreamWriter:
+def write_refresh(
+    snapshots: DataFrame, root: str, order: list[str], checkpoint: str, expired_is_failure: bool = False,
+) -> DataStreamWriter:
     """Writer that refreshes the stored tables with every micro-batch.
 
     Applying a snapshot twice is the same as once, so a micro-batch that runs
@@ -26,7 +28,7 @@ def write_refresh(snapshots: DataFrame, root: str, order: list[str], checkpoint:
     """
 
     def refresh(batch: DataFrame, epoch: int) -> None:
-        refresh_stored(batch.sparkSession, root, batch, order)
+        refresh_stored(batch.sparkSession, root, batch, order, expired_is_failure)
 
     return (snapshots.writeStream.foreachBatch(refresh)
             .option("checkpointLocation", checkpoint).trigger(processingTime=REFRESH))

@@ -205,19 +205,106 @@ def test_writes_are_checked(spark, tmp_path):
             monitor.refresh_stored(spark, root, snapshots(spark, {"id": "b1", "status": status}), ["at"])
 
 
-def test_unfinished_versions_are_not_read(spark, tmp_path):
+def test_unfinished_changes_are_not_read(spark, tmp_path):
     root = str(tmp_path)
     tables.recreate_state(spark, root)
     tables.create_job(spark, root, "m")
-    # A write that broke off before its commit, with a part of its files there.
-    spark.createDataFrame([], schemas.JOBS_DDL).coalesce(1).write.parquet(f"{root}/jobs/version=3")
+    # A change that broke off before its commit, with a part of its files there.
+    spark.createDataFrame([(9, "failed", 0)], "id bigint, status string, bucket int").write.parquet(f"{root}/jobs/data-lost")
     assert tables.read_state(spark, root, "jobs").count() == 1
-    for _ in range(tables.KEPT + 3):
-        tables.create_job(spark, root, "m")
-    assert tables.read_state(spark, root, "jobs").count() == tables.KEPT + 4
-    assert len(list((tmp_path / "commits").glob("commit=*"))) == tables.KEPT
-    assert len(list((tmp_path / "jobs").glob("version=*"))) == tables.KEPT
-    assert tables.read_state(spark, root, "batches").count() == 0
+
+
+def filled(spark, root, jobs=3, each=4):
+    tables.recreate_state(spark, root)
+    tables.write_state(spark.range(1, jobs + 1).select("id", F.lit("pending").alias("status"), F.lit("m").alias("model"), *[
+        F.lit(None).cast("timestamp").alias(c) for c in ("created_at", "updated_at", "finished_at")]), root, "jobs")
+    tables.create_batches(batch_rows(spark, [(j, f"b{j}-{n}", "validating") for j in range(1, jobs + 1) for n in range(each)]), root, ["batch_oaid"])
+
+
+def statuses(spark, root, table="batches", key="batch_oaid"):
+    return {r[key]: r["status"] for r in tables.read_state(spark, root, table).collect()}
+
+
+def counted(spark, root):
+    return {(r["job_id"], r["status"]): r["n"] for r in tables.read_state(spark, root, tables.COUNTS).collect()}
+
+
+def full_counts(spark, root):
+    rows = tables.read_state(spark, root, "batches").groupBy("job_id", "status").count().collect()
+    return {(r["job_id"], r["status"]): r["count"] for r in rows}
+
+
+def test_many_small_changes_and_compaction(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(tables, "COMPACT_AFTER", 3)
+    root = str(tmp_path)
+    filled(spark, root)
+    want = {f"b{j}-{n}": "validating" for j in (1, 2, 3) for n in range(4)}
+    moves = [{"b1-0": "completed"}, {"b1-1": "completed", "b2-0": "failed"}, {"b1-2": "in_progress"},
+             {"b1-2": "completed", "b1-3": "completed"}, {"b3-1": "finalizing", "zz": "completed"}, {"b2-0": "completed"}]
+    for move in moves:
+        monitor.refresh_stored(spark, root, snapshots(spark, *[{"id": k, "status": v} for k, v in move.items()]), ["at"])
+        want.update({k: v for k, v in move.items() if k in want})
+        assert statuses(spark, root) == want and counted(spark, root) == full_counts(spark, root)
+    assert statuses(spark, root, "jobs", "id") == {1: "completed", 2: "failed", 3: "processing"}
+    assert len(tables.snapshot(spark, root).files("batches")[1]) < 3
+    before = sorted(map(str, tables.read_state(spark, root, "batches").collect()))
+    tables.compact(spark, root)
+    tables.compact(spark, root)
+    assert sorted(map(str, tables.read_state(spark, root, "batches").collect())) == before
+    assert counted(spark, root) == full_counts(spark, root)
+    assert len(list((tmp_path / "batches").glob("data-*"))) <= 3 and len(tables.snapshot(spark, root).log) <= 3
+
+
+def test_a_refresh_writes_and_reads_little(spark, tmp_path):
+    """k snapshots write k rows; other buckets of jobs and batches are not read."""
+    root = str(tmp_path)
+    filled(spark, root, jobs=60, each=2)
+    monitor.refresh_stored(spark, root, snapshots(spark, {"id": "b7-0", "status": "failed"}, {"id": "b7-1", "status": "completed"}), ["at"])
+    now = tables.snapshot(spark, root)
+    last = now.log[max(now.log)]["tables"]
+    rows = {t: spark.read.parquet(f"{root}/{t}/{last[t]['data']}").count() for t in last}
+    assert rows == {"jobs": 1, "batches": 2, "status_counts": 3}
+    assert {tuple(last[t]["buckets"]) for t in last} == {(7,)}
+    plan = now.read("jobs", [7])._jdf.queryExecution().executedPlan().toString()
+    assert "PushedFilters: [" in plan and "bucket" in plan[plan.index("PushedFilters"):]
+
+
+def test_two_writers_of_the_state(spark, tmp_path, monkeypatch):
+    """A second refresh commits while the first is under way: on the same job, then on another one."""
+    root, inside, plain = str(tmp_path), [], tables.commits.try_append
+    filled(spark, root, jobs=2, each=2)
+    other = [{"id": "b1-0", "status": "completed"}]
+
+    def later(spark_, folder, number, entry):
+        if not inside:
+            inside.append(1)
+            monitor.refresh_stored(spark, root, snapshots(spark, *other), ["at"])
+        return plain(spark_, folder, number, entry)
+
+    monkeypatch.setattr(tables.commits, "try_append", later)
+    monitor.refresh_stored(spark, root, snapshots(spark, {"id": "b1-1", "status": "completed"}), ["at"])
+    assert statuses(spark, root) == {"b1-0": "completed", "b1-1": "completed", "b2-0": "validating", "b2-1": "validating"}
+    assert statuses(spark, root, "jobs", "id") == {1: "completed", 2: "pending"}
+    inside.clear()
+    other[:] = [{"id": "b2-0", "status": "failed"}]
+    monitor.refresh_stored(spark, root, snapshots(spark, {"id": "b1-0", "status": "in_progress"}), ["at"])
+    assert statuses(spark, root, "jobs", "id") == {1: "processing", 2: "failed"}
+    assert counted(spark, root) == full_counts(spark, root)
+
+
+def test_two_writers_number_rows(spark, tmp_path, monkeypatch):
+    root, inside, plain = str(tmp_path), [], tables.commits.try_append
+    tables.recreate_state(spark, root)
+
+    def once(spark_, folder, number, entry):
+        if not inside:
+            inside.append(None)
+            inside[0] = tables.create_job(spark, root, "other")
+        return plain(spark_, folder, number, entry)
+
+    monkeypatch.setattr(tables.commits, "try_append", once)
+    assert tables.create_job(spark, root, "mine") == 2 and inside == [1]
+    assert {r["id"]: r["model"] for r in tables.read_state(spark, root, "jobs").collect()} == {1: "other", 2: "mine"}
 
 
 def test_expired_fails_stored_jobs_when_asked(spark, tmp_path):
