@@ -64,23 +64,22 @@ class Snapshot(NamedTuple):
         if base is None:
             raise FileNotFoundError(f"no {table} table in {self.root}")
 
-        def part(data: str) -> DataFrame:
-            rows = self.spark.read.schema(f"{_DDL[table]}, bucket int").parquet(f"{self.root}/{table}/{data}")
-            return rows if buckets is None else rows.filter(F.col("bucket").isin(*buckets))
-
-        rows = part(base).drop("bucket")
+        # One scan of the base and all deltas; a row's number is that of its folder, the base's 0.
+        numbers = {base: 0} | {data: number for number, data in deltas}
+        rows = self.spark.read.schema(f"{_DDL[table]}, bucket int").parquet(*[f"{self.root}/{table}/{d}" for d in numbers])
+        if buckets is not None:
+            rows = rows.filter(F.col("bucket").isin(*buckets))
         if not deltas:
-            return rows
-        changes = None
-        for number, data in deltas:
-            one = part(data).drop("bucket").withColumn("_number", F.lit(number))
-            changes = one if changes is None else changes.unionByName(one)
+            return rows.drop("bucket")
         if table == COUNTS:
-            every = rows.unionByName(changes.drop("_number"))
-            return every.groupBy("job_id", "status").agg(F.sum("n").alias("n")).filter("n <> 0")
+            return rows.groupBy("job_id", "status").agg(F.sum("n").alias("n")).filter("n <> 0")
+        folder = F.element_at(F.split(F.col("_metadata.file_path"), "/"), -2)
+        number = F.create_map(*[F.lit(x) for pair in numbers.items() for x in pair])[folder]
+        rows = rows.select(*[c for c in rows.columns if c != "bucket"], number.alias("_number"))
+        changes = rows.filter("_number > 0")
         newest = latest_per_key(changes, ["id"], ["_number"]).drop("_number")
-        kept = rows.join(newest.select("id"), "id", "left_anti")
-        return kept.unionByName(newest.select(*rows.columns))
+        kept = rows.filter("_number = 0").drop("_number").join(newest.select("id"), "id", "left_anti")
+        return kept.unionByName(newest.select(*kept.columns))
 
 
 def snapshot(spark: SparkSession, root: str) -> Snapshot:

@@ -2,17 +2,23 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
+import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter
+from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
 
 from paperweave.functions import text
 from paperweave.schemas import RAW_PAPERS, SUBJECTS
 from paperweave.sources.collections import load_points
 
 
+HELD_KEYS = 200_000
+ROCKS = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+
+
 def stream_raw_papers(spark: SparkSession, path: str, files_per_batch: int | None = None) -> DataFrame:
     """New NDJSON files below a folder, with the fixed schema.
 
@@ -35,10 +41,83 @@ def new_papers(raw: DataFrame, seen_for: str, arrival: str = "arrived_at",
     return once_per_key(wanted, ["id"], arrival, seen_for)
 
 
-def once_per_key(events: DataFrame, keys: Sequence[str], moment: str, seen_for: str) -> DataFrame:
-    """One row per key while its state lives; which row of a batch is not fixed."""
-    return (events.withColumn(moment, F.col(moment).cast("timestamp"))
-            .withWatermark(moment, seen_for).dropDuplicatesWithinWatermark(list(keys)))
+class _Once(StatefulProcessor):
+    """Lets a key's first row through and keeps, until the watermark passes its end, that the key was seen."""
+
+    def __init__(self, names: list[str], order: list[str], moment: str, seen_for_ms: int) -> None:
+        self.names, self.order, self.moment, self.seen_for = names, order, moment, seen_for_ms
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
+        self.seen = handle.getValueState("seen", "until bigint")
+
+    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
+        if self.seen.exists():
+            for _ in rows:  # read to the end, or the next key would get them
+                pass
+            return
+        first = None
+        for some in rows:
+            best = some.sort_values(self.order, kind="stable", na_position="last").head(1)
+            first = best if first is None else pd.concat([first, best]).sort_values(
+                self.order, kind="stable", na_position="last").head(1)
+        if first is not None:
+            until = first[self.moment].iloc[0].value // 1_000_000 + self.seen_for
+            self.seen.update((until,))
+            self.handle.registerTimer(until)
+            yield first[self.names]
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
+        self.seen.clear()
+        return iter(())
+
+    def close(self) -> None:
+        pass
+
+
+def first_per_task(events: DataFrame, keys: Sequence[str], order: Sequence[str], held: int = HELD_KEYS) -> DataFrame:
+    """Each task's first row per key, in ``order``; a stream keeps no state for it.
+
+    A key that holds a large share of the rows sends one row per task to the state.
+    A task that meets more than ``held`` keys hands on what it has and starts anew.
+    """
+    keys, order = list(keys), list(order)
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        best: pd.DataFrame | None = None
+        for batch in batches:
+            both = batch if best is None else pd.concat([best, batch], ignore_index=True)
+            best = both.sort_values(order, kind="stable", na_position="last").drop_duplicates(keys)
+            if len(best) > held:
+                yield best
+                best = None
+        if best is not None and len(best):
+            yield best
+
+    return events.mapInPandas(run, events.schema)
+
+
+def once_per_key(
+    events: DataFrame, keys: Sequence[str], moment: str, seen_for: str, order: Sequence[str] = (),
+) -> DataFrame:
+    """One row per key until ``seen_for`` after its ``moment``: the first in (moment, *order) of its micro-batch.
+
+    Later micro-batches change nothing while the key's state lives. Tasks send one
+    row per key to the state, which the watermark clears. A null moment is now.
+    State of one's own needs the RocksDB store, which this sets for the session's streams.
+    """
+    spark = events.sparkSession
+    spark.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKS)
+    timed = events.withColumn(moment, F.coalesce(F.col(moment).cast("timestamp"), F.current_timestamp()))
+    seconds = spark.sql(f"select cast(timestamp_seconds(0) + interval {seen_for} as double) as s").first()["s"]
+    # The state's operator takes plain column names only.
+    plain = {c: f"c{i}" for i, c in enumerate(timed.columns)}
+    at, ranked, by = plain[moment], [plain[c] for c in (moment, *order)], [plain[c] for c in keys]
+    rows = timed.toDF(*plain.values())
+    once = _Once(rows.columns, ranked, at, int(seconds * 1000))
+    kept = first_per_task(rows, by, ranked).withWatermark(at, seen_for).groupBy(*by).transformWithStateInPandas(
+        once, rows.schema, "Append", "EventTime")
+    return kept.toDF(*plain)
 
 
 def write_points(points: DataFrame, path: str, checkpoint: str, order: Sequence[str] = ()) -> DataStreamWriter:

@@ -1,6 +1,7 @@
 """Streams give what the batch jobs give."""
 
 import json
+from datetime import datetime
 
 from pyspark.sql import functions as F
 
@@ -87,3 +88,45 @@ def test_point_stream(spark, tmp_path):
     stream = spark.readStream.schema(points.schema).option("maxFilesPerTrigger", 1).parquet(source)
     drain(ingest.write_points(stream, path, str(tmp_path / "check")))
     assert sorted(r["point_id"] for r in store.read_points(spark, path).collect()) == list(range(40))
+
+
+EVENTS = "k string, at timestamp, n int"
+
+
+def stream_once(spark, folder, files, seen_for, **how):
+    """Each list of rows is a micro-batch; gives what came out, by key."""
+    (folder / "in").mkdir(parents=True)
+    for i, rows in enumerate(files):
+        df = spark.createDataFrame([(k, None if at is None else datetime.fromtimestamp(at), n) for k, at, n in rows], EVENTS)
+        df.repartition(3).write.mode("append").parquet(str(folder / "in" / f"{i}"))
+        stream = spark.readStream.schema(EVENTS).option("recursiveFileLookup", "true").parquet(str(folder / "in"))
+        drain(ingest.once_per_key(stream, ["k"], "at", seen_for, ["n"]).writeStream.format("parquet")
+              .option("path", str(folder / "out")).option("checkpointLocation", str(folder / "check")))
+    return sorted((r["k"] or "", r["n"]) for r in spark.read.parquet(str(folder / "out")).collect())
+
+
+def test_the_first_row_of_a_key_survives(spark, tmp_path):
+    start = 1_700_000_000
+    first = [("hot", start + 50 - i % 40, i) for i in range(300)] + [("a", start, 5), ("a", start, 3), (None, start, 1)]
+    later = [("hot", start - 5, 1000), ("a", start + 60, 0), ("b", start, 7), (None, start, 9)]
+    got = stream_once(spark, tmp_path, [first, later], "1 day")
+    assert got == [("", 1), ("a", 3), ("b", 7), ("hot", 39)]
+
+
+def test_a_key_may_come_again_when_its_state_is_gone(spark, tmp_path):
+    start, day = 1_700_000_000, 86_400
+    files = [[("a", start, 1)], [("a", start + 10, 2), ("z", start + 5 * day, 3)], [("y", start + 6 * day, 4)], [("a", start + 6 * day, 5)]]
+    got = stream_once(spark, tmp_path, files, "1 hour")
+    assert got == [("a", 1), ("a", 5), ("y", 4), ("z", 3)]
+
+
+def test_tasks_send_one_row_per_key(spark):
+    """A third of all rows under one key: the state gets at most one of them per task."""
+    rows = spark.range(9000, numPartitions=6).select(
+        F.when(F.col("id") % 3 == 0, "hot").otherwise(F.concat(F.lit("k"), F.col("id") % 50)).alias("k"),
+        F.timestamp_seconds(F.col("id") % 97).alias("at"), (F.col("id") % 1000).cast("int").alias("n"))
+    sent = ingest.first_per_task(rows, ["k"], ["at", "n"]).groupBy("k").count().collect()
+    assert len(sent) == 51 and max(r["count"] for r in sent) <= 6
+    least = rows.groupBy("k").agg(F.min(F.struct("at", "n")).alias("x"))
+    few = ingest.first_per_task(rows, ["k"], ["at", "n"], held=10)
+    assert few.groupBy("k").agg(F.min(F.struct("at", "n")).alias("x")).exceptAll(least).count() == 0
