@@ -32,7 +32,7 @@ from pyspark.sql import functions as F
 from paperweave.llm.common import need, quoted
 
 SEEN = 1_000_000  # pre-tokens a worker remembers, half of them from batch to batch
-NEW = 300_000  # pre-tokens merged together
+NEW = 60_000  # pre-tokens merged together; their arrays take some 100 MB
 LONG = 64  # longer ones are merged by themselves and not remembered
 RUN = 1 << 16  # pre-tokens handled at once
 
