@@ -133,6 +133,14 @@ _STORED = """
         from last_ join asked using (user_id)"""
 
 
+_SIDES = """
+        ids as (
+            select id, sum(v) as v, sum(r) as r from (
+                select vec_id as id, 1 as v, 0 as r from embeddings where vec_id % 97 <> 5
+                union all select vec_id, 1, 0 from embeddings where vec_id % 131 = 7
+                union all select doc_id, 0, 1 from documents)
+            group by id)"""
+
 ORACLE: dict[str, str] = {
     "clean_corpus": f"""
         with kept as (
@@ -208,6 +216,12 @@ ORACLE: dict[str, str] = {
         where row_idx >= n // 4 and row_idx < n // 4 + n // 2""",
 
     "pack_requests": _PACKED + " select row_idx, token_count, request_id, pos from rows_",
+    "packed_in_two_runs": _PACKED + " select row_idx, token_count, request_id, pos from rows_",
+    "extended_files": _ROLLED + """
+        select printf('qwen3-embedding-8b-0001-batch-%04d', k)
+                   || case when bin > 1 then '_' || (bin - 1)::varchar else '' end || '.jsonl' as file_name,
+               count(*) as n_lines, sum(w)::bigint as file_bytes, count(*) as n_read, sum(w)::bigint as bytes_read
+        from files group by k, bin""",
     "request_manifest": _LINES + """
         select job_id, batch_id, request_id, custom_id, count(*) as text_count,
                sum(token_count)::bigint as token_count, min(row_idx) as first_row, max(row_idx) as last_row,
@@ -298,6 +312,14 @@ ORACLE: dict[str, str] = {
         select n_vectors, n_records, n_vectors = n_records as aligned
         from (select (select count(*) from embeddings) as n_vectors, (select count(*) from documents) as n_records)""",
 
+    "alignment_ranges": "with" + _SIDES + """
+        select id // 16 as range_no, min(id) as first_id, max(id) as last_id,
+               sum(v)::bigint as n_vectors, sum(r)::bigint as n_records
+        from ids group by 1 having bool_or(v <> 1 or r <> 1)""",
+
+    "alignment_ids": "with" + _SIDES + """
+        select id, v::bigint as n_vectors, r::bigint as n_records from ids where v <> 1 or r <> 1""",
+
     "missing_vectors": "select doc_id, lang from documents where doc_id not in (select vec_id from embeddings)",
 
     "orphan_vectors": f"""

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from paperweave.functions import naming, text, vectors
 from paperweave.functions.tokens import token_count as count_tokens, tokenizer_count
-from paperweave.operators import collection, dedup, order, realign, requests, search, state
+from paperweave.operators import collection, dedup, digests, order, realign, requests, search, state
 from paperweave.plans import clean as clean_job, load as load_job, monitor, prepare as prepare_job
 from paperweave.sources import collections, landing, papers as paper_source, state_tables, vectors as vector_store
 from paperweave.sources.lines import read_result_lines
@@ -294,6 +294,33 @@ def landed_files(spark, folder):
         "file_name", "file_bytes", "stored_bytes", "n_lines", "result_name", F.coalesce("n_results", F.lit(0)).alias("n_results"))
 
 
+def _prepared_in_two(spark: SparkSession, folder: str) -> str:
+    """A job over the first three fifths of the documents, extended by the rest."""
+    limits = prepare_job.Limits(TOKEN_CAP, BATCH_REQUESTS, FILE_BYTES)
+    texts, path = _texts(spark, folder), new_path(spark, "job")
+    n = texts.count()
+    prepare_job.run(texts.filter(F.col("row_idx") < n * 3 // 5), "text", MODEL, 1, path, limits)
+    prepare_job.extend(texts, "text", MODEL, 1, path, limits)
+    return path
+
+
+@query
+def packed_in_two_runs(spark, folder):
+    """The manifest of a job that was extended by later papers: that of one run."""
+    return prepare_job.read_manifest(spark, _prepared_in_two(spark, folder)).select(
+        "row_idx", "token_count", "request_id", F.col("pos").cast("bigint").alias("pos"))
+
+
+@query
+def extended_files(spark, folder):
+    """The files of a job that was extended by later papers, as they lie in the folder."""
+    path = f"{_prepared_in_two(spark, folder)}/files"
+    lines = landing.read_landed(spark, path).groupBy("file_name").agg(
+        F.count(F.lit(1)).alias("n_read"), F.sum(F.octet_length("value") + 1).alias("bytes_read"))
+    return landing.landed_files(spark, path).join(lines, "file_name").select(
+        "file_name", "n_lines", "file_bytes", "n_read", "bytes_read")
+
+
 @query
 def file_names(spark, folder):
     model = F.concat(F.lit("Org/Model-"), F.substring("o_orderpriority", 1, 1))
@@ -437,6 +464,25 @@ def alignment_check(spark, folder):
     return realign.alignment(table(spark, folder, "embeddings"), table(spark, folder, "documents"))
 
 
+def _two_sides(spark: SparkSession, folder: str) -> DataFrame:
+    """Vectors against records, with some vectors lost and some doubled."""
+    made = table(spark, folder, "embeddings")
+    kept = made.filter("vec_id % 97 <> 5").unionByName(made.filter("vec_id % 131 = 7"))
+    return digests.sides(kept, table(spark, folder, "documents"), "vec_id", "doc_id")
+
+
+@query
+def alignment_ranges(spark, folder):
+    """Ranges of ids in which vectors and records differ."""
+    return digests.differing_ranges(_two_sides(spark, folder), 16)
+
+
+@query
+def alignment_ids(spark, folder):
+    """Ids that are not there once on both sides, found from wide ranges to narrow ones."""
+    return digests.odd_ids(_two_sides(spark, folder), (256, 16))
+
+
 @query
 def missing_vectors(spark, folder):
     docs = table(spark, folder, "documents").select("doc_id", "lang")

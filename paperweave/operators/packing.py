@@ -21,6 +21,7 @@ looks sequential. It is run in parallel like this:
 from __future__ import annotations
 
 from collections.abc import Sequence
+from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
@@ -102,6 +103,23 @@ def _bins(weight: np.ndarray, cap: int, carry: int, bins: int) -> np.ndarray:
     return bins + np.searchsorted(np.array(starts, np.int64), np.arange(len(weight)), side="right")
 
 
+@dataclass(frozen=True)
+class OpenBin:
+    """Where a packing stands after its last item; a later packing goes on from here."""
+
+    number: int  # of the last bin
+    weight: int  # in it so far
+    items: int   # in it so far
+    last: int    # order number of the last item
+
+
+def open_bin(packed: DataFrame, order: str, weight: str, bin_name: str = "bin_id") -> OpenBin | None:
+    """The last bin of a packing without keys; None if nothing was packed."""
+    last = packed.groupBy(bin_name).agg(
+        F.sum(weight).alias("w"), F.count(F.lit(1)).alias("n"), F.max(order).alias("o")).orderBy(F.desc(bin_name)).first()
+    return None if last is None else OpenBin(last[bin_name], last["w"], last["n"], last["o"])
+
+
 def pack_next_fit(
     items: DataFrame,
     order: str,
@@ -112,20 +130,27 @@ def pack_next_fit(
     bin_name: str = "bin_id",
     rows_per_bucket: int = 1 << 18,
     max_group_entries: int = 1 << 20,
+    resume: OpenBin | None = None,
 ) -> DataFrame:
     """Bin numbers from 1 within each ``by`` key: ``by``, ``order``, ``weight``, ``extra``, bin.
 
     ``order`` is a non-negative integer, unique within a key; it may have gaps.
     Only these columns move; ``extra`` ones are carried along and should be
     narrow. ``max_group_entries`` bounds what one task holds while descriptions
-    are joined.
+    are joined. With ``resume`` the items continue an earlier packing, as if both
+    had been packed at once; their order numbers must lie behind its last one.
     """
     by, extra = list(by), list(extra)
+    if resume is not None and by:
+        raise ValueError("only a packing without keys can be resumed")
+    # A carry above the capacity makes the very first item open bin 1.
+    carried, opened = (resume.weight, resume.number) if resume else (cap + 1, 0)
     keys = [F.col(c) for c in by]
-    sound = (F.col(weight) >= 0) & (F.col(order) >= 0)
+    sound = (F.col(weight) >= 0) & (F.col(order) > (resume.last if resume else -1))
     for key in keys:
         sound = sound & key.isNotNull()
-    bad = F.raise_error(F.lit("packing needs a key, an order and a weight of zero or more on every row"))
+    bad = F.raise_error(F.lit("packing needs a key, an order and a weight of zero or more on every row, "
+                              "and orders behind those packed before"))
     checked = F.when(sound, F.col(weight).cast("bigint")).otherwise(bad.cast("bigint"))
     items = stage(items.select(*keys, F.col(order).cast("bigint").alias(order),
                                checked.alias(weight), *extra), "weights")
@@ -149,8 +174,7 @@ def pack_next_fit(
         return pd.DataFrame([row], columns=names)
 
     def walk_top(pdf: pd.DataFrame) -> pd.DataFrame:
-        # A carry above the capacity makes the very first item open bin 1.
-        return walked(pdf, cap + 1, 0)
+        return walked(pdf, carried, opened)
 
     def walk_down(pdf: pd.DataFrame) -> pd.DataFrame:
         return walked(pdf, int(pdf["carry_in"].iloc[0]), int(pdf["bins_in"].iloc[0]))
@@ -198,5 +222,5 @@ def pack_next_fit(
 
     out = ", ".join(f"`{c}` {types[c]}" for c in by + [order, weight] + extra) + f", `{bin_name}` bigint"
     entered = (items.join(states, by + ["run_no"]) if states is not None else
-               items.withColumns({"carry_in": F.lit(cap + 1), "bins_in": F.lit(0)}))
+               items.withColumns({"carry_in": F.lit(carried), "bins_in": F.lit(opened)}))
     return entered.groupBy(*keys, "run_no").applyInPandas(assign, out)

@@ -5,9 +5,11 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from paperweave.operators import digests
 from paperweave.operators.dedup import keep_first
 from paperweave.operators.order import dense_row_index
 from paperweave.schemas import RESULT_LINE
+from paperweave.workspace import stage
 
 
 def parse_lines(lines: DataFrame, data_path: str = "response.data") -> DataFrame:
@@ -128,19 +130,21 @@ def alignment(vectors: DataFrame, records: DataFrame) -> DataFrame:
 def require_alignment(vectors: DataFrame, records: DataFrame, vec: str = "vec_idx", row: str = "row_idx") -> int:
     """Number of points; an error unless every id is there once on both sides.
 
-    Ids are compared in one pass over both narrow columns, so equal counts of
-    different or repeated ids do not pass.
+    Counts and digests per range of ids are taken in one pass over both narrow
+    columns; ids move only where a range differs.
     """
-    counts = alignment(vectors, records).first()
-    if not counts["aligned"]:
-        raise ValueError(f"{counts['n_vectors']} vectors do not match {counts['n_records']} records")
-    both = vectors.select(F.col(vec).alias("id"), F.lit(1).alias("v"), F.lit(0).alias("r")).unionByName(
-        records.select(F.col(row).alias("id"), F.lit(0).alias("v"), F.lit(1).alias("r")))
-    odd = both.groupBy("id").agg(F.sum("v").alias("v"), F.sum("r").alias("r")).filter("v <> 1 or r <> 1").take(5)
+    both = digests.sides(vectors, records, vec, row)
+    ranges = stage(digests.range_digests(both, digests.WIDTHS[0]), "range-digests")
+    n_vectors, n_records, n_open = ranges.agg(
+        F.coalesce(F.sum("n_vectors"), F.lit(0)), F.coalesce(F.sum("n_records"), F.lit(0)),
+        F.count_if(~F.col("settled"))).first()
+    if n_vectors != n_records:
+        raise ValueError(f"{n_vectors} vectors do not match {n_records} records")
+    odd = digests.odd_ids(both, digests=ranges).take(5) if n_open else []
     if odd:
         raise ValueError("vectors do not match records: " + "; ".join(
-            f"id {x['id']} has {x['v']} vectors and {x['r']} records" for x in odd))
-    return counts["n_vectors"]
+            f"id {x['id']} has {x['n_vectors']} vectors and {x['n_records']} records" for x in odd))
+    return n_vectors
 
 
 def missing_rows(records: DataFrame, vectors: DataFrame, row: str = "row_idx", vec: str = "vec_idx") -> DataFrame:

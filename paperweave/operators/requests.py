@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from paperweave.functions import naming
 from paperweave.functions.tokens import token_count
 from paperweave.operators.order import chunk_id
-from paperweave.operators.packing import pack_next_fit
+from paperweave.operators.packing import OpenBin, pack_next_fit
 from paperweave.workspace import stage
 
 ENDPOINT = "/v1/embeddings"
@@ -61,23 +61,26 @@ def weigh_texts(texts: DataFrame, count: Callable[[Column], Column] = token_coun
 
 
 def request_rows(
-    weights: DataFrame, job_id: int, max_tokens: int, requests_per_batch: int, **packing,
+    weights: DataFrame, job_id: int, max_tokens: int, requests_per_batch: int,
+    resume: OpenBin | None = None, **packing,
 ) -> DataFrame:
     """Manifest: one narrow row per text.
 
     ``weights`` is the result of ``weigh_texts``. Gives ``job_id, batch_id,
     request_id, custom_id, pos, row_idx, token_count, text_bytes``; ``pos``
-    counts from 0 inside the request.
+    counts from 0 inside the request. With ``resume`` the texts go on in the last
+    request of an earlier manifest.
     """
     packed = pack_next_fit(weights, "row_idx", "token_count", max_tokens, extra=["text_bytes"],
-                           bin_name="request_id", **packing)
+                           bin_name="request_id", resume=resume, **packing)
+    there = F.when(F.col("request_id") == resume.number, resume.items).otherwise(0) if resume else F.lit(0)
     within = Window.partitionBy("request_id").orderBy("row_idx")
     job = F.lit(job_id).cast("bigint")
     batch = chunk_id("request_id", requests_per_batch)
     return packed.select(
         job.alias("job_id"), batch.alias("batch_id"), "request_id",
         naming.custom_id(job, batch, F.col("request_id")).alias("custom_id"),
-        (F.row_number().over(within) - 1).alias("pos"), "row_idx", "token_count", "text_bytes",
+        (F.row_number().over(within) - 1 + there).alias("pos"), "row_idx", "token_count", "text_bytes",
     )
 
 

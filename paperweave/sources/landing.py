@@ -5,7 +5,8 @@ Every attempt of a task writes below a folder of its own, so a task that runs
 again or twice disturbs nothing. Its commit message lists what it wrote; the
 job's commit checks that no file came from two tasks and then writes the listing,
 one small file that makes all of them visible. What no listing names has not
-landed. The last listing of a folder counts.
+landed. The last listing of a folder counts; a write that keeps what has landed
+lists the earlier files too, other than those it wrote again.
 
 Request files go out this way, and result files are found by the names that
 belong to the stored batches.
@@ -40,7 +41,8 @@ class Written(WriterCommitMessage):
 
 
 class LandingWriter(DataSourceArrowWriter):
-    def __init__(self, root: str) -> None:
+    def __init__(self, root: str, keep: bool = False) -> None:
+        self.keep = keep
         self.root, self.run = root.rstrip("/"), f"{time.time_ns():020d}-{uuid.uuid4().hex[:8]}"
 
     def _at(self, *parts: str) -> tuple[pafs.FileSystem, str]:
@@ -85,7 +87,15 @@ class LandingWriter(DataSourceArrowWriter):
                 files.delete_dir(found.path)
         _, listings = self._at(LISTINGS)
         files.create_dir(listings, recursive=True)
+        earlier = max((f.path for f in files.get_file_info(pafs.FileSelector(listings))
+                       if f.base_name.endswith(".jsonl")), default=None) if self.keep else None
+        again = set(names)
         with files.open_output_stream(f"{listings}/_{self.run}", compression=None) as out:
+            if earlier is not None:
+                with files.open_input_stream(earlier, compression=None) as old:
+                    for row in old.read().splitlines(keepends=True):  # a row per file
+                        if json.loads(row)["file_name"] not in again:
+                            out.write(row)
             for m in written:
                 for f in m.files:
                     out.write((json.dumps(dict(zip(("file_name", "path", "file_bytes", "n_lines"), f))) + "\n").encode())
@@ -103,7 +113,7 @@ class Landing(DataSource):
         return FORMAT
 
     def writer(self, schema, overwrite: bool) -> LandingWriter:
-        return LandingWriter(self.options["path"])
+        return LandingWriter(self.options["path"], self.options.get("keep") == "true")
 
 
 def _uri(spark: SparkSession, root: str) -> str:
@@ -113,13 +123,17 @@ def _uri(spark: SparkSession, root: str) -> str:
     return full.replace("file:/", "file:///", 1) if full.startswith("file:/") and not full.startswith("file://") else full
 
 
-def land_lines(lines: DataFrame, root: str, order: str, name: str = "file_name", line: str = "line") -> None:
-    """Write the lines of every file, in ``order``; ``lines`` must be dealt out so that a file is in one partition."""
+def land_lines(lines: DataFrame, root: str, order: str, name: str = "file_name", line: str = "line",
+               keep: bool = False) -> None:
+    """Write the lines of every file, in ``order``; ``lines`` must be dealt out so that a file is in one partition.
+
+    With ``keep`` the files of earlier writes stay, other than those of the same name.
+    """
     spark = lines.sparkSession
     spark.dataSource.register(Landing)
     lines.sortWithinPartitions(name, order).select(
         F.col(name).alias("file_name"), F.col(line).alias("line")).write.format(FORMAT).option(
-        "path", _uri(spark, root)).mode("append").save()
+        "path", _uri(spark, root)).option("keep", str(keep).lower()).mode("append").save()
 
 
 def landed_files(spark: SparkSession, root: str) -> DataFrame:
@@ -144,13 +158,16 @@ def stored_sizes(spark: SparkSession, root: str) -> DataFrame:
 def read_landed(spark: SparkSession, root: str) -> DataFrame:
     """``file_name, value`` of every landed line; files that no listing names are left out."""
     landed = landed_files(spark, root)
-    first = landed.first()
-    if first is None:
+    # Attempts have names of their own, so run, attempt and file name are enough to tell files apart.
+    at = landed.select(F.substring_index("path", "/", -3).alias("_at"))
+    runs = [r["run"] for r in landed.select(F.substring_index(
+        F.substring_index("path", "/", -3), "/", 1).alias("run")).distinct().collect()]  # one per write into the folder
+    if not runs:
         return spark.createDataFrame([], "file_name string, value string")
-    run = first["path"].rsplit("/", 2)[0]
-    lines = spark.read.option("recursiveFileLookup", "true").text(run).select(
-        F.col("_metadata.file_name").alias("file_name"), "value")
-    return lines.join(landed.select("file_name"), "file_name", "left_semi")
+    lines = spark.read.option("recursiveFileLookup", "true").text([f"{root}/{run}" for run in runs]).select(
+        F.col("_metadata.file_name").alias("file_name"), "value",
+        F.regexp_replace(F.substring_index(F.col("_metadata.file_path"), "/", -3), "%3D", "=").alias("_at"))
+    return lines.join(at, "_at", "left_semi").drop("_at")
 
 
 def expected_results(batches: DataFrame) -> DataFrame:

@@ -89,3 +89,34 @@ def test_missing_weight_is_an_error(spark):
         items = spark.createDataFrame([row], "i bigint, w bigint")
         with pytest.raises(Exception, match="packing needs"):
             packing.pack_next_fit(items, "i", "w", 100).collect()
+
+
+@settings(max_examples=300, deadline=None)
+@given(st.lists(st.one_of(st.just(0), st.integers(0, 12), st.integers(0, 60)), min_size=1, max_size=40),
+       st.lists(st.one_of(st.just(0), st.integers(0, 12), st.integers(0, 60)), min_size=1, max_size=40), st.integers(1, 40))
+def test_a_packing_goes_on_from_its_open_bin(first, then, cap):
+    bins = sequential(first, cap)
+    weight = sum(w for w, b in zip(first, bins) if b == bins[-1])
+    got = packing._bins(np.array(then, np.int64), cap, weight, bins[-1]).tolist()
+    assert bins + got == sequential(first + then, cap)
+
+
+@pytest.mark.parametrize("bucket", [7, 1 << 18])
+def test_resumed_packing(spark, bucket):
+    rng = random.Random(5)
+    weights = [rng.choice([0, 0, 3, 9, 14, 40]) for _ in range(120)]
+    items = spark.createDataFrame(list(enumerate(weights)), "i bigint, w bigint")
+    resume, got = None, []
+    for low, high in [(0, 50), (50, 50), (50, 51), (51, 120)]:
+        packed = packing.pack_next_fit(items.filter(f"i >= {low} and i < {high}"), "i", "w", 20,
+                                       rows_per_bucket=bucket, resume=resume)
+        now = packing.open_bin(packed, "i", "w")
+        if now and resume and now.number == resume.number:
+            now = packing.OpenBin(now.number, now.weight + resume.weight, now.items + resume.items, now.last)
+        resume = now or resume
+        got += [r["bin_id"] for r in packed.orderBy("i").collect()]
+    assert got == sequential(weights, 20)
+    assert resume == packing.OpenBin(
+        got[-1], sum(w for w, b in zip(weights, got) if b == got[-1]), got.count(got[-1]), 119)
+    with pytest.raises(Exception, match="behind those packed before"):
+        packing.pack_next_fit(items, "i", "w", 20, resume=resume).collect()

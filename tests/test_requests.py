@@ -277,3 +277,93 @@ def test_empty_input(spark, tmp_path):
 
 def test_request_lines_sizes_without_texts(spark):
     assert requests.weigh_texts(spark.createDataFrame([(0, None)], "row_idx bigint, text string")).count() == 0
+
+
+LIMITS = prepare.Limits(max_input_tokens=40, max_requests_per_batch=4, max_batch_file_bytes=900)
+
+
+def landed(spark, path):
+    lines = sorted((r["file_name"], r["value"]) for r in landing.read_landed(spark, f"{path}/files").collect())
+    return lines, sorted((r["file_name"], r["file_bytes"], r["n_lines"]) for r in landing.landed_files(spark, f"{path}/files").collect())
+
+
+def manifest_rows(df):
+    return sorted(map(tuple, df.collect()))
+
+
+def test_an_extended_job_equals_one_run(spark, prepared, tmp_path):
+    path, made = prepared
+    every, grown = papers(spark), str(tmp_path)
+    prepare.run(every.filter("row_idx < 20"), ["title", "abstract"], MODEL, 7, grown, LIMITS)
+    old = {r["file_name"]: r["path"] for r in landing.landed_files(spark, f"{grown}/files").collect()}
+    for n in (20, 33, 1000, 1000):
+        now = prepare.extend(every.filter(f"row_idx < {n}"), ["title", "abstract"], MODEL, 7, grown, LIMITS)
+    assert manifest_rows(now.manifest) == manifest_rows(made.manifest) == manifest_rows(prepare.read_manifest(spark, grown))
+    assert landed(spark, grown) == landed(spark, path)
+    columns = ["job_id", "batch_id", "file_no", "request_count", "file_bytes", "file_name"]
+    assert manifest_rows(now.files.select(columns)) == manifest_rows(made.files.select(columns))
+    # Files of full batches were not written again.
+    new = {r["file_name"]: r["path"] for r in landing.landed_files(spark, f"{grown}/files").collect()}
+    kept = [name for name in old if old[name] == new[name]]
+    assert kept and len(kept) < len(old)
+
+
+def test_a_broken_extension_can_be_repeated(spark, prepared, tmp_path, monkeypatch):
+    path, _ = prepared
+    every, grown = papers(spark), str(tmp_path)
+    with pytest.raises(FileNotFoundError):
+        prepare.extend(every, ["title", "abstract"], MODEL, 7, grown, LIMITS)
+    prepare.run(every.filter("row_idx < 20"), ["title", "abstract"], MODEL, 7, grown, LIMITS)
+
+    def broken(*_):
+        raise OSError("lost")
+
+    with monkeypatch.context() as patch:
+        patch.setattr(prepare, "_land", broken)
+        with pytest.raises(OSError, match="lost"):
+            prepare.extend(every.filter("row_idx < 40"), ["title", "abstract"], MODEL, 7, grown, LIMITS)
+    prepare.extend(every, ["title", "abstract"], MODEL, 7, grown, LIMITS)
+    assert landed(spark, grown) == landed(spark, path)
+
+
+@pytest.mark.parametrize("rows", [30, 1000])
+def test_two_extensions_at_once(spark, prepared, tmp_path, monkeypatch, rows):
+    """Another call extends and lands while one lands; the files are those of the last entry."""
+    path, _ = prepared
+    every, grown = papers(spark), str(tmp_path)
+    prepare.run(every.filter("row_idx < 20"), ["title", "abstract"], MODEL, 7, grown, LIMITS)
+    land, calls = prepare._land, []
+
+    def extend(n):
+        return prepare.extend(every.filter(f"row_idx < {n}"), ["title", "abstract"], MODEL, 7, grown, LIMITS)
+
+    def crossing(*args):
+        if not calls:
+            calls.append(1)
+            extend(1000)
+        land(*args)
+
+    with monkeypatch.context() as patch:
+        patch.setattr(prepare, "_land", crossing)
+        if rows == 1000:
+            extend(rows)
+        else:
+            with pytest.raises(ValueError, match="with all papers"):
+                extend(rows)
+    if rows < 1000:
+        extend(1000)
+    assert landed(spark, grown) == landed(spark, path)
+
+
+def test_a_sealed_extension_leaves_sent_files(spark, tmp_path):
+    every, grown = papers(spark), str(tmp_path)
+    prepare.run(every.filter("row_idx < 20"), ["title", "abstract"], MODEL, 7, grown, LIMITS)
+    before = landed(spark, grown)
+    rows = manifest_rows(prepare.read_manifest(spark, grown))
+    now = prepare.extend(every, ["title", "abstract"], MODEL, 7, grown, LIMITS, sealed=True)
+    after = landed(spark, grown)
+    assert set(before[0]) < set(after[0]) and set(before[1]) < set(after[1])
+    added = sorted(set(manifest_rows(now.manifest)) - set(rows))
+    assert min(r[1] for r in added) == max(r[1] for r in rows) + 1  # a batch of their own
+    texts = {r["row_idx"] for r in every.filter("title is not null").collect()}
+    assert {r[5] for r in rows + added} == texts and len(rows + added) == len(texts)
