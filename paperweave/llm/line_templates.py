@@ -1,18 +1,24 @@
 """Line dedup by a template tree of fixed depth.
 
 Lines of at least ``LEAST_WORDS`` words are parsed: words with digits become
-variable fields, unless fewer than ``SIMILAR`` of the words would stay: such a
-line recurs only as it is. A leaf is the number of words with the first ``DEPTH`` of
-them. Equal bodies are one entry. Within a leaf a line joins the first template
-that has the same word at ``SIMILAR`` of the places, whose other places become
-variable. A template found in several documents stays in the one with the
-smallest id and is dropped from the others.
+variable fields. A leaf is the number of words with the first ``DEPTH`` of them; its
+other places are cut into up to ``SEGMENTS`` segments. A template of a line has the
+words of some segments in place and fields in the others, such that at least
+``SIMILAR`` of all places hold a word. So two lines share a template if they differ
+in few places, and where that is depends on no other line. A line goes from a
+document if one with a smaller id has a line that shares a template with it. There is no order of lines and no size
+at which another rule begins, and documents with larger ids change nothing.
+
+A line with too few words that stay, and one of fewer than ``LEAST_WORDS`` words,
+recurs only as it is, the latter from ``SHORT_CHARS`` characters on (``DENSE_CHARS``
+of scripts that don't put blanks between words).
 
 1. One pass gives narrow rows (leaf, body, document, line).
 2. A bitmap of fixed size marks the leaves with more than one body. A second
-   pass sends only lines of marked leaves, each once per task. Full leaves are
-   cut into parts first and their templates joined afterwards.
-3. Dropped line numbers go to their documents by one join.
+   pass sends the hashes of the templates of their lines, each line once per task.
+3. The smallest document of each template goes back to its lines, with templates
+   dealt out in parts so that one with many lines is no single group.
+4. Dropped line numbers go to their documents by one join.
 
 Defined results: rows whose id or text is null stay as they are and count for
 nothing. Rows with the same id are one document. Repeats inside one document
@@ -24,6 +30,8 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterator
+from functools import lru_cache
+from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
@@ -34,23 +42,28 @@ from paperweave.llm.common import fresh, need, quoted
 from paperweave.workspace import stage
 
 DEPTH, LEAST_WORDS, SIMILAR = 3, 6, 0.7
+SEGMENTS = 7  # two of seven are below three tenths of a line, so a long line may differ in two
+SHORT_CHARS, DENSE_CHARS = 16, 10
 FIELD = "<*>"
 LEAF_BITS = 1 << 23  # of the bitmap: 1 MB
-PART = 4096  # bodies of a leaf that one group takes
+PARTS = 16  # of a template's lines
 ROWS = 20_000
 DIGIT = re.compile(r"\d")
+# Han, kana, Thai, Lao, Tibetan, Burmese and Khmer letters.
+DENSE = re.compile("[\u0e00-\u0fff\u1000-\u109f\u1780-\u17ff\u3040-\u30ff\u3400-\u9fff\uf900-\ufaff\U00020000-\U0003ffff]")
 
 
 def parsed(line: str) -> list[str] | None:
     """The line's words with variable fields; None if the line is too short to judge.
 
-    A line with fewer constant words than a template needs is one word of its own, so only equal lines meet it.
+    A line that recurs only as it is is one word of its own, so only equal lines meet it.
     """
-    if len(line) < 2 * LEAST_WORDS - 1:
+    if len(line) < DENSE_CHARS:
         return None
     words = line.split()
     if len(words) < LEAST_WORDS:
-        return None
+        long = sum(map(len, words)) >= SHORT_CHARS or len(DENSE.findall(line)) >= DENSE_CHARS
+        return [" ".join(words)] if long else None
     if DIGIT.search(line):
         masked = [FIELD if DIGIT.search(w) else w for w in words]
         if len(words) - masked.count(FIELD) < SIMILAR * len(words) - 1e-9:
@@ -59,6 +72,40 @@ def parsed(line: str) -> list[str] | None:
     return words
 
 
+@lru_cache(maxsize=4096)
+def segments(n: int) -> tuple[tuple[int, int], ...]:
+    """[start, end) of the segments of a line of ``n`` words, as equal as can be."""
+    parts = min(SEGMENTS, n - DEPTH)
+    return tuple((DEPTH + i * (n - DEPTH) // parts, DEPTH + (i + 1) * (n - DEPTH) // parts) for i in range(parts))
+
+
+@lru_cache(maxsize=65_536)
+def _kept(n: int, words: tuple[int, ...]) -> tuple[np.ndarray, np.ndarray]:
+    """Templates of lines with that many words, not fields, before and in the segments: kept segments and a salt each.
+
+    Only templates with as many fields as can be: lines that share another one share one of these.
+    """
+    from xxhash import xxh3_64_intdigest as digest
+
+    spare = sum(words) - int(np.ceil(SIMILAR * n - 1e-9))
+    cost, places = words[1:], range(len(words) - 1)
+    fits = [set(t) for size in places for t in combinations(places, size) if sum(cost[i] for i in t) <= spare]
+    most = [t for t in fits if not any(t < other for other in fits)]
+    kept = np.array([[i not in t for i in places] for t in most], np.uint64)
+    return kept, np.array([digest(bytes(row.astype(np.uint8))) for row in kept], np.uint64)
+
+
+def template_hashes(words: list[str], leaf: int) -> np.ndarray:
+    """Hashes of the templates of a parsed line."""
+    from xxhash import xxh3_64_intdigest as digest
+
+    n, cuts = len(words), segments(len(words))
+    held = tuple(sum(w != FIELD for w in words[a:b]) for a, b in ((0, DEPTH), *cuts))
+    kept, salt = _kept(n, held)
+    parts = np.array([digest(" ".join(words[a:b]), seed=i + 1) for i, (a, b) in enumerate(cuts)], np.uint64)
+    return ((kept * parts).sum(axis=1, dtype=np.uint64) + np.uint64(leaf)) ^ salt
+
+
 def _parse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """(leaf, body, id, row, line) of every judged line."""
     from xxhash import xxh3_64_intdigest as digest
@@ -81,103 +128,54 @@ def _parse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _marked_lines(bitmap: bytes):
-    """(leaf, body, words) of lines in marked leaves, each once per task as far as memory goes."""
+    """(leaf, body, templates) of lines in marked leaves, each once per task as far as memory goes."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from xxhash import xxh3_64_intdigest as digest
 
         sent: set[int] = set()
+
+        def rows(found: list[tuple[int, int, np.ndarray]]) -> pa.RecordBatch:
+            leaves, bodies, hashes = zip(*found)
+            ends = np.cumsum([0, *map(len, hashes)]).astype(np.int32)
+            return pa.RecordBatch.from_arrays([
+                pa.array(np.array(leaves, np.uint64).view(np.int64)), pa.array(np.array(bodies, np.uint64).view(np.int64)),
+                pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(hashes).view(np.int64)))],
+                ["leaf", "body", "templates"])
+
+        found: list[tuple[int, int, np.ndarray]] = []
         for batch in batches:
-            found: list[tuple[int, int, str]] = []
             for text in batch.column(0):
                 for line in text.as_py().split("\n"):
-                    if words := parsed(line):
-                        leaf = digest(f"{len(words)} {' '.join(words[:DEPTH])}")
-                        bit = leaf % LEAF_BITS
-                        if bitmap[bit >> 3] >> (bit & 7) & 1:
-                            masked = " ".join(words)
-                            body = digest(masked)
-                            if body not in sent:
-                                if len(sent) > 500_000:
-                                    sent.clear()
-                                sent.add(body)
-                                found.append((leaf, body, masked))
-            for i in range(0, len(found), ROWS):
-                leaves, bodies, words_ = zip(*found[i:i + ROWS])
-                yield pa.RecordBatch.from_arrays([
-                    pa.array(np.array(leaves, np.uint64).view(np.int64)),
-                    pa.array(np.array(bodies, np.uint64).view(np.int64)), pa.array(words_)], ["leaf", "body", "words"])
+                    words = parsed(line)
+                    if words is None or len(words) == 1:
+                        continue
+                    leaf = digest(f"{len(words)} {' '.join(words[:DEPTH])}")
+                    bit = leaf % LEAF_BITS
+                    if bitmap[bit >> 3] >> (bit & 7) & 1:
+                        body = digest(" ".join(words))
+                        if body not in sent:
+                            if len(sent) > 500_000:
+                                sent.clear()
+                            sent.add(body)
+                            found.append((leaf, body, template_hashes(words, leaf)))
+                            if len(found) == ROWS:
+                                yield rows(found)
+                                found = []
+        if found:
+            yield rows(found)
 
     return run
 
 
-class Leaf:
-    """The templates of one leaf.
+def across_templates(docs: DataFrame, found: DataFrame) -> DataFrame:
+    """(leaf, body, earliest): the smallest id that has a line sharing a template with the body.
 
-    A matching template has the same word at one of the line's first places
-    after the leading words, as many as may differ and one more; the index by
-    place and word finds it without a look at the others.
+    ``docs`` has the column text and ``found`` the bodies with their first and last id. Bodies without such a line
+    in another document may be missing.
     """
-
-    def __init__(self) -> None:
-        self.templates: list[list[str]] = []
-        self.ids: list[int] = []
-        self.places: dict[tuple[int, str], list[int]] = {}
-
-    def add(self, words: list[str], body: int) -> int:
-        """The id of the template that takes these words."""
-        n = len(words)
-        needed = int(np.ceil(SIMILAR * n - 1e-9))
-        near = sorted({t for i in range(n - needed + 1) for t in self.places.get((i, words[i]), ())}
-                      if n <= DEPTH else
-                      {t for i in range(min(DEPTH, n), min(DEPTH + n - needed + 1, n))
-                       for t in self.places.get((i, words[i]), ())})
-        for t in near:
-            template = self.templates[t]
-            if sum(a == b and a != FIELD for a, b in zip(template, words)) >= needed:
-                self.templates[t] = [a if a == b else FIELD for a, b in zip(template, words)]
-                return self.ids[t]
-        self.templates.append(words)
-        self.ids.append(body)
-        for place in enumerate(words):
-            self.places.setdefault(place, []).append(len(self.templates) - 1)
-        return body
-
-
-def _fold(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(leaf, body, template, words of the template) from rows sorted by leaf, part and body."""
-    key, leaf, members = None, Leaf(), []
-
-    def done() -> Iterator[pa.RecordBatch]:
-        words = dict(zip(leaf.ids, leaf.templates))
-        for i in range(0, len(members), ROWS):
-            part = members[i:i + ROWS]
-            yield pa.RecordBatch.from_arrays([
-                pa.array([key[0]] * len(part), pa.int64()), pa.array([b for b, _ in part], pa.int64()),
-                pa.array([t for _, t in part], pa.int64()),
-                pa.array([" ".join(words[t]) if b == t else None for b, t in part], pa.string())],
-                ["leaf", "body", "template", "words"])
-
-    for batch in batches:
-        leaves, parts, bodies, texts = (batch.column(i).to_pylist() for i in range(4))
-        for now in zip(leaves, parts, bodies, texts):
-            if now[:2] != key:
-                if members:
-                    yield from done()
-                key, leaf, members = now[:2], Leaf(), []
-            members.append((now[2], leaf.add(now[3].split(" "), now[2])))
-    if members:
-        yield from done()
-
-
-FOLDED = "leaf bigint, body bigint, template bigint, words string"
-
-
-def templates(docs: DataFrame, lines: DataFrame) -> DataFrame:
-    """(leaf, body, template) of lines in leaves with more than one body. ``docs`` has the column text."""
     spark = docs.sparkSession
-    bodies = lines.groupBy("leaf", "body").agg(F.min("id").alias("first"))
-    full = stage(bodies.groupBy("leaf").agg(F.count(F.lit(1)).alias("n")).filter("n > 1"), "leaves")
+    full = found.groupBy("leaf").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
     place = F.pmod("leaf", F.lit(LEAF_BITS))  # the hash as unsigned leaves the same rest: the size divides 2^64
     words = full.groupBy(F.call_function("div", place, F.lit(32)).alias("at")).agg(
         F.bit_or(F.call_function("shiftleft", F.lit(1).cast("bigint"), (place % 32).cast("int"))).alias("bits"))
@@ -189,20 +187,14 @@ def templates(docs: DataFrame, lines: DataFrame) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         return _marked_lines(shared.value)(batches)
 
-    found = docs.select("text").mapInArrow(run, "leaf bigint, body bigint, words string").groupBy("leaf", "body").agg(
-        F.any_value("words").alias("words"))
-    parts = F.ceil(F.col("n") / PART)
-    rows = found.join(full, "leaf").select(
-        "leaf", F.when(parts > 1, F.pmod("body", parts)).otherwise(0).cast("bigint").alias("part"), "body", "words", parts.alias("parts"))
-    folded = stage(rows.repartition("leaf", "part").sortWithinPartitions("leaf", "part", "body").select(
-        "leaf", "part", "body", "words").mapInArrow(_fold, FOLDED), "templates")
-    # Templates of a leaf that was cut join across its parts.
-    cut = folded.filter("words is not null").join(full.filter(parts > 1), "leaf").select(
-        "leaf", F.lit(0).cast("bigint").alias("part"), "body", "words")
-    again = cut.repartition("leaf", "part").sortWithinPartitions("leaf", "part", "body").mapInArrow(_fold, FOLDED).select(
-        "leaf", F.col("body").alias("template"), F.col("template").alias("joined"))
-    return folded.join(again, ["leaf", "template"], "left").select(
-        "leaf", "body", F.coalesce("joined", "template").alias("template"))
+    hashed = docs.select("text").mapInArrow(run, "leaf bigint, body bigint, templates array<bigint>").groupBy("leaf", "body").agg(
+        F.any_value("templates").alias("templates"))
+    bodies = stage(hashed.join(found, ["leaf", "body"]), "line-templates")
+    shares = bodies.select("leaf", "body", "first", "last", F.explode("templates").alias("template"))
+    earliest = shares.groupBy("template").agg(F.min("first").alias("earliest"), F.max("last").alias("last")).filter(
+        "earliest < last").select("template", "earliest", F.explode(F.sequence(F.lit(0), F.lit(PARTS - 1))).alias("part"))
+    dealt = shares.select("leaf", "body", "template", F.pmod("body", F.lit(PARTS)).cast("int").alias("part"))
+    return dealt.join(earliest, ["template", "part"]).groupBy("leaf", "body").agg(F.min("earliest").alias("earliest"))
 
 
 def recurring(docs: DataFrame, id_column: str = "doc_id", text: str = "text") -> DataFrame:
@@ -212,14 +204,10 @@ def recurring(docs: DataFrame, id_column: str = "doc_id", text: str = "text") ->
         "id is not null and text is not null")
     keyed = rows.select("id", F.xxhash64("text").alias("row"), "text")
     lines = stage(keyed.mapInArrow(_parse, "leaf bigint, body bigint, id bigint, row bigint, line int"), "lines")
-    found = lines.groupBy("leaf", "body").agg(F.min("id").alias("first"), F.max("id").alias("last"))
-    merged = found.join(templates(rows, lines), ["leaf", "body"], "left").withColumn(
-        "template", F.coalesce("template", "body"))
-    merged = stage(merged, "line-templates")
-    across = merged.groupBy("leaf", "template").agg(F.min("first").alias("stays"), F.max("last").alias("last")).filter(
-        "stays < last")
-    bodies = merged.select("leaf", "body", "template").join(across, ["leaf", "template"]).select("leaf", "body", "stays")
-    gone = lines.join(bodies, ["leaf", "body"]).filter("id <> stays")
+    found = stage(lines.groupBy("leaf", "body").agg(F.min("id").alias("first"), F.max("id").alias("last")), "line-bodies")
+    bodies = found.join(across_templates(rows, found), ["leaf", "body"], "left").select(
+        "leaf", "body", "last", F.least("first", "earliest").alias("stays")).filter("stays < last").drop("last")
+    gone = lines.join(bodies, ["leaf", "body"]).filter("id > stays")
     return gone.groupBy("id", "row").agg(F.collect_set("line").alias("lines"))
 
 

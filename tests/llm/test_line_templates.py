@@ -5,34 +5,29 @@ import pytest
 from paperweave.llm import line_templates as lt
 
 
-def brute(docs, depth=lt.DEPTH):
-    """Greedy templates in one list per leaf, bodies in the order of their hashes."""
-    import xxhash
-
+def brute(docs):
+    """Every pair of lines of a leaf by the rule: equal, or enough words outside the segments in which they differ."""
     lines = [(i, n, words) for i, text in docs for n, line in enumerate(text.split("\n")) if (words := lt.parsed(line))]
     leaves = {}
     for i, n, words in lines:
-        leaves.setdefault((len(words), *words[:depth]), {}).setdefault(" ".join(words), []).append((i, n))
-
-    def signed(body):
-        h = xxhash.xxh3_64_intdigest(body)
-        return h - 2**64 if h >> 63 else h
-
+        leaves.setdefault((len(words), *words[:3]), []).append((i, n, words))
     gone = set()
-    for bodies in leaves.values():
-        templates = []
-        for body in sorted(bodies, key=signed):
-            words = body.split(" ")
-            for t in templates:
-                if sum(a == b and a != lt.FIELD for a, b in zip(t[0], words)) >= lt.SIMILAR * len(words) - 1e-9:
-                    t[0] = [a if a == b else lt.FIELD for a, b in zip(t[0], words)]
-                    t[1] += bodies[body]
+    for (size, *_), members in leaves.items():
+        segment = {}
+        if size > 3:
+            parts = min(7, size - 3)
+            for part in range(parts):
+                for place in range(3 + part * (size - 3) // parts, 3 + (part + 1) * (size - 3) // parts):
+                    segment[place] = part
+        for i, n, words in members:
+            for j, _, other in members:
+                if j >= i:
+                    continue
+                differ = {segment[p] for p in range(3, size) if words[p] != other[p]}
+                same = [w for p, w in enumerate(words) if segment.get(p) not in differ and w != lt.FIELD]
+                if not differ or len(same) * 10 >= 7 * size:
+                    gone.add((i, n))
                     break
-            else:
-                templates.append([words, list(bodies[body])])
-        for _, places in templates:
-            stays = min(i for i, _ in places)
-            gone |= {p for p in places if p[0] != stays}
     return gone
 
 
@@ -60,32 +55,50 @@ def test_fields_and_similar_lines(spark):
     assert {r.doc_id for r in lt.without_emptied(df).collect()} == {r[0] for r in rows} - {11} - {i for i in range(1, 6) if (i, 0) in found}
 
 
-@pytest.mark.parametrize("part", [lt.PART, 5])
-def test_full_leaves_in_parts(spark, monkeypatch, part):
-    """One leaf with many bodies of few templates; cut leaves join again."""
-    monkeypatch.setattr(lt, "PART", part)
+def random_lines(seed, n_docs):
+    rng = random.Random(seed)
+    out = []
+    for i in range(n_docs):
+        lines = []
+        for _ in range(rng.randint(1, 3)):
+            n = rng.choice([6, 7, 10, 11, 13, 20, 31])
+            words = [f"{chr(97 + k % 26)}{'x' * (k // 26)}" for k in range(n)]
+            for k in rng.sample(range(n), rng.randint(0, n // 3)):
+                words[k] = rng.choice(["one", "two", "three", "4", "55"])
+            lines.append(" ".join(words))
+        out.append((i, "\n".join(lines)))
+    return out
+
+
+@pytest.mark.parametrize("seed", [1, 2])
+def test_lines_that_vary_in_several_places(spark, seed, monkeypatch):
+    monkeypatch.setattr(lt, "PARTS", 1 + seed)
+    rows = random_lines(seed, 250)
+    found = dropped(spark.createDataFrame(rows, "doc_id bigint, text string"))
+    assert found == brute(rows) and 0 < len(found) < sum(t.count("\n") + 1 for _, t in rows)
+
+
+def test_one_rule_at_every_size(spark):
+    """A leaf of 6,000 bodies: more documents behind change nothing for those before them."""
     rng = random.Random(3)
-    rows = [(i, f"The same start {a} of a line whose end says {w}") for i, (a, w) in enumerate(
-        (a, w) for a in ("alpha", "beta") for w in rng.sample("abcdefghijklmnopqrstuvwxyz", 20))]
-    df = spark.createDataFrame(rows, "doc_id bigint, text string")
-    assert len(dropped(df)) == len(brute(rows)) == 39  # one word differs: all are one template
-
-
-def test_index_finds_what_a_scan_finds():
-    rng = random.Random(1)
-    leaf, plain = lt.Leaf(), []
-    for body in range(400):
-        n = 10
-        words = ["a", "b", "c"] + [rng.choice("xyz") for _ in range(n - 3)]
-        for i, (t, at) in enumerate(plain):
-            if sum(x == y and x != lt.FIELD for x, y in zip(t, words)) >= 7:
-                plain[i] = ([x if x == y else lt.FIELD for x, y in zip(t, words)], at)
-                expected = at
-                break
-        else:
-            plain.append((words, body))
-            expected = body
-        assert leaf.add(words, body) == expected
+    rows = [(i, "The same start of a line " + " ".join(rng.choice("abcdefghij") for _ in range(9))) for i in range(6000)]
+    found = {n: dropped(spark.createDataFrame(rows[:n], "doc_id bigint, text string")) for n in (300, 6000)}
+    assert found[300] == {x for x in found[6000] if x[0] < 300} == brute(rows[:300])
+
+
+def test_templates_of_a_line():
+    """Sets of segments that are as large as can be, of at most three tenths of the places."""
+    assert len(lt.template_hashes("a b c d e f".split(), 1)) == 3
+    assert len(lt.template_hashes("a b c d e f g h i j".split(), 1)) == 35
+    assert len(lt.template_hashes(["w"] * 100, 1)) == 21
+    # A field in a segment is not a word that stays, so fewer others may vary.
+    assert len(lt.template_hashes(f"a b c d e {lt.FIELD}".split(), 1)) == 1
+
+
+def test_short_lines_recur_as_they_are(spark):
+    rows = [(i, "All rights reserved.\nMenu\n这是一个在所有文件里都重复的很长的句子。\nPage 12 of 13") for i in (1, 2)]
+    rows.append((3, "All rights  reserved.\nAll rights reserved!"))
+    assert dropped(spark.createDataFrame(rows, "doc_id bigint, text string")) == {(2, 0), (2, 2), (3, 0)}
 
 
 def test_short_lines_and_repeats_inside_stay(spark):
