@@ -331,6 +331,13 @@ ORACLE: dict[str, str] = {
                {_VECTOR_MD5} as vector_md5, lang, source, n_chars
         from embeddings join documents on vec_id = doc_id""",
 
+    "collection_slice": f"""
+        with kept as (select * from embeddings join documents on vec_id = doc_id),
+             ids as (select max(vec_id) as largest from kept)
+        select vec_id as point_id, lang, n_chars::bigint + case when vec_id % 3 = 0 then 1 else 0 end as n_chars,
+               {_VECTOR_MD5} as vector_md5
+        from kept, ids where vec_id >= largest // 4 and vec_id < largest // 2""",
+
     "collection_chunks": """
         select vec_id // 100 as chunk, min(vec_id) as start, max(vec_id) + 1 as "end", count(*) as n_rows
         from embeddings join documents on vec_id = doc_id group by 1""",
@@ -371,6 +378,7 @@ ORACLE: dict[str, str] = {
 
     "cosine_topk": _TOPK,
     "hamming_rescore": _TOPK,
+    "pivot_topk": _TOPK,
 
     "flatten_batch": f"""
         select event_id, 'batch_' || event_id as batch_oaid, {_EVENT_STATUS} as status,

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from paperweave.functions import naming, text, vectors
 from paperweave.functions.tokens import token_count as count_tokens, tokenizer_count
-from paperweave.operators import collection, dedup, digests, order, realign, requests, search, state
+from paperweave.operators import collection, dedup, digests, order, pivots, realign, requests, search, state
 from paperweave.plans import clean as clean_job, load as load_job, monitor, prepare as prepare_job
 from paperweave.sources import collections, landing, papers as paper_source, state_tables, vectors as vector_store
 from paperweave.sources.lines import read_result_lines
@@ -603,6 +603,28 @@ def hamming_rescore(spark, folder):
     return _hits(search.quantised_topk(points, _exemplars(spark, folder), TOP, 4, "vec_id", "embedding"))
 
 
+@query
+def pivot_topk(spark, folder):
+    """The same answer from a pivot table, cell by cell."""
+    path = new_path(spark, "pivot-table")
+    pivots.write_pivot_table(table(spark, folder, "embeddings"), path, "vec_id", "embedding")
+    return _hits(pivots.pivot_topk(spark, path, _exemplars(spark, folder), TOP))
+
+
+@query
+def collection_slice(spark, folder):
+    """A range of ids out of a collection of two loads, from the files that can hold them."""
+    path = new_path(spark, "collection")
+    collections.create_collection(spark, path, 64, bucket_ids=CHUNK)
+    points = _points(spark, folder)
+    collections.load_points(points, path)
+    longer = F.col("payload").withField("n_chars", F.col("payload.n_chars") + 1)
+    collections.load_points(points.filter(F.col("point_id") % 3 == 0).withColumn("payload", longer), path)
+    largest = points.agg(F.max("point_id")).first()[0]  # one number
+    return collections.read_range(spark, path, largest // 4, largest // 2).select(
+        "point_id", "payload.lang", F.col("payload.n_chars").cast("bigint").alias("n_chars"), vector_md5("vector").alias("vector_md5"))
+
+
 # --- state --------------------------------------------------------------------
 
 def _snapshots(spark: SparkSession, folder: str) -> DataFrame:

@@ -4,7 +4,8 @@ Points lie in buckets of ids. A load writes the whole new content of the buckets
 it touches under a name of its own and then commits an entry that lists them.
 Current is, for every bucket, the last entry that lists it. Other buckets are not
 rewritten, a load that breaks off leaves no trace, and points sent again replace
-themselves, also from a new stream or checkpoint.
+themselves, also from a new stream or checkpoint. The entry also has the rows and the
+smallest and largest id of each file, so a range of ids is read from few files.
 
 Several writers may load at once: a load that finds, when it commits, that others
 changed buckets of its own merges again with what they left; loads into other
@@ -96,6 +97,21 @@ def _stored(spark: SparkSession, data: str, log: dict[int, dict], only: set[int]
     return stored.join(F.broadcast(pairs), ["load", "bucket"]).drop("load")
 
 
+def _files(log: dict[int, dict]) -> list[list]:
+    """``[load, bucket, file, rows, least id, largest id]`` of the files with current points."""
+    current = _current(log)
+    listed = {(f[0], f[1], f[2]): f for number in sorted(log) for f in log[number]["files"]}
+    return [f for f in listed.values() if current.get(f[1]) == f[0]]
+
+
+def _written(spark: SparkSession, data: str, load: str) -> list[list]:
+    """The same of the files that a load wrote: a row per file, from a scan of the ids alone."""
+    written = spark.read.option("basePath", data).parquet(f"{data}/load={load}")
+    return [[load, *r] for r in written.groupBy(
+        F.col("bucket").cast("bigint"), F.col("_metadata.file_name").alias("file")).agg(
+        F.count(F.lit(1)), F.min("point_id"), F.max("point_id")).orderBy("bucket", "file").collect()]
+
+
 def read_points(spark: SparkSession, path: str) -> DataFrame | None:
     """Current points, None while there were no loads."""
     data, loads = _folders(path, require_collection(spark, path)["generation"])
@@ -103,6 +119,27 @@ def read_points(spark: SparkSession, path: str) -> DataFrame | None:
     return None if stored is None else stored.drop("bucket")
 
 
+def read_range(spark: SparkSession, path: str, start: int, end: int) -> DataFrame | None:
+    """Current points with ``start <= id < end``, None while there were no loads.
+
+    The log names the files that can hold them; no other is listed or opened.
+    """
+    data, loads = _folders(path, require_collection(spark, path)["generation"])
+    files = _files(commits.read_log(spark, loads))
+    if not files:
+        return None
+    chosen = [f for f in files if f[4] < end and f[5] >= start]
+    # With none in the range one file gives the columns, and its points are filtered away.
+    names = [f"{data}/load={load}/bucket={bucket}/{name}" for load, bucket, name, *_ in chosen or files[:1]]
+    return points_in_range(spark.read.parquet(*names), start, end)
+
+
+def point_count(spark: SparkSession, path: str) -> int:
+    """Number of current points, from the log alone."""
+    _, loads = _folders(path, require_collection(spark, path)["generation"])
+    return sum(f[3] for f in _files(commits.read_log(spark, loads)))
+
+
 def _load(points: DataFrame, path: str, generation: int, bucket_ids: int, order: Sequence[str]) -> None:
     spark = points.sparkSession
     data, loads = _folders(path, generation)
@@ -126,7 +163,7 @@ def _load(points: DataFrame, path: str, generation: int, bucket_ids: int, order:
         # Ranging reads its input twice, so the vector arithmetic comes after it.
         ready = prepare_vectors(merged.drop("_age").repartitionByRange("point_id").sortWithinPartitions("point_id"))
         ready.write.option("compression", "zstd").partitionBy("bucket").parquet(f"{data}/load={load}")
-        return {"load": load, "buckets": touched}
+        return {"load": load, "buckets": touched, "files": _written(spark, data, load)}
 
     def touches(entry: dict, other: dict) -> bool:
         return "current" not in other and bool(set(entry["buckets"]) & set(other["buckets"]))
@@ -168,7 +205,7 @@ def drop_old_loads(spark: SparkSession, path: str) -> list[str]:
     if not current:
         return []
     gone = sorted({e["load"] for e in log.values() if "load" in e} - set(current.values()))
-    if commits.try_append(spark, loads, max(log) + 1, {"current": sorted(current.items())}):
+    if commits.try_append(spark, loads, max(log) + 1, {"current": sorted(current.items()), "files": _files(log)}):
         commits.drop_entries(spark, loads, list(log))
         for load in gone:
             remove_folder(spark, f"{data}/load={load}")

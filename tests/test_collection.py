@@ -153,6 +153,32 @@ def test_loads_touch_only_their_buckets(spark, tmp_path):
     assert len(rows) == 100 and sorted(r["point_id"] for r in rows if r["payload"]["name"] == "b") == [33, 34]
 
 
+def test_a_range_opens_only_files_that_can_hold_it(spark, tmp_path):
+    path = str(tmp_path / "c")
+    store.create_collection(spark, path, 2, bucket_ids=10)
+    assert store.read_range(spark, path, 0, 10) is None and store.point_count(spark, path) == 0
+    store.load_points(point_rows(spark, range(100), "a"), path)
+    store.load_points(point_rows(spark, [33, 34, 205], "b"), path)
+
+    def found(start, end):
+        return sorted((r["point_id"], r["payload"]["name"]) for r in store.read_range(spark, path, start, end).collect())
+
+    def check():
+        assert found(32, 36) == [(32, "a"), (33, "b"), (34, "b"), (35, "a")]
+        assert found(95, 300) == [(i, "a") for i in range(95, 100)] + [(205, "b")]
+        assert found(100, 200) == found(50, 50) == []
+        assert len(found(-5, 1000)) == store.point_count(spark, path) == 101
+        opened = store.read_range(spark, path, 32, 36).inputFiles()
+        assert all("load=00000002" in f and "bucket=3/" in f for f in opened) and len(opened) <= 2
+        assert store.read_range(spark, path, 0, 1).columns == store.read_points(spark, path).columns
+
+    check()
+    store.drop_old_loads(spark, path)  # the log is summed up in one entry
+    check()
+    store.load_points(point_rows(spark, [1], "c"), path)
+    assert found(0, 3) == [(0, "a"), (1, "c"), (2, "a")] and found(33, 34) == [(33, "b")]
+
+
 def labels(spark, path):
     return {r["point_id"]: r["payload"]["name"] for r in store.read_points(spark, path).collect()}
 
