@@ -1,11 +1,11 @@
 """Personal data replaced by keyed surrogates; DataFrame functions only.
 
-Entities are found by patterns, checked (card numbers by their check digit) and
-reduced to a canonical form, so that spellings of one entity stay one. Each
+Entities are found by patterns, checked (card numbers and IBANs by their check
+digits) and reduced to a canonical form, so that spellings of one entity stay one. Each
 entity of the corpus gets a keyed hash; digits and letters of its text are
 replaced by ones drawn from it, place by place, so length, case, separators,
 script and kind stay. Names keep their title and get a name of the same gender
-and script. A surrogate that equals a real entity or another's surrogate is
+and script; cards and IBANs get right check digits. A surrogate that equals a real entity or another's surrogate is
 drawn again, until all differ: equal entities stay equal and different ones
 different, across all documents.
 
@@ -53,11 +53,20 @@ _OCTET = r"(?:25[0-5]|2[0-4][0-9]|1?[0-9]?[0-9])"
 PATTERNS = {
     "email": r"(?<![\p{L}\p{N}._%+-])[\p{L}\p{N}._%+-]++@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+",
     "ip": rf"(?<![0-9.])(?:{_OCTET}\.){{3}}{_OCTET}(?![0-9]|\.[0-9])",
+    "ipv6": r"(?<![0-9A-Za-z:.])(?=[0-9A-Fa-f]{4}:)(?=[A-Fa-f]{0,3}[0-9])(?:(?:[0-9A-Fa-f]{1,4}:){7}[0-9A-Fa-f]{1,4}"
+            r"|(?:[0-9A-Fa-f]{1,4}:){1,6}(?::[0-9A-Fa-f]{1,4}){1,6})(?![0-9A-Za-z:])",
     "secret": r"(?<![0-9A-Za-z])(?:[0-9a-f]{32,64}|[0-9A-F]{32,64}|AKIA[0-9A-Z]{16}|gh[pousr]_[0-9A-Za-z]{36})(?![0-9A-Za-z])",
-    "iban": r"(?<![0-9A-Za-z])[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]{4}){3,7}(?: ?[A-Z0-9]{1,3})?(?![0-9A-Za-z])",
+    # After the bank's, a spaced group needs a digit: words in capitals may follow.
+    "iban": r"(?<![0-9A-Za-z])[A-Z]{2}[0-9]{2} ?[A-Z0-9]{4}(?: ?(?=[A-Z]{0,3}[0-9])[A-Z0-9]{4}){2,6}"
+            r"(?: ?(?=[A-Z]{0,2}[0-9])[A-Z0-9]{1,3})?(?![0-9A-Za-z])",
     "ssn": r"(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9-])",
-    "phone": r"(?<![0-9])(?:\+[0-9]{1,3}[ .-]?)?(?:\([0-9]{2,4}\)[ .-]?[0-9]{3,4}[ .-][0-9]{3,4}"
-             r"|(?<=\+[0-9]{1,3}[ .-]?)[0-9]{2,4}(?:[ .-][0-9]{2,4}){2,4})(?![0-9])",
+    "phone": r"(?<![0-9])(?:\+[1-9][0-9]{0,2}[ .-]?)?(?:\([0-9]{2,4}\)[ .-]?[0-9]{3,4}[ .-][0-9]{3,4}"
+             r"|(?<=\+[1-9][0-9]{0,2}[ .-]?)[0-9]{2,4}(?:[ .-][0-9]{2,4}){2,4})(?![0-9])"
+             # With a country code, any grouping of 8 to 15 digits, but no decimal or row of single digits.
+             r"|(?<![\p{L}0-9])(?!\+[0-9]+\.[0-9]+(?:[^0-9.-]|$)|\+[0-9]+ [0-9] [0-9](?![0-9]))"
+             r"\+[1-9](?:[ .-]?[0-9]){7,14}(?![0-9])"
+             # Without one, three, three and four digits with one kind of mark between.
+             r"|(?<![0-9.+-])[2-9][0-9]{2}(?:-[0-9]{3}-|\.[0-9]{3}\.)[0-9]{4}(?![0-9]|[.-][0-9])",
     "card": r"(?<![0-9.+-])[0-9](?:[ -]?[0-9]){12,18}(?![0-9])",
     "name": rf"(?<!\p{{L}})(?:{_ANY_TITLE})\.? \p{{Lu}}[\p{{L}}'’-]+(?: \p{{Lu}}[\p{{L}}'’-]+)?",
 }
@@ -84,11 +93,34 @@ def _sum_luhn(digits: Column, doubled: int) -> Column:
     return F.aggregate(F.transform(F.split(F.reverse(digits), ""), value), F.lit(0), lambda a, b: a + b)
 
 
+def _iban_rest(country: Column, check: Column, account: Column) -> Column:
+    """Remainder by 97 of an IBAN's account, country and check digits, letters as numbers from 10 on; 1 if all is right."""
+    def add(rest: Column, c: Column) -> Column:
+        return F.when(c.rlike("[0-9]"), rest * 10 + c.cast("int")).otherwise(rest * 100 + F.ascii(c) - 55) % 97
+
+    return F.aggregate(F.split(F.regexp_replace(F.concat(account, country, check), " ", ""), ""), F.lit(0), add)
+
+
+def _is_iban(entity: Column) -> Column:
+    return _iban_rest(F.substr(entity, F.lit(1), F.lit(2)), F.substr(entity, F.lit(3), F.lit(2)), F.substr(entity, F.lit(5))) == 1
+
+
+def _drawn_iban(entity: Column, h: Column) -> Column:
+    """New account, the same country, right check digits."""
+    def checked(new: Column) -> Column:
+        country, account = F.substr(new, F.lit(1), F.lit(2)), F.substr(new, F.lit(5))
+        check = F.lpad((F.lit(98) - _iban_rest(country, F.lit("00"), account)).cast("string"), 2, "0")
+        return F.concat(country, check, account)
+
+    return _let(_drawn(entity, h, keep=2), checked)
+
+
 def kind_of(entity: Column) -> Column:
-    """The entity's kind; null for a number that only looks like a card."""
+    """The entity's kind; null for what only looks like a card or an IBAN."""
     out = F.when(entity.contains("@"), "email")
-    for kind in ("ip", "secret", "iban", "ssn", "phone"):
-        out = out.when(entity.rlike(f"^(?:{PATTERNS[kind]})$"), kind)
+    for kind in ("ip", "ipv6", "secret", "iban", "ssn", "phone"):
+        found = F.when(_is_iban(entity), kind) if kind == "iban" else kind
+        out = out.when(entity.rlike(f"^(?:{PATTERNS[kind]})$"), found)
     out = out.when(entity.rlike(r"^[0-9 -]+$"), F.when(_sum_luhn(_digits(entity), 1) % 10 == 0, "card"))
     return out.otherwise("name")
 
@@ -104,7 +136,7 @@ def _without_title(entity: Column) -> Column:
 def canonical(kind: Column, entity: Column) -> Column:
     """One spelling per entity."""
     return (F.when(kind.isin("phone", "card", "ssn"), _digits(entity))
-            .when(kind == "email", F.lower(entity))
+            .when(kind.isin("email", "ipv6"), F.lower(entity))
             .when(kind == "iban", F.replace(entity, F.lit(" "), F.lit("")))
             .when(kind == "name", F.concat(_gender(entity), F.lit(":"), F.lower(_without_title(entity))))
             .otherwise(entity))
@@ -172,7 +204,7 @@ def surrogate(kind: Column, entity: Column, h: Column, attempt: Column) -> Colum
 
     hexed = F.when(entity.rlike("^[0-9A-Fa-f]+$"), _drawn(entity, h, letters="abcdef")).otherwise(_drawn(entity, h, keep=4))
     return (F.when(kind == "email", email).when(kind == "ip", octets).when(kind == "secret", hexed)
-            .when(kind == "iban", _drawn(entity, h, keep=2)).when(kind == "ssn", _drawn(entity, h))
+            .when(kind == "ipv6", _drawn(entity, h, letters="abcdef")).when(kind == "iban", _drawn_iban(entity, h)).when(kind == "ssn", _drawn(entity, h))
             .when(kind == "phone", first_digit).when(kind == "card", card).when(kind == "name", named))
 
 

@@ -57,6 +57,46 @@ def test_names_keep_gender_and_script(done):
     assert re.search(r"Mr\. ([\w .]+?) and Mr ([\w .]+)\.$", text).group(1) == re.search(r"and Mr ([\w .]+)\.$", text).group(1)
 
 
+def iban_ok(text):
+    t = text.replace(" ", "")
+    return int("".join(str(int(c, 36)) for c in t[4:] + t[:4])) % 97 == 1
+
+
+def shape(text):
+    return re.sub("[0-9]", "0", re.sub("[a-z]", "a", re.sub("[A-Z]", "A", text)))
+
+
+FOUND = {
+    "phone": ["212-555-0147", "212.555.0147", "+15551234567", "+33 1 23 45 67 89", "+49 30 1234567", "+1 (017) 555-7713",
+              "+1.555.123.4567", "+44 20 7946 0958"],
+    "ipv6": ["2001:db8::1", "fe80::1ff:fe23:4567:890a", "2001:0DB8:85a3:0000:0000:8a2e:0370:7334"],
+    "iban": ["DE89 3704 0044 0532 0130 00", "GB82WEST12345698765432", "PL61 1090 1014 0000 0712 1981 2874", "FR14 2004 1010 0505 0001 3M02 606"],
+    "email": ["anna@gmail.com", "o.k@a-b.co.uk"],
+}
+LEFT = ["AB12 CDEF GHIJ KLMN", "DE88 3704 0044 0532 0130 00", "+3.14159265", "+1 2 3 4 5 6 7 8 9", "at 10:30:45", "std::dead::beef",
+        "1-212-555-01477", "978-0-306-40615-7", "2024-01-01T10:00:00+0100", "UTC+02 2024-01-01", "1.212.555.0147.9", "12-555-0147"]
+
+
+def test_ordinary_forms_are_found_and_keep_theirs(spark):
+    rows = [(i, kind, f"see {e} THE end") for i, (kind, e) in enumerate((k, e) for k, es in FOUND.items() for e in es)]
+    docs = spark.createDataFrame(rows, "doc_id int, kind string, text string")
+    out = {r.doc_id: r for r in s.replace_entities(docs, count="n").collect()}
+    kinds = {int(r.id): r.kind for r in s.entities(docs).collect()}
+    again = {int(r.id): r.kind for r in s.entities(spark.createDataFrame(list(out.values()))).collect()}
+    for i, kind, text in rows:
+        old, new = text[4:-8], out[i].text[4:-8]
+        assert kinds[i] == kind == again[i] and out[i].n == 1 and new != old, (old, new)
+        assert out[i].text.endswith(" THE end")
+        assert shape(old) == shape(new)
+        if kind == "iban":
+            assert iban_ok(old) and iban_ok(new) and new[:2] == old[:2]
+
+
+def test_what_only_looks_like_them_stays(spark):
+    docs = spark.createDataFrame([(i, f"see {t} end") for i, t in enumerate(LEFT)], "doc_id int, text string")
+    assert [r.text for r in s.replace_entities(docs).orderBy("doc_id").collect()] == [f"see {t} end" for t in LEFT]
+
+
 def test_rest_of_the_text_stays(done):
     assert len(done[9].text) == len(CASES[9]) and done[9].text.startswith("x" * 100_000 + " ")
     assert done[9].text.endswith(" " + "y" * 100_000) and "a@b.co" not in done[9].text
