@@ -4,11 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Iterator, Sequence
 
-import pandas as pd
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter
-from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
 
 from paperweave.functions import text
 from paperweave.schemas import RAW_PAPERS, SUBJECTS
@@ -16,6 +17,9 @@ from paperweave.sources.collections import load_points
 
 
 HELD_KEYS = 200_000
+WAITING = 1 << 16  # rows gathered before they are sorted, at least
+GROUPS = 8  # hash groups of keys to a shuffle task
+BATCH = 10_000
 ROCKS = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
 
@@ -41,38 +45,33 @@ def new_papers(raw: DataFrame, seen_for: str, arrival: str = "arrived_at",
     return once_per_key(wanted, ["id"], arrival, seen_for)
 
 
-class _Once(StatefulProcessor):
-    """Lets a key's first row through and keeps, until the watermark passes its end, that the key was seen."""
+def _firsts(rows: pa.Table, keys: list[str], order: list[str]) -> pa.Table:
+    """The first row of each key in ``order``, the earliest of equal ones; nulls come last."""
+    at = pc.sort_indices(rows, sort_keys=[(c, "ascending") for c in order], null_placement="at_end")
+    ranked = rows.select(keys).take(at).append_column("_at", pa.array(np.arange(len(at))))
+    return rows.take(at.take(ranked.group_by(keys, use_threads=False).aggregate([("_at", "min")])["_at_min"]))
 
-    def __init__(self, names: list[str], order: list[str], moment: str, seen_for_ms: int) -> None:
-        self.names, self.order, self.moment, self.seen_for = names, order, moment, seen_for_ms
 
-    def init(self, handle: StatefulProcessorHandle) -> None:
-        self.handle = handle
-        self.seen = handle.getValueState("seen", "until bigint")
+def _first_of(batches: Iterator[pa.RecordBatch], keys: list[str], order: list[str], held: int | None) -> Iterator[pa.RecordBatch]:
+    """First rows of all batches. Rows wait until they outnumber those kept, so sorting costs little more than one pass."""
+    best, waiting, size = None, [], 0
 
-    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
-        if self.seen.exists():
-            for _ in rows:  # read to the end, or the next key would get them
-                pass
-            return
-        first = None
-        for some in rows:
-            best = some.sort_values(self.order, kind="stable", na_position="last").head(1)
-            first = best if first is None else pd.concat([first, best]).sort_values(
-                self.order, kind="stable", na_position="last").head(1)
-        if first is not None:
-            until = first[self.moment].iloc[0].value // 1_000_000 + self.seen_for
-            self.seen.update((until,))
-            self.handle.registerTimer(until)
-            yield first[self.names]
+    def settled() -> pa.Table:
+        tables = [] if best is None else [best]
+        return _firsts(pa.concat_tables([*tables, pa.Table.from_batches(waiting)]).combine_chunks(), keys, order)
 
-    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
-        self.seen.clear()
-        return iter(())
-
-    def close(self) -> None:
-        pass
+    for batch in batches:
+        waiting.append(batch)
+        size += batch.num_rows
+        if size > max(WAITING, 0 if best is None else len(best)):
+            best, waiting, size = settled(), [], 0
+            if held is not None and len(best) > held:
+                yield from best.to_batches(max_chunksize=BATCH)
+                best = None
+    if size:
+        best = settled()
+    if best is not None:
+        yield from best.to_batches(max_chunksize=BATCH)
 
 
 def first_per_task(events: DataFrame, keys: Sequence[str], order: Sequence[str], held: int = HELD_KEYS) -> DataFrame:
@@ -83,18 +82,25 @@ def first_per_task(events: DataFrame, keys: Sequence[str], order: Sequence[str],
     """
     keys, order = list(keys), list(order)
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        best: pd.DataFrame | None = None
-        for batch in batches:
-            both = batch if best is None else pd.concat([best, batch], ignore_index=True)
-            best = both.sort_values(order, kind="stable", na_position="last").drop_duplicates(keys)
-            if len(best) > held:
-                yield best
-                best = None
-        if best is not None and len(best):
-            yield best
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        return _first_of(batches, keys, order, held)
+
+    return events.mapInArrow(run, events.schema)
+
+
+def first_per_key(events: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
+    """Each key's first row of a micro-batch, in ``order``.
+
+    Keys are grouped by hash, several groups to a shuffle task, so the cost of a call is
+    shared by many keys; a group holds one row per key and the rows that wait.
+    """
+    keys, order = list(keys), list(order)
+    groups = GROUPS * int(events.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield from _first_of(batches, keys, order, None)
 
-    return events.mapInPandas(run, events.schema)
+    return events.groupBy(F.pmod(F.xxhash64(*keys), F.lit(groups))).applyInArrow(run, events.schema)
 
 
 def once_per_key(
@@ -103,21 +109,18 @@ def once_per_key(
     """One row per key until ``seen_for`` after its ``moment``: the first in (moment, *order) of its micro-batch.
 
     Later micro-batches change nothing while the key's state lives. Tasks send one
-    row per key to the state, which the watermark clears. A null moment is now.
-    State of one's own needs the RocksDB store, which this sets for the session's streams.
+    row per key, and Spark's own deduplication keeps the state, which the watermark
+    clears. A null moment is now. State lies in RocksDB, outside the heap, which this
+    sets for the session's streams.
     """
     spark = events.sparkSession
     spark.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKS)
     timed = events.withColumn(moment, F.coalesce(F.col(moment).cast("timestamp"), F.current_timestamp()))
-    seconds = spark.sql(f"select cast(timestamp_seconds(0) + interval {seen_for} as double) as s").first()["s"]
-    # The state's operator takes plain column names only.
+    # Names may hold dots; inside plain ones are used.
     plain = {c: f"c{i}" for i, c in enumerate(timed.columns)}
     at, ranked, by = plain[moment], [plain[c] for c in (moment, *order)], [plain[c] for c in keys]
-    rows = timed.toDF(*plain.values())
-    once = _Once(rows.columns, ranked, at, int(seconds * 1000))
-    kept = first_per_task(rows, by, ranked).withWatermark(at, seen_for).groupBy(*by).transformWithStateInPandas(
-        once, rows.schema, "Append", "EventTime")
-    return kept.toDF(*plain)
+    rows = first_per_key(first_per_task(timed.toDF(*plain.values()), by, ranked), by, ranked)
+    return rows.withWatermark(at, seen_for).dropDuplicatesWithinWatermark(by).toDF(*plain)
 
 
 def write_points(points: DataFrame, path: str, checkpoint: str, order: Sequence[str] = ()) -> DataStreamWriter:
