@@ -9,8 +9,9 @@ length of a pre-token. A worker keeps the merges of pre-tokens it has seen, up
 to a fixed number; the new ones of a batch share one queue and are merged
 together, bucket by bucket.
 
-Texts are read in runs of pre-tokens and digests are fed as they come, so a long
-text costs little memory. Rows are independent: no shuffle, no group.
+Texts are split once, into numbers of pre-tokens; ids and decoded bytes are looked up
+by number and digests are fed in runs, so a long text costs little memory. Rows are
+independent: no shuffle, no group.
 
 Defined results: a null text is empty and has no tokens; the digests are then
 those of the empty string. Repeated rows are encoded alike. An empty table gives
@@ -21,11 +22,13 @@ from __future__ import annotations
 
 import base64
 import hashlib
+from collections import defaultdict
 from collections.abc import Iterator
-from itertools import islice
+from itertools import count, islice
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -35,6 +38,7 @@ SEEN = 1_000_000  # pre-tokens a worker remembers, half of them from batch to ba
 NEW = 60_000  # pre-tokens merged together; their arrays take some 100 MB
 LONG = 64  # longer ones are merged by themselves and not remembered
 RUN = 1 << 16  # pre-tokens handled at once
+TEXTS = 1 << 25  # bytes of text whose pre-tokens are numbered together
 
 
 class Encoder:
@@ -199,8 +203,11 @@ class Encoder:
             if bits == low:
                 top ^= 1 << word
             rank = (word << 8) + low.bit_length() - 1
-            i = np.unique(np.concatenate(buckets.pop(rank)))
+            i = np.concatenate(buckets.pop(rank))
             i = i[(pair[i] == rank) & alive[i]]  # without stale entries
+            i.sort()
+            if len(i) > 1:
+                i = i[np.concatenate([[True], i[1:] != i[:-1]])]
             if len(i) > 1:  # of entries in a chain every second one overlaps the one before
                 linked = np.r_[False, following[i[:-1]] == i[1:]]
                 if linked.any():
@@ -231,6 +238,26 @@ class Encoder:
         return [self.merge(parts[n]) if n in again else ids[end - count:end]
                 for n, (count, end) in enumerate(zip(counts, ends))]
 
+    def numbered(self, texts: Iterator[str | None]) -> tuple[list[np.ndarray], list[str], list[bytes]]:
+        """Numbers of each text's pre-tokens; by number, the ids and the bytes that they decode to.
+
+        Texts are split once, and each different pre-token is merged and decoded once.
+        """
+        number: dict[str, int] = defaultdict(count().__next__)
+        of_texts = [np.concatenate([np.zeros(0, np.int32), *[
+            np.fromiter(map(number.__getitem__, parts), np.int32, len(parts)) for parts in self._runs(text or "")]])
+            for text in texts]
+        if len(self.seen) + len(number) > SEEN // 2:  # what these texts don't have is forgotten
+            kept = {p: self.seen[p] for p in number if p in self.seen}
+            self.seen.clear()
+            self.seen.update(kept)
+        fresh = [p for p in number if p not in self.seen]
+        for at in range(0, len(fresh), NEW):
+            self.new = set(fresh[at:at + NEW])
+            self.learned()
+        ids = [self.seen[p] for p in number]
+        return of_texts, ids, [self.decode(x) for x in ids]
+
     def learn(self, text: str) -> None:
         """Merge the text's new pre-tokens, many at a time; call ``learned`` after the last text."""
         for parts in self._runs(text):
@@ -298,6 +325,18 @@ def read_vocabulary(path: str) -> bytes:
         return file.read()
 
 
+def _parts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows with ``TEXTS`` bytes of text together, or one row with more."""
+    for batch in batches:
+        ends = np.cumsum(pc.binary_length(batch.column(1)).to_numpy(zero_copy_only=False), dtype=np.int64)
+        at = 0
+        while at < batch.num_rows:
+            before = int(ends[at - 1]) if at else 0
+            end = max(int(np.searchsorted(ends, before + TEXTS, side="right")), at + 1)
+            yield batch.slice(at, end - at)
+            at = end
+
+
 def encode(
     docs: DataFrame, vocabulary: bytes, pattern: str, id_column: str = "doc_id", text: str = "text", with_ids: bool = False,
 ) -> DataFrame:
@@ -310,25 +349,22 @@ def encode(
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = encoder_for(shared.value, pattern)
-        for batch in batches:
-            if len(encoder.seen) > SEEN // 2:
-                encoder.seen.clear()
-            for text_value in batch.column(1):
-                encoder.learn(text_value.as_py())
-            encoder.learned()
+        for batch in _parts(batches):
             counts, ids_digests, text_digests, all_ids = [], [], [], []
-            for text_value in batch.column(1):
-                of_ids, of_text, n, kept = hashlib.sha256(), hashlib.sha256(), 0, []
-                for ids in encoder.encoded_runs(text_value.as_py()):
-                    of_ids.update((("," if n else "") + ids).encode())
-                    of_text.update(encoder.decode(ids))
-                    n += ids.count(",") + 1
+            numbers, ids_of, bytes_of = encoder.numbered(t.as_py() for t in batch.column(1))
+            sizes = np.array([ids.count(",") + 1 for ids in ids_of], np.int64)
+            for parts in numbers:
+                of_ids, of_text = hashlib.sha256(), hashlib.sha256()
+                for at in range(0, len(parts), RUN):
+                    some = parts[at:at + RUN].tolist()
+                    ids = ",".join(map(ids_of.__getitem__, some))
+                    of_ids.update((("," if at else "") + ids).encode())
+                    of_text.update(b"".join(map(bytes_of.__getitem__, some)))
                     if with_ids:
-                        kept.append(np.array(ids.split(","), np.int32))
-                counts.append(n)
+                        all_ids.append(np.fromstring(ids, np.int32, sep=","))
+                counts.append(int(sizes[parts].sum()))
                 ids_digests.append(of_ids.hexdigest())
                 text_digests.append(of_text.hexdigest())
-                all_ids.extend(kept)
             columns = [batch.column(0), pa.array(counts, pa.int64()), pa.array(ids_digests), pa.array(text_digests)]
             if with_ids:
                 offsets = np.concatenate([[0], np.cumsum(counts)]).astype(np.int32)

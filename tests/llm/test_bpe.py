@@ -3,6 +3,7 @@ import hashlib
 import random
 
 import public_tokenizers as P
+import pyarrow as pa
 import pytest
 import tiktoken
 
@@ -97,3 +98,26 @@ def test_lower_rank_among_many():
     assert ours.merge_many(parts) == [ours.merge(p) for p in parts]
     whole = [p for p in parts if p not in ours.ranks]
     assert [ours.merge(p) for p in whole] == [theirs.encode_ordinary(p.decode()) for p in whole]
+
+
+def test_texts_are_split_once(monkeypatch, theirs, ours):
+    """op4: pre-tokens get numbers in one pass, also where the memory of earlier ones is full."""
+    calls, real = [], ours._runs
+    monkeypatch.setattr(ours, "_runs", lambda text: calls.append(text) or real(text))
+    monkeypatch.setattr(bpe, "SEEN", 8)
+    monkeypatch.setattr(bpe, "NEW", 3)
+    for texts in (["one two three", None, "two three four one qzqzqz"], ["zqxj " * 30 + "é" * 100, "three four", "", "vwxk five"]):
+        calls.clear()
+        numbers, ids, pieces = ours.numbered(iter(texts))
+        assert calls == [t or "" for t in texts] and len(set(ids)) == len(ids) == len(pieces)
+        for text, parts in zip(texts, numbers):
+            assert ",".join(ids[n] for n in parts) == ",".join(map(str, theirs.encode_ordinary(text or "")))
+            assert b"".join(pieces[n] for n in parts) == (text or "").encode()
+
+
+def test_rows_of_a_bounded_text_size(monkeypatch):
+    monkeypatch.setattr(bpe, "TEXTS", 10)
+    texts = ["", "abc", "é" * 3, "x" * 30, "", "y", "z" * 9, "w"]
+    batch = pa.RecordBatch.from_arrays([pa.array(range(len(texts))), pa.array(texts)], ["id", "text"])
+    parts = [p.column(1).to_pylist() for p in bpe._parts(iter([batch.slice(1), batch.slice(0, 0)]))]
+    assert parts == [["abc", "é" * 3], ["x" * 30], ["", "y", "z" * 9], ["w"]]
