@@ -40,6 +40,8 @@ from paperweave.workspace import stage
 LEAST, LONGEST, TOP, COVERED = 30, 4, 2000, 80
 SENT = 1_000_000  # frequent groups sent to the tasks; at most 24 bytes each, words 100
 HELD_WORDS, HELD_PAIRS = 300_000, 3_000_000  # what a task combines before it hands counts on
+HANDED = 1 << 16  # rows of counts handed on at once; Spark's side takes a batch as a whole
+SLICE = 500_000  # occurrences that a task joins or makes at once
 SALTS = 16
 MARKS = b".,;:!?\n\x0b\x0c\r"
 _ENDS = bytes.maketrans(MARKS + b"\t", b"\n" * len(MARKS) + b" ")
@@ -130,7 +132,7 @@ def first_relation(texts: DataFrame, words: DataFrame) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            kept, places, groups = [], [], []
+            kept, places, groups, size = [], [], [], 0
             for doc, lang, text in zip(*batch.columns):
                 of = sent.value.get(lang.as_py())
                 if not of:
@@ -142,12 +144,27 @@ def first_relation(texts: DataFrame, words: DataFrame) -> DataFrame:
                     kept.append(doc.as_py())
                     places.append(at.astype(np.int32))
                     groups.append(ids[at])
+                    size += len(at)
+                if size > SLICE:
+                    yield _lists(kept, places, groups)
+                    kept, places, groups, size = [], [], [], 0
             if kept:
                 yield _lists(kept, places, groups)
 
     return stage(texts.mapInArrow(run, _R), "occurrences-1")
 
 
+def _slices(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows with ``SLICE`` occurrences together, or one row with more."""
+    for batch in batches:
+        ends = batch.column(1).offsets.to_numpy()
+        at = 0
+        while at < batch.num_rows:
+            end = max(int(np.searchsorted(ends, ends[at] + SLICE, side="right")) - 1, at + 1)
+            yield batch.slice(at, end - at)
+            at = end
+
+
 def _joined(batch: pa.RecordBatch) -> tuple[np.ndarray, ...]:
     """Merge join of a batch's occurrences on adjacent positions: (row, place, first group, second group)."""
     column = batch.column(1)
@@ -163,7 +180,8 @@ def _joined(batch: pa.RecordBatch) -> tuple[np.ndarray, ...]:
 def _counted(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, ...]:
     step = int(b.max(initial=0)) + 1
     if int(a.max(initial=0)) < (1 << 62) // step:  # both fit one number, which needs less room to sort
-        both = a * step
+        both = a.astype(np.int64)
+        both *= step
         both += b
         both.sort()
         start = np.flatnonzero(np.r_[True, both[1:] != both[:-1]]) if len(both) else np.zeros(0, int)
@@ -179,21 +197,25 @@ def group_counts(relation: DataFrame) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, size = [], 0
 
-        def out() -> pa.RecordBatch:
+        def out() -> Iterator[pa.RecordBatch]:
             pairs = [np.concatenate([h[i] for h in held]) for i in (0, 1)]
             held.clear()
             counts = _counted(*pairs)
-            return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in counts], ["a", "b", "n"])
-
-        for batch in batches:
-            _, _, a, b = _joined(batch)
+            del pairs
+            for at in range(0, len(counts[0]), HANDED):
+                yield pa.RecordBatch.from_arrays([pa.array(c[at:at + HANDED], pa.int64()) for c in counts], ["a", "b", "n"])
+
+        for part in _slices(batches):
+            _, _, a, b = _joined(part)
+            if max(a.max(initial=0), b.max(initial=0)) < 1 << 31:  # numbers are dense, so half the room will do
+                a, b = a.astype(np.int32), b.astype(np.int32)
             held.append((a, b))
             size += len(a)
             if size > HELD_PAIRS:
-                yield out()
+                yield from out()
                 size = 0
         if size:
-            yield out()
+            yield from out()
 
     return relation.mapInArrow(run, "a bigint, b bigint, n bigint").groupBy("a", "b").agg(F.sum("n").alias("n"))
 
@@ -202,7 +224,7 @@ def next_relation(relation: DataFrame, frequent: DataFrame, k: int) -> DataFrame
     """R_k: the joined occurrences whose group is frequent (id, a, b)."""
     if frequent.count() > SENT:
         def flat(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            for batch in batches:
+            for batch in _slices(batches):
                 row, place, a, b = _joined(batch)
                 yield pa.RecordBatch.from_arrays(
                     [batch.column(0).take(pa.array(row)), pa.array(place), pa.array(a), pa.array(b)], ["doc", "place", "a", "b"])
@@ -221,7 +243,7 @@ def next_relation(relation: DataFrame, frequent: DataFrame, k: int) -> DataFrame
         starts = np.unique(firsts)
         step = int(seconds.max(initial=0)) + 1
         keys = np.searchsorted(starts, firsts) * step + seconds
-        for batch in batches:
+        for batch in _slices(batches):
             row, place, a, b = _joined(batch)
             rank = np.minimum(np.searchsorted(starts, a), max(len(starts) - 1, 0))
             wanted = rank * step + b

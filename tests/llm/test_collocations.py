@@ -103,3 +103,31 @@ def test_sums_past_64_bits(spark):
 def test_counts_of_large_numbers():
     a, b = np.array([1 << 40, 5, 1 << 40, 5]), np.array([1 << 41, 7, 1 << 41, 8])
     assert [x.tolist() for x in c._counted(a, b)] == [[5, 5, 1 << 40], [7, 8, 1 << 41], [1, 1, 2]]
+
+
+def test_a_task_works_in_small_slices(monkeypatch):
+    """op11: what a task joins, sorts and hands on at once does not grow with its batches."""
+    taken, handed = [], []
+
+    class Relation:  # runs the task's function on one batch
+        def mapInArrow(self, run, schema):
+            handed.extend(run(iter([batch])))
+            raise StopIteration
+
+    monkeypatch.setattr(c, "SLICE", 50)
+    monkeypatch.setattr(c, "HANDED", 7)
+    real = c._joined
+    monkeypatch.setattr(c, "_joined", lambda b: taken.append(len(b.column(1).flatten())) or real(b))
+    rng = np.random.default_rng(5)
+    places = [np.arange(n, dtype=np.int32) for n in (3, 0, 120, 40, 9, 9, 1, 70)]
+    groups = [rng.integers(1, 6, len(x)) + (1 << 40) * (i == 3) for i, x in enumerate(places)]
+    batch = c._lists(list(range(len(places))), places, groups).slice(1)
+    with pytest.raises(StopIteration):
+        c.group_counts(Relation())
+    assert sum(taken) == 249 and all(n <= 50 or n in (120, 70) for n in taken)
+    assert max(h.num_rows for h in handed) <= 7
+    got = Counter()
+    for h in handed:
+        for a, b, n in zip(*[x.to_pylist() for x in h.columns]):
+            got[a, b] += n
+    assert got == Counter((int(a), int(b)) for g in groups[1:] for a, b in zip(g, g[1:]))
