@@ -16,16 +16,19 @@ looks sequential. It is run in parallel like this:
   whole numbers and items of weight zero never end a bin. Every level is a grouped job over narrow rows.
 * The few rows left are walked once, and the known states go back down the
   levels to the buckets, where items get their bin numbers.
+
+Keys within one bucket need none of this, as nothing is carried into them. Python
+takes batches of whole buckets, so that many small keys cost little more than one large one.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Iterator, Sequence
 from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from paperweave.workspace import stage
@@ -103,6 +106,36 @@ def _bins(weight: np.ndarray, cap: int, carry: int, bins: int) -> np.ndarray:
     return bins + np.searchsorted(np.array(starts, np.int64), np.arange(len(weight)), side="right")
 
 
+def _whole_groups(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """The rows, cut anew so that no group is in two batches; ``_nth`` counts from 1 in each group."""
+    held: list[pd.DataFrame] = []  # of the group that may go on in the next batch
+    for pdf in batches:
+        starts = np.flatnonzero(pdf["_nth"].to_numpy() == 1)
+        if len(starts):
+            ended = [*held, pdf.iloc[:starts[-1]]]
+            if any(map(len, ended)):
+                yield pd.concat(ended, ignore_index=True)
+            held, pdf = [], pdf.iloc[starts[-1]:]
+        held.append(pdf)
+    if any(map(len, held)):
+        yield pd.concat(held, ignore_index=True)
+
+
+def _in_groups(
+    rows: DataFrame, group: Sequence[str | Column], order: str,
+    work: Callable[[pd.DataFrame, list[tuple[int, int]]], pd.DataFrame], schema: str,
+) -> DataFrame:
+    """``work(rows, groups)`` on batches of whole groups: where each starts and ends, its rows being in ``order``."""
+    nth = F.row_number().over(Window.partitionBy(*group).orderBy(order))
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in _whole_groups(batches):
+            starts = np.flatnonzero(pdf["_nth"].to_numpy() == 1).tolist()
+            yield work(pdf, list(zip(starts, [*starts[1:], len(pdf)])))
+
+    return rows.withColumn("_nth", nth).mapInPandas(run, schema)
+
+
 @dataclass(frozen=True)
 class OpenBin:
     """Where a packing stands after its last item; a later packing goes on from here."""
@@ -160,13 +193,12 @@ def pack_next_fit(
     # A summary row carries its key columns first.
     summary, state = key_ddl + _SUMMARY, key_ddl + _STATE
 
-    def head(pdf: pd.DataFrame) -> list:
-        return [pdf[c].iloc[0] for c in by]
+    def head(pdf: pd.DataFrame, at: int = 0) -> list:
+        return [pdf[c].iat[at] for c in by]
 
-    def describe(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values(order)
-        row = head(pdf) + [pdf["run_no"].iloc[0], *_describe(pdf[weight].to_numpy(np.int64), cap)]
-        return pd.DataFrame([row], columns=names)
+    def describe(pdf: pd.DataFrame, groups: list[tuple[int, int]]) -> pd.DataFrame:
+        weights, runs = pdf[weight].to_numpy(np.int64), pdf["run_no"].to_numpy()
+        return pd.DataFrame([[*head(pdf, a), runs[a], *_describe(weights[a:b], cap)] for a, b in groups], columns=names)
 
     def join_runs(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values("run_no")
@@ -184,20 +216,19 @@ def pack_next_fit(
         return pd.DataFrame([key + list(s) for s in _walk(pdf.sort_values("run_no"), cap, carry, bins)],
                             columns=by + ["run_no", "carry_in", "bins_in"])
 
-    def assign(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values(order)
-        pdf[bin_name] = _bins(pdf[weight].to_numpy(np.int64), cap,
-                              int(pdf["carry_in"].iloc[0]), int(pdf["bins_in"].iloc[0]))
+    def assign(pdf: pd.DataFrame, groups: list[tuple[int, int]]) -> pd.DataFrame:
+        weights, carry, bins = (pdf[c].to_numpy(np.int64) for c in (weight, "carry_in", "bins_in"))
+        pdf[bin_name] = np.concatenate([_bins(weights[a:b], cap, int(carry[a]), int(bins[a])) for a, b in groups])
         return pdf[by + [order, weight] + extra + [bin_name]]
 
     names = by + ["run_no", "run_total", "run_pin", "run_opens", "run_carry"]
-    runs = items.groupBy(*keys, "run_no").agg(F.count(F.lit(1)).alias("n")).groupBy(*keys).agg(
-        F.count(F.lit(1)).alias("n")).agg(F.max("n")).first()[0]
-    if not runs or runs == 1:
-        # Every key starts and ends within one bucket: nothing is carried in.
+    # What starts and ends within one bucket has nothing carried in.
+    ends = items.groupBy(*keys).agg(F.min("run_no").alias("_first"), F.max("run_no").alias("_last")).filter("_first < _last")
+    if not ends.take(1):
         states = None
     else:
-        level = stage(items.groupBy(*keys, "run_no").applyInPandas(describe, summary), "runs")
+        parted = items.join(ends.select(*by), by, "left_semi") if by else items
+        level = stage(_in_groups(parted, [*keys, "run_no"], order, describe, summary), "runs")
         levels, fan_ins = [level], []
         while True:
             # Sizes of the largest key, of its number of runs and of one run.
@@ -221,6 +252,7 @@ def pack_next_fit(
                       .groupBy(*keys, "run_group").applyInPandas(walk_down, state))
 
     out = ", ".join(f"`{c}` {types[c]}" for c in by + [order, weight] + extra) + f", `{bin_name}` bigint"
-    entered = (items.join(states, by + ["run_no"]) if states is not None else
-               items.withColumns({"carry_in": F.lit(carried), "bins_in": F.lit(opened)}))
-    return entered.groupBy(*keys, "run_no").applyInPandas(assign, out)
+    started = {"carry_in": F.lit(carried), "bins_in": F.lit(opened)}
+    entered = (items.withColumns(started) if states is None else items.join(states, by + ["run_no"], "left").withColumns(
+        {c: F.coalesce(F.col(c), start) for c, start in started.items()}))
+    return _in_groups(entered, [*keys, "run_no"], order, assign, out)

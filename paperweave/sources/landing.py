@@ -53,6 +53,7 @@ class LandingWriter(DataSourceArrowWriter):
         folder = f"run={self.run}/{uuid.uuid4().hex}"
         files, at = self._at(folder)
         done: list[tuple[str, str, int, int]] = []
+        begun: set[str] = set()
         name, out, size, lines = None, None, 0, 0
 
         def close() -> None:
@@ -65,8 +66,9 @@ class LandingWriter(DataSourceArrowWriter):
                 given = given.as_py()
                 if given != name:
                     close()
-                    if any(given == d[0] for d in done) or "/" in given or not given:
+                    if given in begun or "/" in given or not given:
                         raise ValueError(f"file {given!r} is not one run of rows with a plain name")
+                    begun.add(given)
                     files.create_dir(at, recursive=True)
                     name, out, size, lines = given, files.open_output_stream(f"{at}/{given}", compression=None), 0, 0
                 data = line.as_py().encode() + b"\n"

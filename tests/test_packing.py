@@ -76,6 +76,49 @@ def test_operator_on_keys(spark, bucket, entries):
     assert {(r["k"], r["i"]): r["bin_id"] for r in got} == expected
 
 
+@given(st.lists(st.integers(1, 9), min_size=1, max_size=20), st.lists(st.integers(0, 12), max_size=20))
+def test_batches_are_cut_at_groups(sizes, cuts):
+    """Whole groups in order, however the batches were cut; empty ones are no matter."""
+    rows = pd.DataFrame([(g, n) for g, size in enumerate(sizes) for n in range(1, size + 1)], columns=["g", "_nth"])
+    borders = [0, *sorted(min(c * 7, len(rows)) for c in cuts), len(rows)]
+    got = list(packing._whole_groups(rows.iloc[a:b] for a, b in zip(borders, borders[1:])))
+    assert pd.concat(got, ignore_index=True).equals(rows)
+    assert all(len(pdf) and pdf["_nth"].iat[0] == 1 for pdf in got)
+
+
+def test_many_small_keys(spark, monkeypatch):
+    """Keys are neighbouring numbers, as batches are of requests: a bucket border parts one key at most."""
+    stage, summarised = packing.stage, []
+
+    def seen(df, label, **options):
+        made = stage(df, label, **options)
+        if label == "runs":
+            summarised.append({(r["k"], r["run_no"]) for r in made.collect()})
+        return made
+
+    monkeypatch.setattr(packing, "stage", seen)
+    weights = [(i * 7919) % 53 for i in range(3000)]
+    items = spark.createDataFrame([(i // 10, i, w) for i, w in enumerate(weights)], "k bigint, i bigint, w bigint").repartition(5)
+    packed = packing.pack_next_fit(items, "i", "w", 100, by=["k"], rows_per_bucket=1024)
+    # Only parted keys are summarised, and no call of Python is for one key alone.
+    assert summarised == [{(102, 0), (102, 1), (204, 1), (204, 2)}]
+    assert "FlatMapGroupsInPandas" not in plan_above_states(packed)
+    monkeypatch.undo()
+    before = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "64")  # keys lie in two batches
+    try:
+        got = {(r["k"], r["i"]): r["bin_id"] for r in packed.collect()}
+    finally:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", before)
+    assert got == {(k, 10 * k + n): b for k in range(300) for n, b in enumerate(sequential(weights[10 * k:10 * k + 10], 100))}
+
+
+def plan_above_states(packed):
+    """The plan down to the join with the states that parted keys are entered with."""
+    text = packed._jdf.queryExecution().executedPlan().toString()
+    return text[:text.index("Join")]
+
+
 def test_operator_without_keys_and_gaps(spark):
     weights = [(i * 7919) % 53 for i in range(500)]
     items = spark.createDataFrame([(3 * i, w) for i, w in enumerate(weights)], "i bigint, w bigint")
